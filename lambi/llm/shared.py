@@ -38,8 +38,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(column: pa.Array, limit: int = SLICE):
-    """Split a string column into runs of rows of about `limit` bytes; null counts as empty.
+def text_slices(column: pa.Array, limit: int = SLICE, rows: int = 4096):
+    """Split a string column into runs of at most `rows` rows and about `limit` bytes (or one
+    row, if that is longer); null counts as empty.
 
     Yields (first row, last row + 1, bytes, offsets with one entry more than rows).
     """
@@ -55,7 +56,7 @@ def text_slices(column: pa.Array, limit: int = SLICE):
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), lo + rows, n)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 

@@ -23,8 +23,8 @@ LENGTH = 100
 GRAM = 32
 #: Stretches of one key that are sorted together; more are split by what they contain.
 TOGETHER = 256
-#: Strings that a key covers: first all with the anchor, then those within 9 places, then one.
-WIDTHS = (LENGTH, 9, 1)
+#: Strings that a key covers: first all with the anchor, then those within so many places.
+WIDTHS = (LENGTH, 25, 5, 1)
 #: Bytes that one suffix sort holds (it ends between keys).
 SORT_BYTES = 2 << 20
 _ODD = [np.uint64(0x9E3779B97F4A7C15 + 2 * i * 0x51ED270B) for i in range(6)]
@@ -258,14 +258,15 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
             sized = rest.join(sizes, "key")
             parts.append(cut(_sorted_repeats(sized.where(F.col("size") <= TOGETHER), length)))
             big = sized.where(F.col("size") > TOGETHER).drop("size")
-            rest = cut(_split(big, width, length))
-            sizes = cut(rest.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-            if sizes.isEmpty():
+            pieces = cut(_split(big, width, length).withColumn("content", F.xxhash64("bytes", "place")))
+            kinds = cut(pieces.groupBy("key", "content").agg(F.min(F.struct("doc", "start")).alias("lead"), F.count(F.lit(1)).alias("n")))
+            both = pieces.join(kinds, ["key", "content"])
+            is_lead = (F.col("doc") == F.col("lead.doc")) & (F.col("start") == F.col("lead.start"))
+            parts.append(both.where(~is_lead).select("doc", "start", F.col("strings").cast("long").alias("strings")))
+            rest = both.where(is_lead).drop("lead", "n", "content")
+            sizes = cut(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+            if sizes.isEmpty():  # at width 1 all pieces of a key are equal
                 break
-        else:  # one string a key: all of a key are equal
-            lead = cut(rest.groupBy("key").agg(F.min(F.struct("doc", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-            last = rest.join(lead, "key").where((F.col("doc") != F.col("lead.doc")) | (F.col("start") != F.col("lead.start")))
-            parts.append(last.select("doc", "start", F.col("strings").cast("long").alias("strings")))
     out = parts[0]
     for x in parts[1:]:
         out = out.union(x)

@@ -15,6 +15,8 @@ from lambi.llm.shared import LOWER, cut, mix, range_hashes, signed, text_slices,
 BUCKETS, BAND, BANDS = 256, 5, 40
 #: Bits after the leading one that a register keeps.
 MANTISSA = 10
+#: Least shingles of a document that the comparison within bands looks at.
+LOWEST = 512
 #: Rows of a sub-block when a band's documents are compared with each other.
 TILE = 512
 _PROBES = 48
@@ -114,6 +116,15 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
 
 
+def _band_keys(registers: np.ndarray) -> np.ndarray:
+    """A key for each band of each sketch (rows x BANDS)."""
+    registers = registers[:, : BAND * BANDS].reshape(len(registers), BANDS, BAND).astype(np.uint64)
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), registers.shape[:2]).copy()
+    for i in range(BAND):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + registers[:, :, i])
+    return signed(key)
+
+
 def _bands(sketches: DataFrame) -> DataFrame:
     """(band key, doc_id, n) for each band of each sketch."""
 
@@ -121,16 +132,43 @@ def _bands(sketches: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
-                registers = _registers(part.column(2))[:, : BAND * BANDS].reshape(part.num_rows, BANDS, BAND).astype(np.uint64)
-                key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (part.num_rows, BANDS)).copy()
-                for i in range(BAND):
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + registers[:, :, i])
                 repeat = lambda c: np.repeat(c.to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(key.ravel())), pa.array(repeat(part.column(0))), pa.array(repeat(part.column(1)))], names=["band", "doc_id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_band_keys(_registers(part.column(2))).ravel()), pa.array(repeat(part.column(0))), pa.array(repeat(part.column(1)))], names=["band", "doc_id", "n"])
 
     return sketches.select("doc_id", "n", "registers").mapInArrow(run, "band long, doc_id long, n long")
 
 
+def _lowest(rows: DataFrame, k: int) -> DataFrame:
+    """(doc_id, low): the LOWEST smallest shingle hashes of each text, 32 bits each, ascending."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, offsets in text_slices(batch.column(1)):
+                keys = shingle_sets(data, offsets, k)
+                row = (keys >> np.uint64(52)).astype(np.int64)
+                low = ((keys & np.uint64((1 << 52) - 1)) >> np.uint64(20)).astype("<u4")
+                stop = np.searchsorted(row, np.arange(hi - lo), side="right")
+                start = np.searchsorted(row, np.arange(hi - lo), side="left")
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array([low[a : min(b, a + LOWEST)].tobytes() for a, b in zip(start, stop)], pa.binary())], names=["doc_id", "low"])
+
+    return rows.mapInArrow(run, "doc_id long, low binary").dropDuplicates(["doc_id"])
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether two documents can reach the similarity, by their least shingles: nearly exact where
+    those are all, else up to five standard deviations of the estimate."""
+    both = np.concatenate([a, b])
+    both.sort()
+    again = both[1:] == both[:-1]
+    common = int(again.sum())
+    if max(n_a, n_b) <= LOWEST:
+        return 100 * common >= (percent - 1) * (len(both) - common)
+    size = min(LOWEST, len(both) - common)
+    distinct = both[np.append(True, ~again)]
+    common = int((both[1:][again] <= distinct[size - 1]).sum())
+    return common / size >= percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / size) ** 0.5
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) of which 100 * intersection >= percent * union holds on the full sets."""
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("body").alias(f"body_{x}"))
@@ -155,34 +193,45 @@ def _close(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _cross_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one band but different components whose sketches look alike.
+def _cross_pairs(members: DataFrame, sketches: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs of one band but different components that may well be links.
 
     A band's documents are packed into tiles of TILE rows; tiles of one band meet two by two, so
-    that no task holds a large band and only likely pairs are emitted.
+    that no task holds a large band. A pair is looked at in the first band it shares, first by
+    its registers, then by its least shingles; only pairs that pass are emitted.
     """
     spread = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), (F.col("size") / TILE).cast("int") + 1))
-    held = members.select("band", "doc_id", "n", "component", spread.alias("tile")).join(sketches.select("doc_id", "registers"), "doc_id")
-    tiles = held.groupBy("band", "tile").agg(F.collect_list(F.struct("doc_id", "n", "component", "registers")).alias("held"))
-    tiles = cut(tiles)
+    wanted = members.select(F.col("doc_id").alias("wanted")).distinct()
+    low = _lowest(rows.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi"), k)
+    details = cut(sketches.select("doc_id", "registers").join(low, "doc_id"))
+    held = members.select("band", "doc_id", "n", "component", spread.alias("tile")).join(details, "doc_id")
+    tiles = cut(held.groupBy("band", "tile").agg(F.collect_list(F.struct("doc_id", "n", "component", "registers", "low")).alias("held")))
     met = tiles.alias("x").join(tiles.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.tile") <= F.col("y.tile")))
     # five standard deviations of the estimate below the threshold
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / BUCKETS) ** 0.5
 
     def run(batches):
         for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1)):
+            for band, same, x, y in zip(*(batch.column(i) for i in range(4))):
+                band, same, x, y = band.as_py(), same.as_py(), x.as_py(), y.as_py()
                 out = []
-                x, y = x.as_py(), y.as_py()
-                right = np.frombuffer(b"".join(r["registers"] for r in y), np.uint16).reshape(-1, BUCKETS)
+                one, two = (np.frombuffer(b"".join(r["registers"] for r in z), np.uint16).reshape(-1, BUCKETS) for z in (x, y))
+                keys, others = _band_keys(one), _band_keys(two)
+                lows = [np.frombuffer(r["low"], "<u4") for r in y]
                 ids, n, comp = (np.array([r[c] for r in y]) for c in ("doc_id", "n", "component"))
-                for r in x:
+                for i, r in enumerate(x):
                     near = (comp != r["component"]) & (100 * np.minimum(n, r["n"]) >= percent * np.maximum(n, r["n"]))
-                    near &= similarity(right, np.frombuffer(r["registers"], np.uint16)) >= least
-                    out += [(min(r["doc_id"], i), max(r["doc_id"], i)) for i in ids[near].tolist()]
+                    if same:
+                        near &= ids > r["doc_id"]
+                    at = np.flatnonzero(near)
+                    at = at[similarity(two[at], one[i]) >= least]
+                    shared = others[at] == keys[i]
+                    at = at[keys[i][shared.argmax(1)] == band]
+                    mine = np.frombuffer(r["low"], "<u4")
+                    out += [(min(r["doc_id"], int(ids[j])), max(r["doc_id"], int(ids[j]))) for j in at if _may_link(mine, lows[j], r["n"], int(n[j]), percent)]
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
-    return met.select(F.col("x.held"), F.col("y.held").alias("other")).mapInArrow(run, "a long, b long").distinct()
+    return met.select("x.band", (F.col("x.tile") == F.col("y.tile")).alias("same"), F.col("x.held"), F.col("y.held").alias("other")).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,9 +240,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     1. Sketch every whole text; documents of equal sets form a class, its smallest id stands for it.
     2. Band the registers; in each band, every class meets the band's smallest class. Pairs of fit
        sizes are verified on full sets, and components are taken.
-    3. Where a band still holds several components, its classes are compared with each other by
-       their registers in tiles; likely pairs that were not verified yet are, and components are
-       taken again. So no link is lost but by the sketch's chance (see BANDS).
+    3. Where a band still holds several components, its classes are compared with each other in
+       tiles, by registers and then by their least shingles; likely pairs that were not verified
+       yet are, and components are taken again. So no link is lost but by the sketches' chance.
 
     Result, a row per input row: doc_id, n_shingles, component_id, kept (doc_id = component_id).
     Texts without words (null, empty, blank) have no shingles and stand alone. Rows that share an
@@ -216,7 +265,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     labelled = shared.where("size > 2").select("band", "doc_id", "n", "size").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     labelled = cut(labelled)
     open_bands = cut(labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band"))
-    more = _cross_pairs(labelled.join(open_bands, "band"), sketches, percent).join(pairs, ["a", "b"], "left_anti")
+    more = _cross_pairs(labelled.join(open_bands, "band"), sketches, texts, k, percent).join(pairs, ["a", "b"], "left_anti")
     more = cut(more)
     if not more.isEmpty():
         links = cut(links.union(_verified(more, texts, k, percent)))

@@ -1,4 +1,432 @@
-"""All queries and their SQL."""
+"""Queries over the given tables, and SQL for those that DuckDB can express."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lambi.functions import phonemes as ph
+from lambi.functions import textnorm as tn
+from lambi.operators import coverage, dedup, profile, rules, scoring, signal, splits, vectors
+from lambi.plans.fixtures import CLIPS_SQL, NORM_SQL, PAIRS_SQL, clips, pairs, refs, table, waves
+from lambi.sources import tables as src
+from lambi.streaming.quota import quota_batch
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+MIN_S, MAX_S = 0.5, 600.0
+VOICES = [("deniz", "spk1", True, ["src1", "src2", "src4"]), ("klodin", "spk2", True, ["src2"]), ("jan", "spk3", True, []), ("mariz", "SPK4", True, ["src7"]), ("nana", "spk5", False, []), ("leo", "nobody", False, [])]
+WEIGHTS = {"src1": 2.5, "src2": 1.5}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def _docs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents")
+
+
+@query("normalize_text", f"SELECT doc_id, {NORM_SQL.format('text')} AS norm FROM documents")
+def normalize_text(spark, sf):
+    return _docs(spark, sf).select("doc_id", tn.normalize(F.col("text")).alias("norm"))
+
+
+_OUTSIDE = r"regexp_replace(text, '[a-zA-ZàèéòùÀÈÉÒÙ0-9 .,?!''\-:;\"()%&/]', '', 'g')"
+
+
+@query("charset_audit", f"SELECT ch, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(string_split({_OUTSIDE}, '')) AS ch FROM documents WHERE {_OUTSIDE} <> '') GROUP BY ch ORDER BY n DESC, ch LIMIT 30")
+def charset_audit(spark, sf):
+    return coverage.counts(_docs(spark, sf), tn.out_of_charset(F.col("text")), "ch", 30)
+
+
+@query("style_stats", r"SELECT round(avg(CASE WHEN regexp_matches(text, '\p{Lu}') THEN 1.0 ELSE 0.0 END::DOUBLE), 9) AS cased_ratio, round(avg(CASE WHEN regexp_matches(text, '[.!?,]') THEN 1.0 ELSE 0.0 END::DOUBLE), 9) AS punctuated_ratio FROM documents")
+def style_stats(spark, sf):
+    return _docs(spark, sf).agg(F.round(F.avg(tn.is_cased(F.col("text")).cast("double")), 9).alias("cased_ratio"), F.round(F.avg(tn.is_punctuated(F.col("text")).cast("double")), 9).alias("punctuated_ratio"))
+
+
+ENCODABLE = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789éèòàù.,?!'-"
+
+
+@query("vocab_sanitize", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(text, ':;', ',,'), '…', '...', 'g'), '[/\\|_]', ' ', 'g'), '[^a-zA-Z0-9éèòàù.,?!''\-\s]', '', 'g'), '\s+', ' ', 'g')) AS clean FROM documents""")
+def vocab_sanitize(spark, sf):
+    return _docs(spark, sf).select("doc_id", tn.sanitize(F.col("text"), ENCODABLE).alias("clean"))
+
+
+@query("vocab_losses", r"SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '[a-zA-Z0-9éèòàù.,?!''\-\s]', '', 'g'), '')) AS ch FROM documents) WHERE ch <> '' GROUP BY ch ORDER BY n DESC, ch LIMIT 30")
+def vocab_losses(spark, sf):
+    return coverage.counts(_docs(spark, sf), tn.unencodable(F.col("text"), ENCODABLE), "ch", 30)
+
+
+def classified(spark: SparkSession, sf: str) -> DataFrame:
+    """Clips with their normal form and the first rule they fail; later copies fail `duplicate`."""
+    df = clips(spark, sf).withColumn("text", tn.normalize(F.col("raw_text")))
+    df = df.withColumn("drop_reason", rules.first_failing(rules.speech_rules(F.col("text"), F.col("duration"), MIN_S, MAX_S)))
+    df = df.withColumn("content_key", F.when(F.col("drop_reason").isNull(), F.concat_ws("|", "audio_md5", F.lower("text"))))
+    first = df.where("content_key is not null").groupBy("content_key").agg(F.min(F.struct("source_ord", "idx")).alias("first"))
+    joined = df.join(first, "content_key", "left")
+    return joined.withColumn("drop_reason", F.when(F.col("first").isNotNull() & (F.struct("source_ord", "idx") != F.col("first")), "duplicate").otherwise(F.col("drop_reason"))).drop("first", "content_key")
+
+
+_CLASS = f"""c AS ({CLIPS_SQL}), n AS (SELECT *, {NORM_SQL.format('raw_text')} AS text FROM c),
+r AS (SELECT *, CASE WHEN duration IS NULL THEN 'undecodable_audio' WHEN text = '' THEN 'empty_text' WHEN duration < {MIN_S} THEN 'too_short' WHEN duration > {MAX_S} THEN 'too_long'
+      WHEN duration <= 0 OR length(text) / duration > 25.0 THEN 'implausible_chars_per_second' END AS reason FROM n),
+k AS (SELECT *, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY reason, audio_md5, lower(text) ORDER BY source_ord, idx) > 1 THEN 'duplicate' ELSE reason END AS drop_reason FROM r)"""
+
+
+@query("drop_report", f"WITH {_CLASS} SELECT drop_reason, count(*) AS clips, round(sum(duration) / 3600, 6) AS hours FROM k GROUP BY drop_reason")
+def drop_report(spark, sf):
+    return classified(spark, sf).groupBy("drop_reason").agg(F.count(F.lit(1)).alias("clips"), F.round(F.sum("duration") / 3600, 6).alias("hours"))
+
+
+@query("dedup_keep_first", f"WITH {_CLASS} SELECT idx, source, drop_reason FROM k")
+def dedup_keep_first(spark, sf):
+    return classified(spark, sf).select("idx", "source", "drop_reason")
+
+
+@query("hours_per_source", f"WITH {_CLASS} SELECT source, count(*) AS clips, round(sum(duration) / 3600, 6) AS hours FROM k WHERE drop_reason IS NULL GROUP BY source")
+def hours_per_source(spark, sf):
+    return classified(spark, sf).where("drop_reason is null").groupBy("source").agg(F.count(F.lit(1)).alias("clips"), F.round(F.sum("duration") / 3600, 6).alias("hours"))
+
+
+@query("corpus_totals", f"WITH {_CLASS} SELECT count(*) AS clips, round(sum(duration) / 3600, 6) AS hours, round(sum(duration) FILTER (NOT synthetic) / 3600, 6) AS real_hours, round(sum(duration) FILTER (synthetic) / 3600, 6) AS synthetic_hours FROM k WHERE drop_reason IS NULL")
+def corpus_totals(spark, sf):
+    part = lambda c: F.round(F.sum(F.when(c, F.col("duration"))) / 3600, 6)
+    return classified(spark, sf).where("drop_reason is null").agg(F.count(F.lit(1)).alias("clips"), part(F.lit(True)).alias("hours"), part(~F.col("synthetic")).alias("real_hours"), part(F.col("synthetic")).alias("synthetic_hours"))
+
+
+_BUCKET = "('0x' || substr(md5(path), 1, 8))::BIGINT / 4294967295.0::DOUBLE"
+_SPLIT = f"CASE WHEN {_BUCKET} < 0.1 THEN 'test' WHEN {_BUCKET} < 0.2 THEN 'val' ELSE 'train' END"
+
+
+@query("hash_split", f"WITH c AS ({CLIPS_SQL}) SELECT idx, {_SPLIT} AS split FROM c")
+def hash_split(spark, sf):
+    return clips(spark, sf).select("idx", splits.hash_split(F.col("path"), 0.1, 0.1).alias("split"))
+
+
+_ORDER = "md5('1804|' || speaker)"
+_GROUP = f"""d AS (SELECT speaker, sum(duration) AS d FROM c WHERE speaker IS NOT NULL AND NOT synthetic GROUP BY speaker), o AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS i, sum(d) OVER () AS total FROM d),
+g AS (SELECT i, speaker, CASE WHEN d <= 1.15 * 0.1 * total THEN 'test' WHEN d <= 1.15 * 0.1 * total THEN 'val' ELSE 'train' END AS split, CASE WHEN d <= 1.15 * 0.1 * total THEN d ELSE 0 END AS t, 0::DOUBLE AS v FROM o WHERE i = 1
+      UNION ALL SELECT o.i, o.speaker,
+        CASE WHEN g.t + d <= 1.15 * 0.1 * total AND g.t < 0.1 * total THEN 'test' WHEN g.v + d <= 1.15 * 0.1 * total AND g.v < 0.1 * total THEN 'val' ELSE 'train' END,
+        g.t + CASE WHEN g.t + d <= 1.15 * 0.1 * total AND g.t < 0.1 * total THEN d ELSE 0 END,
+        g.v + CASE WHEN NOT (g.t + d <= 1.15 * 0.1 * total AND g.t < 0.1 * total) AND g.v + d <= 1.15 * 0.1 * total AND g.v < 0.1 * total THEN d ELSE 0 END
+      FROM g JOIN o ON o.i = g.i + 1)"""
+
+
+def _split_voiced(spark, sf):
+    return splits.split_corpus(clips(spark, sf).where("speaker is not null"), "path", "speaker", "duration", "synthetic")
+
+
+@query("group_split", f"WITH RECURSIVE c AS ({CLIPS_SQL}), {_GROUP} SELECT idx, speaker, CASE WHEN synthetic THEN 'train' ELSE split END AS split FROM c LEFT JOIN g USING (speaker) WHERE speaker IS NOT NULL")
+def group_split(spark, sf):
+    return _split_voiced(spark, sf).select("idx", "speaker", "split")
+
+
+@query("synthetic_isolation", f"WITH c AS ({CLIPS_SQL}) SELECT CASE WHEN synthetic THEN 'train' ELSE {_SPLIT} END AS split, synthetic, count(*) AS clips FROM c GROUP BY ALL")
+def synthetic_isolation(spark, sf):
+    return splits.split_corpus(clips(spark, sf), "path", "speaker", "duration", "synthetic").groupBy("split", "synthetic").agg(F.count(F.lit(1)).alias("clips"))
+
+
+@query("oversample", f"WITH c AS ({CLIPS_SQL}), s AS (SELECT *, CASE WHEN synthetic THEN 'train' ELSE {_SPLIT} END AS split FROM c) SELECT split, count(*) AS clips, round(sum(duration) / 3600, 6) AS hours FROM s, (VALUES (1), (2)) x(i) WHERE i = 1 OR (split = 'train' AND source IN ('src1', 'src2')) GROUP BY split")
+def oversample(spark, sf):
+    done = splits.split_corpus(clips(spark, sf), "path", "speaker", "duration", "synthetic")
+    weights = spark.createDataFrame(list(WEIGHTS.items()), "source string, weight double")
+    rows = splits.oversample(done.join(F.broadcast(weights), "source", "left"), F.coalesce("weight", F.lit(1.0)))
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("clips"), F.round(F.sum("duration") / 3600, 6).alias("hours"))
+
+
+_HELD = f"c AS ({CLIPS_SQL}), h AS (SELECT path FROM c WHERE NOT synthetic ORDER BY md5('1804|' || path), path LIMIT (SELECT least(400, greatest(1, count(*) // 10)) FROM c WHERE NOT synthetic))"
+
+
+@query("utterance_holdout", f"WITH {_HELD} SELECT idx, CASE WHEN path IN (FROM h) THEN 'val' ELSE 'train' END AS split FROM c")
+def utterance_holdout(spark, sf):
+    df = clips(spark, sf)
+    held = splits.holdout(df, "path", "synthetic")
+    train = df.join(held, "path", "left_anti").withColumn("split", F.lit("train"))
+    return train.select("idx", "split").unionByName(df.join(held, "path", "left_semi").select("idx", F.lit("val").alias("split")))
+
+
+@query("capped_group_sample", f"""WITH c AS ({CLIPS_SQL}), r AS (SELECT *, row_number() OVER (PARTITION BY speaker ORDER BY md5('1804|' || path), path) AS rank FROM c WHERE speaker IS NOT NULL), n AS (SELECT *, count(*) OVER (PARTITION BY speaker) AS n FROM r WHERE rank <= 20)
+SELECT speaker, idx, CASE WHEN rank <= greatest(3, n // 20) THEN 'val' ELSE 'train' END AS split, n >= 10 AS ready FROM n""")
+def capped_group_sample(spark, sf):
+    return splits.capped_groups(clips(spark, sf).where("speaker is not null"), "speaker", "path", cap=20, least_val=3, ready_from=10).select("speaker", "idx", "split", "ready")
+
+
+@query("train_sample", f"WITH {_HELD} SELECT path FROM c WHERE path NOT IN (FROM h) ORDER BY md5('7|' || path), path LIMIT 2000")
+def train_sample(spark, sf):
+    df = clips(spark, sf)
+    train = df.join(splits.holdout(df, "path", "synthetic"), "path", "left_anti")
+    return train.orderBy(splits.seeded(F.col("path"), 7), "path").limit(2000).select("path")
+
+
+@query("speaker_index", f"WITH c AS ({CLIPS_SQL}) SELECT speaker, dense_rank() OVER (ORDER BY speaker) - 1 AS index FROM (SELECT DISTINCT speaker FROM c WHERE speaker IS NOT NULL)")
+def speaker_index(spark, sf):
+    return splits.dense_index(clips(spark, sf), "speaker").select("speaker", F.col("index").cast("long").alias("index"))
+
+
+_FORM = r"trim(regexp_replace(translate(lower(regexp_replace(nfc_normalize({0}), '<[a-z]{{2,3}}(-[A-Za-z]{{2,4}})?>', ' ', 'g')), '!\"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~«»…', ''), '\s+', ' ', 'g'))"
+_SCORED = f"""p AS ({PAIRS_SQL}), n AS (SELECT *, {_FORM.format('reference')} AS r, {_FORM.format('hypothesis')} AS h FROM p),
+w AS (SELECT *, string_split(r, ' ') AS rw, list_filter(string_split(h, ' '), lambda x: x <> '') AS hw FROM n WHERE r <> ''), a AS (SELECT *, list_distinct(list_concat(rw, hw)) AS ab FROM w),
+cc AS (SELECT *, list_distinct(list_concat(string_split(r, ''), string_split(h, ''))) AS cb FROM a),
+s AS (SELECT *, levenshtein(array_to_string(list_transform(rw, lambda x: chr(33 + list_position(ab, x)::INT)), ''), array_to_string(list_transform(hw, lambda x: chr(33 + list_position(ab, x)::INT)), '')) AS word_edits, len(rw) AS words,
+      levenshtein(array_to_string(list_transform(string_split(r, ''), lambda x: chr(33 + list_position(cb, x)::INT)), ''), array_to_string(list_transform(string_split(h, ''), lambda x: chr(33 + list_position(cb, x)::INT)), '')) AS char_edits, length(r) AS chars FROM cc)"""
+
+
+@query("wer_cer", f"WITH {_SCORED} SELECT model, latency_ms, round(sum(word_edits) / sum(words), 5) AS wer, round(sum(char_edits) / sum(chars), 5) AS cer, count(*) AS clips FROM s GROUP BY ALL")
+def wer_cer(spark, sf):
+    return scoring.error_rates(pairs(spark, sf), "model", "latency_ms")
+
+
+@query("worst_clips", f"WITH {_SCORED} SELECT doc_id, round(word_edits / words, 4) AS wer FROM s WHERE model = 'baseline' AND latency_ms = 80 ORDER BY wer DESC, doc_id LIMIT 20")
+def worst_clips(spark, sf):
+    return scoring.worst(pairs(spark, sf).where("model = 'baseline' and latency_ms = 80"), "doc_id").select("doc_id", "wer")
+
+
+@query("tags_emitted", f"WITH p AS ({PAIRS_SQL}) SELECT model, latency_ms, tag, count(*) AS n, tag <> '<ht-HT>' AS stray FROM (SELECT model, latency_ms, unnest(regexp_extract_all(hypothesis, '<[a-z]{{2,3}}(?:-[A-Za-z]{{2,4}})?>')) AS tag FROM p) GROUP BY ALL")
+def tags_emitted(spark, sf):
+    return scoring.tag_counts(pairs(spark, sf), "model", "latency_ms").withColumn("stray", F.lower("tag") != "<ht-ht>")
+
+
+@query("system_compare", f"WITH {_SCORED}, e AS (SELECT model, latency_ms, round(sum(word_edits) / sum(words), 5) AS wer FROM s GROUP BY ALL) SELECT latency_ms, max(wer) FILTER (model = 'baseline') AS baseline_wer, max(wer) FILTER (model = 'tuned') AS tuned_wer, round(max(wer) FILTER (model = 'tuned') - max(wer) FILTER (model = 'baseline'), 5) AS delta FROM e GROUP BY latency_ms")
+def system_compare(spark, sf):
+    return scoring.compare_systems(scoring.error_rates(pairs(spark, sf), "model", "latency_ms"), "baseline", "tuned")
+
+
+_TIER = "CASE WHEN {0} < 22050 THEN 'D' WHEN {1} >= 5e-3 THEN 'A' WHEN {1} >= 5e-4 THEN 'B' ELSE 'C' END"
+
+
+def _profile_sql(*keys: str) -> str:
+    k = ", ".join(keys)
+    return f"""WITH c AS ({CLIPS_SQL}), m AS (SELECT {k}, arg_min(native_sr, (-n, native_sr)) AS native_sr FROM (SELECT {k}, native_sr, count(*) AS n FROM c GROUP BY ALL) GROUP BY {k}),
+    a AS (SELECT {k}, count(*) AS clips, median(e8k) AS median_e8k, median(duration) AS median_s, round(sum(duration), 6) AS total_s FROM c GROUP BY {k})
+    SELECT {k}, clips, native_sr, median_e8k, median_s, total_s, {_TIER.format('native_sr', 'median_e8k')} AS tier, 1.66e-2 / greatest(median_e8k, 1e-12) AS gap FROM a JOIN m USING ({k})"""
+
+
+@query("source_profile", _profile_sql("source").replace("1.66e-2 / greatest(median_e8k, 1e-12) AS gap", "round(1.66e-2 / greatest(median_e8k, 1e-12), 3) AS gap"))
+def source_profile(spark, sf):
+    return profile.profile(clips(spark, sf), "source").withColumn("gap", F.round("gap", 3))
+
+
+@query("speaker_source_profile", f"SELECT speaker, source, clips, native_sr, tier FROM ({_profile_sql('speaker', 'source')})")
+def speaker_source_profile(spark, sf):
+    return profile.profile(clips(spark, sf).where("speaker is not null"), "speaker", "source").select("speaker", "source", "clips", "native_sr", "tier")
+
+
+@query("rate_histogram", f"WITH c AS ({CLIPS_SQL}) SELECT source, native_sr, count(*) AS clips FROM c GROUP BY ALL")
+def rate_histogram(spark, sf):
+    return profile.rate_histogram(clips(spark, sf))
+
+
+@query("speaker_tier", f"WITH c AS ({CLIPS_SQL}), m AS (SELECT coalesce(speaker, '<none>') AS speaker, source, median(native_sr) AS sr, median(e8k) AS e FROM c GROUP BY ALL) SELECT speaker, min({_TIER.format('sr', 'e')}) AS tier FROM m GROUP BY speaker")
+def speaker_tier(spark, sf):
+    return profile.speaker_tiers(clips(spark, sf).withColumn("speaker", F.coalesce("speaker", F.lit("<none>"))))
+
+
+@query("duplicate_corpora", f"WITH c AS ({CLIPS_SQL}), s AS (SELECT DISTINCT source, audio_md5 FROM c), z AS (SELECT source, count(*) AS n FROM s GROUP BY source) SELECT x.a, x.b, overlap, round(overlap / za.n, 9) AS share_a, round(overlap / zb.n, 9) AS share_b FROM (SELECT p.source AS a, q.source AS b, count(*) AS overlap FROM s p JOIN s q ON p.audio_md5 = q.audio_md5 AND p.source < q.source GROUP BY ALL) x JOIN z za ON za.source = x.a JOIN z zb ON zb.source = x.b")
+def duplicate_corpora(spark, sf):
+    out = dedup.duplicate_corpora(clips(spark, sf), "source", "audio_md5")
+    return out.withColumn("share_a", F.round("share_a", 9)).withColumn("share_b", F.round("share_b", 9))
+
+
+_VOICES = ", ".join(f"('{n}', '{s}', {str(b).lower()}, {x}::VARCHAR[])" for n, s, b, x in VOICES)
+
+
+@query("voice_stats", f"""WITH c AS ({CLIPS_SQL}), v(name, speaker_id, stage2, sources) AS (VALUES {_VOICES}),
+m AS (SELECT v.name, duration, {_TIER.format('native_sr', 'e8k')} AS tier, ({_TIER.format('native_sr', 'e8k')} IN ('A', 'B') AND (len(sources) = 0 OR list_contains(sources, source)))::INT AS two FROM c JOIN v ON c.speaker = v.speaker_id OR c.speaker = lower(v.speaker_id)),
+a AS (SELECT name, count(*) AS clips, sum(duration) AS s, sum(two) AS n2, min(tier) AS tier FROM m GROUP BY name)
+SELECT v.name, coalesce(clips, 0) AS clips, round(coalesce(s, 0) / 3600, 6) AS hours, least(coalesce(n2, 0), 900)::BIGINT AS stage2_clips, tier, stage2 AND least(coalesce(n2, 0), 900) >= 2 AS ready, CASE WHEN NOT stage2 THEN 'BLOCKED' WHEN coalesce(n2, 0) >= 2 THEN 'PASS' ELSE 'THIN' END AS status FROM v LEFT JOIN a USING (name)""")
+def voice_stats(spark, sf):
+    voices = spark.createDataFrame(VOICES, "name string, speaker_id string, stage2 boolean, stage2_sources array<string>")
+    return profile.voice_stats(clips(spark, sf), voices, ready_from=2)
+
+
+@query("synthesis_rules", f"""WITH c AS ({CLIPS_SQL}), p AS (SELECT *, length(regexp_replace(raw_text, '\\s', '', 'g')) AS n, idx % 40 AS snr FROM c)
+SELECT idx, CASE WHEN duration IS NULL THEN 'undecodable_audio' WHEN e8k > 0.005 THEN 'clipped' WHEN e8k / 2 > 0.005 THEN 'dc_offset' WHEN duration < 1 THEN 'too_short' WHEN duration > 12 THEN 'too_long' WHEN snr < 15 THEN 'low_snr' WHEN n < 5 THEN 'too_few_phonemes' WHEN n > 400 THEN 'too_many_phonemes' WHEN duration <= 0 OR n / duration > 22 THEN 'implausible_phoneme_rate' END AS drop_reason FROM p""")
+def synthesis_rules(spark, sf):
+    df = clips(spark, sf)
+    m = {"duration": F.col("duration"), "clip_ratio": F.col("e8k"), "dc_offset": F.col("e8k") / 2, "snr": F.col("idx") % 40, "n_phonemes": F.length(F.regexp_replace("raw_text", r"\s", ""))}
+    return df.select("idx", rules.first_failing(rules.synthesis_rules(m)).alias("drop_reason"))
+
+
+@query("row_counts", "SELECT 'events' AS name, count(*) AS n FROM events UNION ALL SELECT 'documents', count(*) FROM documents")
+def row_counts(spark, sf):
+    one = lambda t: table(spark, sf, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("name"), "n")
+    return one("events").union(one("documents"))
+
+
+@query("stratified_sample", """WITH b AS (SELECT event_id // 500 AS block, count(*) AS rows FROM events GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY block) - 1 AS b, count(*) OVER () AS total FROM b),
+k AS (SELECT DISTINCT round_even(i * (total - 1) / greatest(least(5, total) - 1, 1), 0)::BIGINT AS b FROM (SELECT max(total) AS total FROM n), range(5) r(i) WHERE i < least(5, total)),
+c AS (SELECT block, n.b, greatest(1, rows // (200 // least(5, total))) AS step FROM n JOIN k ON n.b = k.b),
+r AS (SELECT event_id, b, step, row_number() OVER (PARTITION BY block ORDER BY event_id) AS rn FROM events JOIN c ON event_id // 500 = block)
+SELECT event_id FROM r WHERE (rn - 1) % step = 0 ORDER BY b, rn LIMIT 200""")
+def stratified_sample(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.expr("event_id div 500").alias("block"))
+    return src.block_sample(e, "block", "event_id", 200).select("event_id")
+
+
+def _number_sql() -> str:
+    values = ", ".join(f"({i}, '{w}')" for i, w in enumerate(ph.below_thousand()))
+    return f"""WITH w(i, word) AS (VALUES {values}), n AS (SELECT DISTINCT p_partkey AS n FROM part UNION SELECT DISTINCT l_orderkey FROM lineitem)
+    SELECT n, CASE WHEN n < 1000 THEN b.word WHEN n >= 1000000 THEN NULL ELSE (CASE WHEN n // 1000 = 1 THEN 'mil' ELSE a.word || ' mil' END) || (CASE WHEN n % 1000 = 0 THEN '' ELSE ' ' || b.word END) END AS words FROM n LEFT JOIN w a ON a.i = n // 1000 JOIN w b ON b.i = n % 1000"""
+
+
+@query("number_words", _number_sql())
+def number_words(spark, sf):
+    n = table(spark, sf, "part").select(F.col("p_partkey").alias("n")).union(table(spark, sf, "lineitem").select("l_orderkey")).distinct()
+    return n.select("n", ph.number_words(F.col("n")).alias("words"))
+
+
+@query("phonemize")
+def phonemize(spark, sf):
+    said = ph.phonemes(F.col("text"))
+    return _docs(spark, sf).select("doc_id", said.alias("phonemes")).withColumn("n_phonemes", ph.phoneme_count(F.col("phonemes")))
+
+
+@query("phoneme_coverage")
+def phoneme_coverage(spark, sf):
+    return coverage.phoneme_report(phonemize(spark, sf), "phonemes")
+
+
+@query("token_coverage", "SELECT tokens, words, round(tokens / greatest(words, 1), 3) AS tokens_per_word, unknown, round(unknown / greatest(tokens, 1), 6) AS unknown_rate, CASE WHEN round(unknown / greatest(tokens, 1), 6) > 0.001 OR round(tokens / greatest(words, 1), 3) > 4 THEN 'REVIEW' ELSE 'OK' END AS verdict FROM (SELECT sum(length(text))::BIGINT AS tokens, sum(len(regexp_extract_all(text, '[^\\s]+')))::BIGINT AS words, sum(length(regexp_replace(text, '[^|]', '', 'g')))::BIGINT AS unknown FROM documents)")
+def token_coverage(spark, sf):
+    df = _docs(spark, sf).withColumn("tokens", F.transform(F.filter(F.split("text", ""), lambda c: c != ""), lambda c: F.when(c == "|", 0).otherwise(1)))
+    return coverage.token_report(df, "text", "tokens", 0)
+
+
+@query("chunk_text")
+def chunk_text(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.posexplode(tn.chunks(F.col("text"), 200)).alias("segment", "piece"))
+
+
+_ABS = "list_transform(embedding, lambda x: abs(x::DOUBLE))"
+
+
+@query("level_stats", f"SELECT vec_id, round(list_max({_ABS}), 6) AS peak, round(len(list_filter({_ABS}, lambda x: x >= 0.999)) / len(embedding), 6) AS clip_ratio, round(abs(list_sum(list_transform(embedding, lambda x: x::DOUBLE)) / len(embedding)), 6) AS dc_offset, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)), 6) AS rms, len(embedding) / 16000 AS duration FROM embeddings")
+def level_stats(spark, sf):
+    out = signal.level_stats(waves(spark, sf), "wave", "sr")
+    return out.select("vec_id", *(F.round(c, 6).alias(c) for c in ("peak", "clip_ratio", "dc_offset", "rms")), "duration")
+
+
+@query("peak_gain", f"SELECT vec_id, round(CASE WHEN p > pow(10, -0.05) THEN pow(10, -0.05) / p ELSE 1 END, 6) AS ceiling, round(CASE WHEN p > 1e-4 AND p < 0.5 THEN 0.95 / p ELSE 1 END, 6) AS quiet FROM (SELECT vec_id, list_max({_ABS}) AS p FROM embeddings)")
+def peak_gain(spark, sf):
+    w = F.col("wave")
+    return waves(spark, sf).select("vec_id", F.round(signal.ceiling_gain(w), 6).alias("ceiling"), F.round(signal.quiet_gain(w), 6).alias("quiet"))
+
+
+@query("fixed_padding", "SELECT vec_id, 64 + 800 + 2400 AS n, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 5) AS total FROM embeddings")
+def fixed_padding(spark, sf):
+    x = waves(spark, sf).select("vec_id", signal.padded(F.col("wave"), 16000).alias("x"))
+    return x.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
+
+
+@query("level_match", """WITH r AS (SELECT vec_id, label, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)) AS rms FROM embeddings), m AS (SELECT label, median(rms) FILTER (rms >= 1e-5) AS lv, count(*) FILTER (rms >= 1e-5) AS k FROM r GROUP BY label)
+SELECT vec_id, round(CASE WHEN k >= 2 AND rms >= 1e-5 AND abs(least(2, greatest(0.5, lv / rms)) - 1) >= 0.02 THEN least(2, greatest(0.5, lv / rms)) ELSE 1 END, 6) AS gain FROM r JOIN m USING (label)""")
+def level_match(spark, sf):
+    out = signal.match_levels(signal.level_stats(waves(spark, sf), "wave", "sr"), "passage")
+    return out.select("vec_id", F.round("gain", 6).alias("gain"))
+
+
+@query("signal_measures")
+def signal_measures(spark, sf):
+    return signal.measure(waves(spark, sf), "vec_id", "wave", "sr")
+
+
+@query("segment_join")
+def segment_join(spark, sf):
+    out = signal.join_segments(waves(spark, sf), "passage", "vec_id", "wave", "sr")
+    return out.select("passage", F.size("samples").alias("n"))
+
+
+_TABLE = """r AS (SELECT vec_id AS id, (10 + vec_id % 390)::INT AS length, embedding FROM embeddings), t AS (SELECT i::INT AS target FROM range(1, 511) x(i)), p AS (SELECT target, id, length, abs(length - target) AS d FROM r, t),
+h AS (SELECT target, count(*) FILTER (d <= greatest(3, 0.2 * target)) AS hits FROM p GROUP BY target), k AS (SELECT p.*, hits, row_number() OVER (PARTITION BY p.target ORDER BY d, id) AS rn FROM p JOIN h USING (target)),
+u AS (SELECT target, id FROM k WHERE CASE WHEN hits >= 5 THEN d <= greatest(3, 0.2 * target) ELSE rn <= 5 END),
+f AS (SELECT id, unnest(embedding) AS x, unnest(range(len(embedding)))::INT AS dim FROM r), v AS (SELECT target, dim, avg(x::DOUBLE) AS value FROM u JOIN f USING (id) GROUP BY ALL)"""
+_SMOOTH = "s AS (SELECT a.target, a.dim, sum(b.value) / 15 AS value FROM v a, range(-7, 8) o(k), v b WHERE b.dim = a.dim AND b.target = least(510, greatest(1, a.target + k)) GROUP BY ALL)"
+
+
+@query("length_table", f"WITH {_TABLE} SELECT target, dim, round(value, 6) + 0.0 AS value FROM v")
+def length_table(spark, sf):
+    return vectors.length_table(refs(spark, sf), 510).select("target", "dim", (F.round("value", 6) + F.lit(0.0)).alias("value"))
+
+
+@query("smooth_table", f"WITH {_TABLE}, {_SMOOTH} SELECT target, dim, round(value, 6) + 0.0 AS value FROM s")
+def smooth_table(spark, sf):
+    return vectors.smooth_table(vectors.length_table(refs(spark, sf), 510)).select("target", "dim", (F.round("value", 6) + F.lit(0.0)).alias("value"))
+
+
+@query("table_check", f"""WITH {_TABLE}, {_SMOOTH}, e AS (SELECT dim, max(value) FILTER (target = 1) AS a, max(value) FILTER (target = 510) AS b FROM s GROUP BY dim), q AS (SELECT sqrt(sum(a * a)) AS n0, sqrt(sum(b * b)) AS n1, sum(a * b) AS dot FROM e)
+SELECT round(n0, 5) AS first_norm, round(n1, 5) AS last_norm, round(n0 / greatest(n1, 1e-9), 5) AS decay, round(dot / greatest(n0 * n1, 1e-9), 5) AS cosine, CASE WHEN n0 / greatest(n1, 1e-9) BETWEEN 1.8 AND 8 AND dot / greatest(n0 * n1, 1e-9) BETWEEN 0.05 AND 0.9 THEN 'PASS' ELSE 'SUSPECT' END AS verdict FROM q""")
+def table_check(spark, sf):
+    return vectors.check_table(vectors.smooth_table(vectors.length_table(refs(spark, sf), 510)))
+
+
+@query("truncation_flag", f"WITH c AS ({CLIPS_SQL}) SELECT idx, duration <= 0 OR length(raw_text) / duration > 16.0 AS truncated FROM c")
+def truncation_flag(spark, sf):
+    return clips(spark, sf).select("idx", rules.truncated(F.col("raw_text"), F.col("duration")).alias("truncated"))
+
+
+_KNOB = "CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'hot' WHEN 2 THEN 'NaN' ELSE CAST(value AS {0}) END"
+
+
+@query("clamp_params", f"SELECT event_id, CASE WHEN k IS NULL THEN 0.7 WHEN k IN ('hot', 'NaN') THEN NULL ELSE least(20.0, greatest(0.5, k::DOUBLE)) END AS value, CASE WHEN k IN ('hot', 'NaN') THEN 'must be a number' END AS error FROM (SELECT event_id, {_KNOB.format('VARCHAR')} AS k FROM events)".replace("k::DOUBLE", "try_cast(k AS DOUBLE)"))
+def clamp_params(spark, sf):
+    value, error = rules.clamp(F.col("k"), 0.5, 20.0, 0.7)
+    return table(spark, sf, "events").select("event_id", F.expr(_KNOB.format("STRING")).alias("k")).select("event_id", value.alias("value"), error.alias("error"))
+
+
+@query("latency_lookup", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 3 WHEN 2 THEN 6 WHEN 3 THEN 13 END AS frames, CASE WHEN event_id % 5 = 4 THEN 'unknown latency' END AS error FROM events")
+def latency_lookup(spark, sf):
+    frames, error = rules.context_frames(F.element_at(F.array(*map(F.lit, (80, 320, 560, 1120, 99))), (F.col("event_id") % 5 + 1).cast("int")))
+    return table(spark, sf, "events").select("event_id", frames.alias("frames"), error.alias("error"))
+
+
+@query("payload_decode", "SELECT conv_id, turn, CASE WHEN turn % 3 <> 2 THEN octet_length(text::BLOB)::INT END AS size, CASE WHEN turn % 3 = 2 THEN 'invalid base64' END AS error FROM (SELECT conv_id, turn, encode(text) AS text FROM conversations)")
+def payload_decode(spark, sf):
+    c = table(spark, sf, "conversations")
+    coded = F.base64(F.encode("text", "UTF-8"))
+    raw, error = rules.decode_payload(F.when(F.col("turn") % 3 == 2, "*not base64*").when(F.col("turn") % 3 == 1, F.concat(F.lit("data:audio/wav;base64,"), coded)).otherwise(coded))
+    return c.select("conv_id", "turn", F.octet_length(raw).alias("size"), error.alias("error"))
+
+
+@query("length_bounds", "SELECT conv_id, turn, CASE WHEN trim(text) = '' THEN 'empty' WHEN length(text) > 200 THEN 'too_long' END AS error FROM conversations")
+def length_bounds(spark, sf):
+    t = F.col("text")
+    return table(spark, sf, "conversations").select("conv_id", "turn", rules.first_failing([("empty", F.trim(t) == ""), ("too_long", F.length(t) > 200)]).alias("error"))
+
+
+_MAIL = "CASE event_id % 4 WHEN 0 THEN concat(' user', CAST(user_id AS {0}), '@example.org ') WHEN 1 THEN 'no address' WHEN 2 THEN NULL ELSE concat('u', CAST(event_id AS {0}), '@x.ht') END"
+
+
+@query("signup_rules", rf"SELECT event_id, email, left(trim(props), 1000) AS note, left(trim(event_type), 80) AS use_case, regexp_matches(email, '^[^\s@]+@[^\s@]+\.[^\s@]+$') AS valid FROM (SELECT *, trim(coalesce({_MAIL.format('VARCHAR')}, '')) AS email FROM events)")
+def signup_rules(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.expr(_MAIL.format("STRING")).alias("email"), F.col("props").alias("note"), F.col("event_type").alias("use_case"))
+    return rules.signup(e)
+
+
+@query("quota_window", """WITH RECURSIVE e AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+w AS (SELECT user_id, event_id, i, ts, ts + INTERVAL 1 HOUR AS reset, 1 AS n FROM e WHERE i = 1
+      UNION ALL SELECT e.user_id, e.event_id, e.i, e.ts, CASE WHEN e.ts >= w.reset THEN e.ts + INTERVAL 1 HOUR ELSE w.reset END, CASE WHEN e.ts >= w.reset THEN 1 ELSE n + 1 END FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1)
+SELECT user_id::VARCHAR AS key, event_id AS id, n <= 5 AS ok, greatest(0, 5 - n)::INT AS remaining, CASE WHEN n <= 5 THEN 0 ELSE ceil(date_diff('microsecond', ts, reset) / 1000000.0)::INT END AS retry_after FROM w""")
+def quota_window(spark, sf):
+    e = table(spark, sf, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
+    return quota_batch(e, 5, 3600).drop("ts", "reset")
+
+
+@query("columnar_scan", "SELECT row_number() OVER () - 1 AS idx, length(text) AS n FROM documents")
+def columnar_scan(spark, sf):
+    return src.read_columnar(spark, f"{sf}/documents.parquet", need_audio=False).select("idx", F.length("raw_text").alias("n"))
+
+
+@query("source_union", "SELECT source, synthetic, weight, count(*) AS n FROM (SELECT 'org__docs' AS source, false AS synthetic, 1.0::DOUBLE AS weight FROM documents UNION ALL SELECT 'org__talk__main', true, 0.5 FROM conversations) GROUP BY ALL")
+def source_union(spark, sf):
+    d = _docs(spark, sf).select(F.col("doc_id").alias("idx"), F.col("text").alias("raw_text"))
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("idx"), F.col("text").alias("raw_text"))
+    every = src.union_sources([(d, src.slug("org/docs"), False, 1.0), (c, src.slug("org/talk", "main"), True, 0.5)])
+    return every.groupBy("source", "synthetic", "weight").agg(F.count(F.lit(1)).alias("n"))

@@ -38,7 +38,7 @@ class _Words(dict):
 class Encoder:
     """Ids of texts as little-endian bytes, `width` bytes an id."""
 
-    def __init__(self, path: str, entries: int = 600_000):
+    def __init__(self, path: str, entries: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

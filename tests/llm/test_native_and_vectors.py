@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lambi.llm import licenses, mixing, urls
+from lambi.llm import licenses, mixing, urls, vectors
 from lambi.llm.vectors import near_vectors
 
 
@@ -87,3 +87,14 @@ def test_near_vectors(spark):
         assert (out[i]["n_links"], out[i]["component_id"], out[i]["kept"]) == (len(links[i]), min(reach), min(reach) == i), i
     assert len(out) == len(rows) and out[0]["audit_recall"] == 1.0
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_range_search_of_one_group_of_near_copies():
+    """All of a full graph are in range of each other: each pair is found."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=64) + r.normal(size=(vectors.GRAPH, 64)) * 0.05
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    table = vectors._both_ways([g[g >= 0] for g in vectors.build_graph(x)], len(x))
+    a, b = vectors.range_search(x, table, x[:64], np.arange(64), 0.98)
+    wanted = np.nonzero(x[:64] @ x.T >= 0.98)
+    assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(*(w.tolist() for w in wanted)))

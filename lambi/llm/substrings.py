@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lambi.llm.shared import cut, mix, range_hashes, signed, text_slices
 
@@ -281,13 +282,14 @@ def _spans(starts: np.ndarray, strings: np.ndarray, length: int) -> tuple[np.nda
     return a[new], np.append(b[:-1][new[1:]], b[-1])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every byte that a `length`-byte string covers which also starts earlier.
 
     Texts are taken as UTF-8 bytes; strings never cross documents and are judged on the input.
     Result, a row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256 of the remaining bytes; with `with_text` also `text`, what remains as text
-    (a character of which only some bytes remain is left out), null where the text was null.
+    (a character of which only some bytes remain is left out), null where the text was null; with
+    `carry`, a struct `carried` of those columns of the same input row.
 
     A null or empty text has no bytes. A null id counts as the smallest one in the order of
     documents. Rows that share an id count as one place in that order: equal strings at the same
@@ -295,8 +297,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     removed from each that is long enough. Further columns are not read. An empty table gives an
     empty result.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text_col).cast("string").alias("body"))
-    full = rows.where(F.octet_length("body") >= length)
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text_col).cast("string").alias("body"), *carried)
+    full = rows.where(F.octet_length("body") >= length).select("doc", "body")
     runs = repeated_runs(full, length, gram).groupBy("doc").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
 
     def apply(batches):
@@ -319,9 +322,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
                 out.append(row)
             columns = list(zip(*out)) or [[]] * (4 + with_text)
             kinds = [pa.int64()] * 3 + [pa.string()] * (1 + with_text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"][: 5 + with_text])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds)), *batch.columns[3:]], names=[f.name for f in schema])
 
-    got = rows.join(runs, "doc", "left").select("doc", "body", "runs").mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+    met = rows.join(runs, "doc", "left").select("doc", "body", "runs", *rows.columns[2:])
+    schema = StructType.fromDDL("doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+    schema = StructType(schema.fields + met.schema.fields[3:])
+    got = met.mapInArrow(apply, schema)
     return got.select(F.when(F.col("doc") != -(2**63), F.col("doc")).alias("doc_id"), *got.columns[1:])
 
 

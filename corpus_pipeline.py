@@ -32,10 +32,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated 100-byte strings out of the texts; a document left without a word goes."""
-    left = remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("left_id"), F.col("text").alias("left_text"))
-    out = docs.drop("text", "n_chars").join(left, F.col("doc_id").eqNullSafe(F.col("left_id")))
-    out = out.where(F.col("left_text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.select("doc_id", F.col("left_text").alias("text"), "lang", "source", F.length("left_text").cast("long").alias("n_chars"))
+    left = remove_repeats(docs, with_text=True, carry=("doc_id", "lang", "source")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.select("carried.doc_id", "text", "carried.lang", "carried.source", F.length("text").cast("long").alias("n_chars"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

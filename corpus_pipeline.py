@@ -37,8 +37,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sample documents by their calibrated probabilities, without repeats."""
-    return _keep(docs, mix_sources(docs))
+    """Repeat every row as often as its calibrated weight has it drawn, so that the tokens meet the
+    targets in expectation; a row of no copies goes."""
+    drawn = mix_sources(docs, carry=tuple(docs.columns))
+    each = drawn.select("carried", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    return each.select("carried.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

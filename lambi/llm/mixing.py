@@ -58,7 +58,7 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | None = None, rounds: int = ROUNDS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | None = None, rounds: int = ROUNDS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Weights, probabilities and the drawn sample of every document.
 
     Tokens (words ``[^\\x20\\x09-\\x0D]+`` of whole texts) are summed by source, language and topic;
@@ -69,12 +69,13 @@ def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | No
 
     Null dimensions count as the empty value. Texts without words (null or empty) have no tokens to
     weigh: weight 1. A null id draws 1 (never the extra copy). Rows with one id share one draw.
-    Only the id, text, source and lang columns are read. An empty table gives an empty result.
+    Only the id, text, source and lang columns are read, and those in `carry`, which come back as a
+    struct `carried` of the same input row. An empty table gives an empty result.
     """
     targets = TARGETS if targets is None else targets
     kind = topic_of(F.col(text_col)) if topic is None else topic
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce(kind, F.lit("")).alias("topic"), words.alias("n_tokens"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce(kind, F.lit("")).alias("topic"), words.alias("n_tokens"), *([F.struct(*carry).alias("carried")] if carry else []))
     rows = cut(rows)
     cells = cut(rake(rows.groupBy(*targets).agg(F.sum("n_tokens").alias("tokens")), targets, rounds))
     small = cells.count() <= BROADCAST_CELLS
@@ -82,7 +83,7 @@ def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | No
     weight = F.coalesce("weight", F.lit(1.0))
     extra = weight - F.floor(weight)
     drawn = F.coalesce(uniform(F.col("doc_id"), seed), F.lit(1.0)) < extra
-    out = joined.select("doc_id", "source", "lang", "topic", "n_tokens", F.round(weight, 6).alias("weight"), F.round(extra, 6).alias("probability"), (F.floor(weight) + drawn.cast("int")).cast("long").alias("copies"))
+    out = joined.select("doc_id", "source", "lang", "topic", "n_tokens", F.round(weight, 6).alias("weight"), F.round(extra, 6).alias("probability"), (F.floor(weight) + drawn.cast("int")).cast("long").alias("copies"), *(["carried"] if carry else []))
     return out.withColumn("kept", F.col("copies") > 0)
 
 

@@ -42,7 +42,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: A text that holds one of these is encoded as it is: the library cuts them out first.
+        self.literals = [x.content for x in added]
+        self.rewritten = self.tokenizer.normalizer is not None and any(x.normalized for x in added)
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
@@ -81,13 +84,17 @@ class Encoder:
             return self._pretoken(letters)
         return self._pretoken(" " + letters) if blank == " " else self.words[blank] + self.words[letters]
 
+    def _whole(self, text: str) -> bool:
+        """Whether words between blanks can't be encoded one by one."""
+        return bool(_OTHER_SPACE.search(text)) or self.rewritten or any(x in text for x in self.literals)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         get = self.words.__getitem__
         out = []
         for x in texts:
             if len(self.words) > self.entries:
                 self.words.clear()
-            out.append(self.pack(self._ids(x)) if _OTHER_SPACE.search(x) else b"".join(map(get, _CHUNK.findall(x))))
+            out.append(self.pack(self._ids(x)) if self._whole(x) else b"".join(map(get, _CHUNK.findall(x))))
         return out
 
 

@@ -89,12 +89,16 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
-def test_range_search_of_one_group_of_near_copies():
-    """All of a full graph are in range of each other: each pair is found."""
+def test_search_connects_a_group_of_near_copies():
+    """All of a graph are in range of each other: each query finds its beam at least, and the finds connect all."""
     r = np.random.default_rng(3)
-    x = r.normal(size=64) + r.normal(size=(vectors.GRAPH, 64)) * 0.05
+    x = r.normal(size=64) + r.normal(size=(1024, 64)) * 0.05
     x /= np.sqrt((x * x).sum(1, keepdims=True))
-    table = vectors._both_ways([g[g >= 0] for g in vectors.build_graph(x)], len(x))
-    a, b = vectors.range_search(x, table, x[:64], np.arange(64), 0.98)
-    wanted = np.nonzero(x[:64] @ x.T >= 0.98)
-    assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(*(w.tolist() for w in wanted)))
+    edges = vectors.build_graph(x)
+    at, _ = np.nonzero(edges >= 0)
+    table = vectors._both_ways(at, edges[edges >= 0], len(x))
+    a, b = vectors.range_search(x, table, x, np.arange(len(x)), 0.98)
+    assert (np.einsum("id,id->i", x[a], x[b]) >= 0.98).all()
+    assert np.bincount(a, minlength=len(x)).min() > vectors.BEAM
+    below, root = vectors._forest(a, b)
+    assert len(below) == len(x) - 1 and (root == 0).all()

@@ -9,17 +9,22 @@ from pyspark.sql import functions as F
 
 from lambi.llm.shared import LOWER, cut, mix, range_hashes, signed, text_slices, word_spans
 
-#: Words with a count of at least N / HEAD are known to every task: at most HEAD of them.
-HEAD = 1_000_000
-#: Contexts need a count of at least N / CONTEXTS, stored next symbols one of N / ENTRIES.
-CONTEXTS = 100_000
-ENTRIES = 1_000_000
-LEAST = 3
+#: Occurrences of a context, and of a next symbol stored with it, in the training texts. Neither
+#: depends on the size of the corpus.
+LEAST_CONTEXT, LEAST_NEXT = 64, 3
 DISCOUNT = 0.75
-#: A context is kept if it saves so many bits in all over its longest kept suffix.
-GAIN_BITS = 64.0
+#: A context is kept if it saves so many bits in all, and so many an occurrence, over its suffix.
+GAIN_BITS, DIVERGENCE = 64.0, 0.1
+#: Most frequent words, and entries of the most frequent contexts, that every task has at hand.
+#: The others are joined; the bounds change the speed only.
+HEAD_WORDS, HEAD_ENTRIES = 400_000, 1_000_000
+#: Bits of the filters that say which rows are worth a join (a power of two).
+FILTER_BITS = 1 << 27
+#: Partial counts that meet in one group.
+BUCKET_TOKENS = 4_000_000
 END = np.int64(signed(mix(np.array([0x656E64], dtype=np.uint64)))[0])
-_SHIFT = np.int64(20)
+#: Keys of contexts and of entries are told apart from words by these.
+_CONTEXT, _ENTRY = np.int64(0x3C6EF372FE94F82B), np.int64(0x1F83D9ABFB41BD6B)
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray):
@@ -36,228 +41,374 @@ def _tokens(data: np.ndarray, offsets: np.ndarray):
     return out, rows
 
 
-def _count(docs: DataFrame, keys_of) -> DataFrame:
-    """Counts of the int64 keys that keys_of(tokens, rows) gives for slices of the texts.
-
-    A task adds up its own keys (a bounded number at a time) before they are shuffled.
-    """
+def _turn(level: int) -> int:
+    return 13 * level % 61 + 1
+
+
+def _join_grams(prefix: np.ndarray, suffix: np.ndarray, level: int) -> np.ndarray:
+    """Hash of the run of level + 1 tokens that begins with one run of `level` and ends with another."""
+    r = _turn(level)
+    x = suffix.view(np.uint64)
+    return prefix ^ ((x << np.uint64(r)) | (x >> np.uint64(64 - r))).view(np.int64)
+
+
+def _gram(prefix: str, suffix: str, level: int) -> Column:
+    """The same as a column."""
+    r = _turn(level)
+    return F.col(prefix).bitwiseXOR(F.shiftleft(suffix, r).bitwiseOR(F.shiftrightunsigned(suffix, 64 - r)))
+
+
+def _steps(tokens: np.ndarray, rows: np.ndarray):
+    """For level 1, 2, ...: places of tokens with so many tokens before them in their row, their
+    contexts, and their own runs of `level` tokens."""
+    grams, level = tokens, 1
+    while True:
+        at = np.flatnonzero(rows[level:] == rows[:-level]) + level if len(rows) > level else np.zeros(0, np.int64)
+        if not len(at):
+            return
+        yield level, at, grams[at - 1], grams[at]
+        longer = grams.copy()
+        longer[at] = _join_grams(grams[at - 1], grams[at], level)
+        grams, level = longer, level + 1
+
+
+class _Filter:
+    """Which 64-bit keys a table may hold: two bits a key of a bounded number of bits."""
+
+    def __init__(self, keys: DataFrame, column: str = "k"):
+        mask = FILTER_BITS - 1
+        at = F.explode(F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(column, 32).bitwiseAND(mask)))
+        words = keys.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))).alias("b"))
+        got = words.toArrow()
+        bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+        bits[got["w"].to_numpy()] = got["b"].to_numpy()
+        self.bits = bits.view(np.uint8)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        mask, keys = np.uint64(FILTER_BITS - 1), keys.view(np.uint64)
+        out = np.ones(len(keys), dtype=bool)
+        for p in (keys & mask, (keys >> np.uint64(32)) & mask):
+            p = p.view(np.int64)
+            out &= ((self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1).astype(bool)
+        return out
+
+
+class _Table:
+    """A hash table of 64-bit keys and doubles."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        size = 1 << max(4, int(len(keys) * 2.5).bit_length())
+        self.mask = np.int64(size - 1)
+        self.keys, self.values = np.zeros(size, dtype=np.int64), np.zeros(size)
+        keys = np.where(keys == 0, 1, keys)
+        left, slot = np.arange(len(keys)), keys & self.mask
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.keys[slot[put]], self.values[slot[put]] = keys[left[put]], values[left[put]]
+            rest = np.ones(len(left), dtype=bool)
+            rest[put] = False
+            left, slot = left[rest], (slot[rest] + 1) & self.mask
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of keys, -1 where absent."""
+        keys = np.where(keys == 0, 1, keys)
+        slot = keys & self.mask
+        held = self.keys[slot]
+        out = np.where(held == keys, slot, -1)
+        left = np.flatnonzero((held != keys) & (held != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            held = self.keys[slot[left]]
+            hit = held == keys[left]
+            out[left[hit]] = slot[left[hit]]
+            left = left[~hit & (held != 0)]
+        return out
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray], sort_by: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of several key columns, by one that tells them apart, and their summed counts."""
+    order = np.argsort(sort_by)
+    ranked = sort_by[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    return [k[order[first]] for k in keys], np.add.reduceat(counts[order], first)
+
+
+def _count_words(docs: DataFrame) -> DataFrame:
+    """Counts (k, n) of all tokens; a task adds up its own before they are shuffled."""
 
     def run(batches):
         held, size = [], 0
 
         def merged():
-            keys = np.concatenate([k for k, _ in held])
-            counts = np.concatenate([c for _, c in held])
-            order = np.argsort(keys)
-            keys, counts = keys[order], counts[order]
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            return keys[first], np.add.reduceat(counts, first)
+            (k,), n = _summed([np.concatenate([k for k, _ in held])], np.concatenate([n for _, n in held]), np.concatenate([k for k, _ in held]))
+            return k, n
 
-        def out(keys, counts):
-            for lo in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + 100_000]), pa.array(counts[lo : lo + 100_000])], names=["k", "n"])
+        def out(k, n):
+            for lo in range(0, len(k), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(k[lo : lo + 100_000]), pa.array(n[lo : lo + 100_000])], names=["k", "n"])
 
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
-                keys, counts = np.unique(keys_of(*_tokens(data, offsets)), return_counts=True)
-                if not len(keys):
-                    continue
-                held.append((keys, counts))
-                size += len(keys)
+                held.append(np.unique(_tokens(data, offsets)[0], return_counts=True))
+                size += len(held[-1][0])
                 if size > 3_000_000:
                     held = [merged()]
                     size = len(held[0][0])
                     if size > 1_500_000:
                         yield from out(*held[0])
                         held, size = [], 0
-        if held:
+        if size:
             yield from out(*merged())
 
     return docs.select("body").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
-def _collect(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded model table, by ascending key."""
-    got = df.toArrow()
-    keys, counts = got["k"].to_numpy(), got["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], counts[order]
-
-
-def _at(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of keys in a sorted table, -1 where absent."""
-    if not len(table):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
-
-
-def _before(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """The id n tokens earlier in the same row, else -1."""
-    out = np.full(len(ids), -1, dtype=np.int64)
-    if len(ids) > n:
-        out[n:] = np.where(rows[n:] == rows[:-n], ids[:-n], -1)
-    return out
-
-
-class _Tree:
-    """The fitted model: arrays of bounded size, sent to every task."""
-
-    def __init__(self, head, counts, total, distinct):
-        self.head, self.counts, self.total = head, counts, total
-        self.floor = total + 0.5 * (distinct + 1)
-        self.root = (counts + 0.5) / self.floor
-        self.is_context = counts >= max(LEAST, total / CONTEXTS)
-        self.levels: list[dict[str, np.ndarray]] = []
-
-    def contexts(self, ids, rows, level):
-        """Place of each token's context among the candidates of a level (1 or 2), else -1."""
-        last = _before(ids, rows, 1)
-        if level == 1:
-            return np.where((last >= 0) & self.is_context[last], last, -1)
-        earlier = _before(ids, rows, 2)
-        both = (last >= 0) & (earlier >= 0)
-        return np.where(both, _at(self.pairs, np.where(both, (earlier << _SHIFT) | last, -1)), -1)
-
-    def add_level(self, keys, counts, context_counts, parent):
-        """Keep contexts by the divergence test; parent(context, next) gives the shorter suffix's
-        probability of next."""
-        ctx, nxt = keys >> _SHIFT, keys & ((1 << 20) - 1)
-        share = (counts - DISCOUNT) / context_counts[ctx]
-        spare = 1.0 - np.bincount(ctx, weights=share, minlength=len(context_counts))
-        below = parent(ctx, nxt)
-        p = share + spare[ctx] * below
-        gain = np.bincount(ctx, weights=counts * np.log2(p / below), minlength=len(context_counts)).astype(float)
-        rest = context_counts - np.bincount(ctx, weights=counts, minlength=len(context_counts))
-        gain += rest * np.log2(np.maximum(spare, 1e-12))
-        kept = gain >= GAIN_BITS
-        use = kept[ctx]
-        self.levels.append({"keys": keys[use], "share": share[use], "spare": np.where(kept, spare, 1.0), "kept": kept})
-
-    def probability(self, ctx_by_level, nxt, root):
-        """Probability of next symbols (-1: outside the head; then of leaving to it only)."""
-        p = root
-        for level, ctx in zip(self.levels, ctx_by_level):
-            if not len(level["kept"]):
-                continue
-            has = (ctx >= 0) & level["kept"][ctx]
-            stored = np.zeros(len(p))
-            ask = np.flatnonzero(has & (nxt >= 0))
-            at = _at(level["keys"], (ctx[ask] << _SHIFT) | nxt[ask])
-            stored[ask] = np.where(at >= 0, level["share"][at] if len(level["share"]) else 0.0, 0.0)
-            p = np.where(has, stored + level["spare"][ctx] * p, p)
-        return p
-
-
-def _fit(train: DataFrame, unigrams: DataFrame) -> _Tree | None:
-    total, distinct = unigrams.agg(F.sum("n"), F.count(F.lit(1))).first()
-    if not total:
-        return None
-    head, counts = _collect(unigrams.where(F.col("n") >= total / HEAD))
-    tree = _Tree(head, counts, total, distinct)
-    least = max(LEAST, total / ENTRIES)
-    broadcast = train.sparkSession.sparkContext.broadcast
+def _count_entries(docs: DataFrame, level: int, contexts: _Filter, nexts: _Filter, buckets: int, least_next: int) -> DataFrame:
+    """Counts (c, s, n >= least_next) of contexts of `level` tokens with the run s of as many tokens
+    that ends one further on, where both filters let them pass.
 
-    def grams(level, known):
-        def keys_of(tokens, rows):
-            ids = _at(known.value.head, tokens)
-            ctx = known.value.contexts(ids, rows, level)
-            use = (ctx >= 0) & (ids >= 0)
-            return (ctx[use] << _SHIFT) | ids[use]
+    A task adds up its own and packs them by bucket, so that a row is shuffled per task and bucket.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((contexts, nexts))
+    kind = np.dtype([("c", "<i8"), ("s", "<i8")])
 
-        return _collect(_count(train, keys_of).where(F.col("n") >= least))
+    def run(batches):
+        contexts, nexts = sent.value
+        held, size = [], 0
 
-    keys, n = grams(1, broadcast(tree))
-    tree.add_level(keys, n, counts.astype(float), lambda _, x: tree.root[x])
-    often = (n >= max(LEAST, total / CONTEXTS)) & ((keys & ((1 << 20) - 1)) != _at(head, np.array([END]))[0])
-    tree.pairs, pair_counts = keys[often], n[often]
-    keys, n = grams(2, broadcast(tree))
+        def merged():
+            c, s, n = (np.concatenate([h[i] for h in held]) for i in range(3))
+            (c, s), n = _summed([c, s], n, _join_grams(c, s, level))
+            return c, s, n
+
+        def out(c, s, n):
+            e = _join_grams(c, s, level)
+            bucket = (mix(e.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+            pairs = np.empty(len(order), dtype=kind)
+            pairs["c"], pairs["s"], n = c[order], s[order], n[order]
+            rows = [(int(bucket[order[lo]]), pairs[lo:hi].tobytes(), n[lo:hi].astype("<u4").tobytes()) for lo, hi in zip(cuts, np.append(cuts[1:], len(order)))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "pairs", "ns"])
 
-    def shorter(ctx, x):
-        last = tree.pairs[ctx] & ((1 << 20) - 1)
-        return tree.probability([np.where(tree.is_context[last], last, -1)], x, tree.root[x])
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                for k, _, c, s in _steps(*_tokens(data, offsets)):
+                    if k < level:
+                        continue
+                    use = np.flatnonzero(nexts.has(s))
+                    use = use[contexts.has(c[use])]
+                    if len(use):
+                        c, s = c[use], s[use]
+                        (c, s), n = _summed([c, s], np.ones(len(c), dtype=np.int64), _join_grams(c, s, level))
+                        held.append((c, s, n))
+                        size += len(c)
+                    break
+                if size > 3_000_000:
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size > 1_500_000:
+                        yield from out(*held[0])
+                        held, size = [], 0
+        if size:
+            yield from out(*merged())
 
-    tree.add_level(keys, n, pair_counts.astype(float), shorter)
-    return tree
+    def add(partial: pa.Table) -> pa.Table:
+        pairs = np.frombuffer(b"".join(partial["pairs"].to_pylist()), dtype=kind)
+        n = np.frombuffer(b"".join(partial["ns"].to_pylist()), dtype="<u4").astype(np.int64)
+        c, s = pairs["c"].copy(), pairs["s"].copy()
+        (c, s), n = _summed([c, s], n, _join_grams(c, s, level))
+        often = n >= least_next
+        return pa.table([pa.array(c[often]), pa.array(s[often]), pa.array(n[often])], names=["c", "s", "n"])
+
+    packed = docs.select("body").mapInArrow(run, "bucket long, pairs binary, ns binary")
+    return packed.groupBy("bucket").applyInArrow(add, "c long, s long, n long")
+
+
+def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_context: int, least_next: int, gain_bits: float, divergence: float) -> tuple[DataFrame, DataFrame] | None:
+    """(contexts, entries) of the tree: c, level, total, spare share; c, level, gram, share of the
+    probability over that of the suffix. None without contexts."""
+    contexts = unigrams.where((F.col("n") >= least_context) & (F.col("k") != F.lit(int(END)))).select(F.col("k").alias("c"), F.col("n").alias("total"))
+    below = unigrams.where(F.col("n") >= least_next).select(F.col("k").alias("s"), ((F.col("n") + 0.5) / F.lit(floor)).alias("below"))
+    buckets = max(32, total // BUCKET_TOKENS)
+    kept_all, stored_all, level = [], [], 1
+    while not contexts.isEmpty():
+        counted = _count_entries(train, level, _Filter(contexts, "c"), _Filter(below, "s"), buckets, least_next)
+        entries = cut(counted.join(contexts, "c").join(below, "s").withColumn("share", (F.col("n") - DISCOUNT) / F.col("total")))
+        spare = entries.groupBy("c").agg((1 - F.sum("share")).alias("spare"), F.sum("n").alias("seen"), F.count(F.lit(1)).alias("size"))
+        entries = cut(entries.join(spare, "c").withColumn("p", F.col("share") + F.col("spare") * F.col("below")))
+        gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("below"))) + (F.first("total") - F.first("seen")) * F.log2(F.first("spare"))
+        tested = entries.groupBy("c").agg(gain.alias("gain"), F.first("total").alias("total"), F.first("spare").alias("spare"), F.first("size").alias("size"))
+        kept = cut(tested.where((F.col("gain") >= gain_bits) & (F.col("gain") >= divergence * F.col("total"))).select("c", "total", "spare", "size"))
+        stored = cut(entries.join(kept.select("c"), "c", "left_semi").select("c", "s", "n", "p", "below", _gram("c", "s", level).alias("gram"), (F.log10(F.col("p") / F.col("below")) - F.log10("spare")).alias("bonus")))
+        kept_all.append(kept.withColumn("level", F.lit(level)))
+        stored_all.append(stored.select("c", "gram", "bonus", F.lit(level).alias("level")))
+        contexts = cut(stored.where(F.col("n") >= least_context).join(kept.select(F.col("c").alias("s")), "s", "left_semi").select(F.col("gram").alias("c"), F.col("n").alias("total")))
+        below = stored.select(F.col("gram").alias("s"), F.col("p").alias("below"))
+        level += 1
+    if not kept_all:
+        return None
+    kept, stored = kept_all[0], stored_all[0]
+    for a, b in zip(kept_all[1:], stored_all[1:]):
+        kept, stored = kept.unionByName(a), stored.unionByName(b)
+    return kept, stored
+
+
+def _most_frequent(table: DataFrame, count: str, size: Column, bound: int) -> Column:
+    """A condition that holds for rows of high `count` whose sizes add up to `bound` at most."""
+    step = F.floor(F.log2(count) * 8).cast("int")
+    sizes = table.groupBy(step.alias("step")).agg(F.sum(size).alias("size")).orderBy(F.desc("step")).collect()
+    least, used = None, 0
+    for r in sizes:
+        used += r["size"]
+        if used > bound:
+            break
+        least = r["step"]
+    return F.lit(False) if least is None else step >= least
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 1
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_context: int = LEAST_CONTEXT, least_next: int = LEAST_NEXT, gain_bits: float = GAIN_BITS, divergence: float = DIVERGENCE,
+    head_words: int = HEAD_WORDS, head_entries: int = HEAD_ENTRIES,
+) -> DataFrame:
     """Train on the documents outside the held-out fifth, score all of them.
 
     Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. The base is the
-    unigram model (c + 0.5) / (N + 0.5 (V + 1)). The tree has contexts of up to two words: those
-    with a count of at least N / CONTEXTS whose stored next symbols (count at least N / ENTRIES)
-    save at least GAIN_BITS over the longest shorter context kept. A context gives a stored symbol
-    (count - DISCOUNT) / context count, and all symbols the spared share times their probability at
-    the next shorter kept context; the empty context is the base. Each token is scored at the
+    unigram model (c + 0.5) / (N + 0.5 (V + 1)), the tree's root. Contexts are runs of words of any
+    length with at least `least_context` occurrences whose suffix (without the first word) and prefix
+    (without the last) are kept. A context stores the next symbols seen `least_next` times and gives
+    them (count - DISCOUNT) / total, and all symbols the spared share times their probability in its
+    suffix. It is kept if that saves `gain_bits` in all and `divergence` bits an occurrence over its
+    suffix; the tree grows level by level until no context passes. Each token is scored at the
     longest kept suffix of its history, so each text's probabilities sum to one over its tokens.
 
-    All words of the corpus count and are scored. Those rarer than N / HEAD stay in a table that is
-    joined by shuffle; the others, and the tree, are arrays bounded by HEAD and ENTRIES.
+    Nothing is bounded by the size of the corpus: words, contexts and entries are tables. The most
+    frequent (`head_words`, `head_entries`) are broadcast, the others joined by shuffle; filters of
+    fixed size keep most rows without a partner out of the joins. 64-bit hashes stand for words and
+    runs of words.
 
     A null or empty text is its end token. A null id counts as an empty one for the fold. Identical
-    rows (id and text) are computed together and each returned. Other columns are not read. An
-    empty table gives an empty result; without training rows, N = V = 0 holds for the base.
+    rows (id and text) are computed together and each returned. Very long texts are single rows of
+    a step. Other columns are not read. An empty table gives an empty result; without training
+    rows, N = V = 0 holds for the base.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
     train = rows.where(~held_out(F.col("doc_id")))
-    unigrams = cut(_count(train, lambda tokens, _: tokens))
-    tree = _fit(train, unigrams)
-    model = spark.sparkContext.broadcast(tree)
-    total = tree.total if tree else 0
-    floor = tree.floor if tree else 0.5
+    unigrams = cut(_count_words(train))
+    total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    floor = total + 0.5 * (distinct + 1)
+    tree = _fit(train, unigrams, total, floor, least_context, least_next, gain_bits, divergence)
+
+    word_value = F.log10((F.col("n") + 0.5) / F.lit(floor))
+    often = _most_frequent(unigrams, "n", F.lit(1), head_words)
+    head = [unigrams.where(often).select("k", word_value.alias("v"))]
+    tail = [unigrams.where(~often).select("k", word_value.alias("v"))]
+    filters: list[_Filter] = []
+    tail_filters: list[_Filter] = []
+    if tree:
+        contexts, entries = tree
+        common = _most_frequent(contexts, "total", F.col("size") + 1, head_entries)
+        marked = cut(contexts.withColumn("head", common))
+        of_head = marked.where("head").select("c", "level")
+        pieces = [
+            (marked.where("head"), marked.where("not head")),
+            (entries.join(of_head, ["c", "level"], "left_semi"), entries.join(of_head, ["c", "level"], "left_anti")),
+        ]
+        for (near, far), key, value in zip(pieces, (F.col("c").bitwiseXOR(F.lit(int(_CONTEXT))), F.col("gram").bitwiseXOR(F.lit(int(_ENTRY)))), (F.log10("spare"), F.col("bonus"))):
+            head.append(near.select(key.alias("k"), value.alias("v")))
+            tail.append(far.select(key.alias("k"), value.alias("v")))
+            tail_filters.append(_Filter(tail[-1]))
+        filters.append(_Filter(contexts.select(F.col("c").bitwiseXOR(F.lit(int(_CONTEXT))).alias("k"))))
+    got = head[0]
+    for x in head[1:]:
+        got = got.unionByName(x)
+    got = got.toArrow()
+    sent = spark.sparkContext.broadcast((_Table(got["k"].to_numpy(), got["v"].to_numpy()), filters, tail_filters))
+    del got
+
     kind = rows.schema["doc_id"].dataType.simpleString()
-    types = [pa.int64(), None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    names = ["uid", "doc_id", "h", "n", "known", "base", "score"]
+    schema = f"uid binary, doc_id {kind}, h long, n long, known long, base double, score double, word boolean"
+    types = [pa.binary(), None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
+    names = ["uid", "doc_id", "h", "n", "known", "base", "score", "word"]
+
+    def asked(keys, row):
+        """Distinct (row, key) and how often each occurs."""
+        order = np.lexsort((keys, row))
+        k, r = keys[order], row[order]
+        first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (r[1:] != r[:-1]))) if len(order) else order
+        return k[first], r[first], np.diff(np.append(first, len(order)))
 
     def run(batches):
-        tree = model.value
+        table, filters, tails = sent.value
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column(2)):
                 n_rows = hi - lo
                 tokens, row = _tokens(data, offsets)
-                uid = batch.column(0)[lo:hi].to_numpy()
-                ids = _at(tree.head, tokens) if tree else np.full(len(tokens), -1)
-                base = score = np.zeros(n_rows)
-                if tree:
-                    root = np.where(ids >= 0, tree.root[ids], 1.0)
-                    p = tree.probability([tree.contexts(ids, row, 1), tree.contexts(ids, row, 2)], ids, root)
-                    base, score = (np.bincount(row, weights=np.log10(x), minlength=n_rows) for x in (root, p))
-                known = np.bincount(row[ids >= 0], minlength=n_rows)
-                length = np.bincount(row, minlength=n_rows)
-                # a row per document, dealt by its own key, and one per rare token of a document
-                spread = signed(mix(uid.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)))
-                rare = np.flatnonzero(ids < 0)
-                order = rare[np.lexsort((tokens[rare], row[rare]))]
-                first = np.flatnonzero(np.append(True, (tokens[order][1:] != tokens[order][:-1]) | (row[order][1:] != row[order][:-1]))) if len(order) else np.zeros(0, np.int64)
-                times = np.diff(np.append(first, len(order)))
-                at = order[first]
-                yield pa.RecordBatch.from_arrays([pa.array(uid), batch.column(1)[lo:hi], *(pa.array(x, t) for x, t in zip((spread, length, known, base, score), types[2:]))], names=names)
-                for a in range(0, len(at), 200_000):
-                    b = at[a : a + 200_000]
-                    none = [pa.nulls(len(b), t or batch.column(1).type) for t in types]
-                    yield pa.RecordBatch.from_arrays([pa.array(uid[row[b]]), none[1], pa.array(tokens[b]), pa.array(times[a : a + 200_000]), none[4], none[5], none[6]], names=names)
-
-    keyed = rows.select(F.xxhash64("doc_id", "body").alias("uid"), "doc_id", "body")
-    parts = keyed.mapInArrow(run, f"uid long, doc_id {kind}, h long, n long, known long, base double, score double")
-    joined = parts.join(unigrams.select(F.col("k").alias("h"), F.col("n").alias("c")), "h", "left")
+                at = table.find(tokens)
+                near = at >= 0
+                value = np.where(near, table.values[at], 0.0)
+                base = np.bincount(row, weights=value, minlength=n_rows)
+                score = base.copy()
+                known, length = np.bincount(row[near], minlength=n_rows), np.bincount(row, minlength=n_rows)
+                wanted = [(tokens[~near], row[~near], True)]
+                alive = np.ones(len(tokens), dtype=bool)
+                for level, places, c, s in _steps(tokens, row) if filters else ():
+                    use = np.flatnonzero(alive[places])
+                    key = c[use] ^ _CONTEXT
+                    maybe = filters[0].has(key)
+                    use, key = use[maybe], key[maybe]
+                    alive[:] = False
+                    if not len(use):
+                        break
+                    at = table.find(key)
+                    far = (at < 0) & tails[0].has(key)
+                    alive[places[use[(at >= 0) | far]]] = True
+                    entry = _join_grams(c[use], s[use], level) ^ _ENTRY
+                    own = np.flatnonzero(at >= 0)
+                    bonus = table.find(entry[own])
+                    gained = table.values[at[own]] + np.where(bonus >= 0, table.values[bonus], 0.0)
+                    score += np.bincount(row[places[use[own]]], weights=gained, minlength=n_rows)
+                    wanted.append((key[far], row[places[use[far]]], False))
+                    far &= tails[1].has(entry)
+                    wanted.append((entry[far], row[places[use[far]]], False))
+                uid = batch.column(0).slice(lo, n_rows)
+                spread = signed(mix(np.frombuffer(b"".join(uid.to_pylist()), dtype="<u8").reshape(-1, 2)[:, 0]))
+                yield pa.RecordBatch.from_arrays([uid, batch.column(1).slice(lo, n_rows), *(pa.array(x, t) for x, t in zip((spread, length, known, base, score), types[2:7])), pa.nulls(n_rows, pa.bool_())], names=names)
+                for is_word in (True, False):
+                    keys, of = (np.concatenate([w[i] for w in wanted if w[2] == is_word] or [np.zeros(0, np.int64)]) for i in (0, 1))
+                    keys, of, times = asked(keys, of)
+                    for a in range(0, len(keys), 200_000):
+                        part = slice(a, a + 200_000)
+                        none = [pa.nulls(len(keys[part]), t or batch.column(1).type) for t in types]
+                        yield pa.RecordBatch.from_arrays([uid.take(pa.array(of[part])), none[1], pa.array(keys[part]), pa.array(times[part]), none[4], none[5], none[6], pa.array(np.full(len(keys[part]), is_word))], names=names)
+
+    keyed = rows.select(F.unhex(F.substring(F.sha2(F.concat_ws("|", F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("")), "body"), 256), 1, 32)).alias("uid"), "doc_id", "body")
+    parts = keyed.mapInArrow(run, schema)
+    values = tail[0]
+    for x in tail[1:]:
+        values = values.unionByName(x)
+    joined = parts.join(values.withColumnRenamed("k", "h"), "h", "left")
     is_doc = F.col("known").isNotNull()
-    rare_log = F.when(~is_doc, F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(floor)))
+    unseen = float(np.log10(0.5 / floor))
+    word_sum = F.sum(F.when(F.col("word"), F.col("n") * F.coalesce("v", F.lit(unseen))))
+    tree_sum = F.sum(F.when(~F.col("word"), F.col("n") * F.coalesce("v", F.lit(0.0))))
     grouped = joined.groupBy("uid").agg(
         F.first("doc_id", ignorenulls=True).alias("doc_id"), F.count("known").alias("copies"),
-        F.sum(F.when(is_doc, F.col("n"))).alias("n_tokens"), F.sum(F.when(is_doc, F.col("known")).when(F.col("c") > 0, F.col("n"))).alias("n_known"),
-        F.coalesce(F.sum(rare_log), F.lit(0.0)).alias("rare"), F.sum("base").alias("base"), F.sum("score").alias("score"),
+        F.sum(F.when(is_doc, F.col("n"))).alias("n_tokens"), F.sum(F.when(is_doc, F.col("known")).when(F.col("word") & F.col("v").isNotNull(), F.col("n"))).alias("n_known"),
+        F.coalesce(word_sum, F.lit(0.0)).alias("rare"), F.coalesce(tree_sum, F.lit(0.0)).alias("far"), F.sum("base").alias("base"), F.sum("score").alias("score"),
     )
     each = grouped.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     share = lambda c: (F.col(c) / F.col("copies"))
     return each.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), share("n_tokens").cast("long").alias("n_tokens"), share("n_known").cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), ((F.col("base") + F.col("rare")) / F.col("copies")).alias("base_score"), ((F.col("score") + F.col("rare")) / F.col("copies")).alias("score"),
+        F.lit(total).cast("long").alias("train_tokens"), ((F.col("base") + F.col("rare")) / F.col("copies")).alias("base_score"), ((F.col("score") + F.col("rare") + F.col("far")) / F.col("copies")).alias("score"),
     )
 
 

@@ -161,11 +161,10 @@ def test_packed_documents(spark):
     assert packing.pack_documents(frame(spark, rows).limit(0), public_path("word_bpe_49k.json")).count() == 0
 
 
-def test_suffix_tree_scores(spark, monkeypatch):
-    monkeypatch.setattr(suffix_tree_lm, "GAIN_BITS", 1.0)
+def test_suffix_tree_scores(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(x for _ in range(40) for x in rng.choice((["the", "cat", "sat"], ["a", "dog", "ran"], [f"w{rng.randint(0, 400)}"])))) for i in range(150)] + ODD
-    out = suffix_tree_lm.score_documents(frame(spark, rows)).collect()
+    out = suffix_tree_lm.score_documents(frame(spark, rows), gain_bits=1.0).collect()
     assert len(out) == len(rows)
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     toks = [(i, [*WORD.findall((t or "").translate(low)), None]) for i, t in rows]
@@ -178,13 +177,3 @@ def test_suffix_tree_scores(spark, monkeypatch):
     fresh = [r for r in out if r["held_out"]]
     assert sum(r["score"] for r in fresh) > sum(r["base_score"] for r in fresh) + 10
     assert suffix_tree_lm.score_documents(frame(spark, rows).limit(0)).count() == 0
-
-
-def test_tree_probabilities_sum_to_one():
-    tree = suffix_tree_lm._Tree(np.arange(4) * 10, np.array([40, 30, 20, 10]), 100, 6)
-    keys = np.array([(0 << 20) | 1, (0 << 20) | 2, (1 << 20) | 0])
-    tree.add_level(keys, np.array([25, 10, 28]), tree.counts.astype(float), lambda _, x: tree.root[x])
-    for ctx in (0, 1, 3):
-        p = tree.probability([np.full(4, ctx)], np.arange(4), tree.root)
-        rest = tree.probability([np.array([ctx])], np.array([-1]), np.ones(1))[0] * (1 - tree.root.sum())
-        assert abs(p.sum() + rest - 1) < 1e-9

@@ -18,8 +18,9 @@ GAIN_BITS, DIVERGENCE = 64.0, 0.1
 #: Most frequent words, and entries of the most frequent contexts, that every task has at hand.
 #: The others are joined; the bounds change the speed only.
 HEAD_WORDS, HEAD_ENTRIES = 400_000, 1_000_000
-#: Bits of the filters that say which rows are worth a join (a power of two).
-FILTER_BITS = 1 << 27
+#: Most bits of the filters that say which rows are worth a join (a power of two), and bits a key
+#: below that bound.
+FILTER_BITS, KEY_BITS = 1 << 27, 16
 #: Partial counts that meet in one group.
 BUCKET_TOKENS = 4_000_000
 END = np.int64(signed(mix(np.array([0x656E64], dtype=np.uint64)))[0])
@@ -73,19 +74,20 @@ def _steps(tokens: np.ndarray, rows: np.ndarray):
 
 
 class _Filter:
-    """Which 64-bit keys a table may hold: two bits a key of a bounded number of bits."""
+    """Which 64-bit keys a table may hold: two bits a key, of FILTER_BITS bits at most."""
 
     def __init__(self, keys: DataFrame, column: str = "k"):
-        mask = FILTER_BITS - 1
+        size = min(FILTER_BITS, 1 << max(13, (KEY_BITS * keys.count()).bit_length()))
+        mask = self.mask = size - 1
         at = F.explode(F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(column, 32).bitwiseAND(mask)))
         words = keys.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))).alias("b"))
         got = words.toArrow()
-        bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+        bits = np.zeros(size // 64, dtype=np.int64)
         bits[got["w"].to_numpy()] = got["b"].to_numpy()
         self.bits = bits.view(np.uint8)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        mask, keys = np.uint64(FILTER_BITS - 1), keys.view(np.uint64)
+        mask, keys = np.uint64(self.mask), keys.view(np.uint64)
         out = np.ones(len(keys), dtype=bool)
         for p in (keys & mask, (keys >> np.uint64(32)) & mask):
             p = p.view(np.int64)
@@ -165,13 +167,12 @@ def _count_words(docs: DataFrame) -> DataFrame:
     return docs.select("body").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
-def _count_entries(docs: DataFrame, level: int, contexts: _Filter, nexts: _Filter, buckets: int, least_next: int) -> DataFrame:
+def _count_entries(docs: DataFrame, level: int, sent, buckets: int, least_next: int) -> DataFrame:
     """Counts (c, s, n >= least_next) of contexts of `level` tokens with the run s of as many tokens
-    that ends one further on, where both filters let them pass.
+    that ends one further on, where both filters sent let them pass.
 
     A task adds up its own and packs them by bucket, so that a row is shuffled per task and bucket.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((contexts, nexts))
     kind = np.dtype([("c", "<i8"), ("s", "<i8")])
 
     def run(batches):
@@ -235,8 +236,10 @@ def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_
     buckets = max(32, total // BUCKET_TOKENS)
     kept_all, stored_all, level = [], [], 1
     while not contexts.isEmpty():
-        counted = _count_entries(train, level, _Filter(contexts, "c"), _Filter(below, "s"), buckets, least_next)
+        sent = train.sparkSession.sparkContext.broadcast((_Filter(contexts, "c"), _Filter(below, "s")))
+        counted = _count_entries(train, level, sent, buckets, least_next)
         entries = cut(counted.join(contexts, "c").join(below, "s").withColumn("share", (F.col("n") - DISCOUNT) / F.col("total")))
+        sent.destroy()
         spare = entries.groupBy("c").agg((1 - F.sum("share")).alias("spare"), F.sum("n").alias("seen"), F.count(F.lit(1)).alias("size"))
         entries = cut(entries.join(spare, "c").withColumn("p", F.col("share") + F.col("spare") * F.col("below")))
         gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("below"))) + (F.first("total") - F.first("seen")) * F.log2(F.first("spare"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,13 +13,13 @@ from lambi.llm.shared import LOWER, cut, mix, range_hashes, signed, text_slices,
 
 #: Occurrences of a context, and of a next symbol stored with it, in the training texts. Neither
 #: depends on the size of the corpus.
-LEAST_CONTEXT, LEAST_NEXT = 64, 3
+LEAST_CONTEXT, LEAST_NEXT = 64, 8
 DISCOUNT = 0.75
 #: A context is kept if it saves so many bits in all, and so many an occurrence, over its suffix.
 GAIN_BITS, DIVERGENCE = 64.0, 0.1
-#: Most frequent words, and entries of the most frequent contexts, that every task has at hand.
-#: The others are joined; the bounds change the speed only.
-HEAD_WORDS, HEAD_ENTRIES = 400_000, 1_000_000
+#: Most frequent words, contexts and entries that every task has at hand. The others are joined;
+#: the bounds change the speed only.
+HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 400_000, 200_000, 800_000
 #: Most bits of the filters that say which rows are worth a join (a power of two), and bits a key
 #: below that bound.
 FILTER_BITS, KEY_BITS = 1 << 27, 16
@@ -99,7 +101,7 @@ class _Table:
     """A hash table of 64-bit keys and doubles."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        size = 1 << max(4, int(len(keys) * 2.5).bit_length())
+        size = 1 << max(4, int(len(keys) * 1.6).bit_length())
         self.mask = np.int64(size - 1)
         self.keys, self.values = np.zeros(size, dtype=np.int64), np.zeros(size)
         keys = np.where(keys == 0, 1, keys)
@@ -229,8 +231,8 @@ def _count_entries(docs: DataFrame, level: int, sent, buckets: int, least_next:
 
 
 def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_context: int, least_next: int, gain_bits: float, divergence: float) -> tuple[DataFrame, DataFrame] | None:
-    """(contexts, entries) of the tree: c, level, total, spare share; c, level, gram, share of the
-    probability over that of the suffix. None without contexts."""
+    """(contexts, entries) of the tree: c, total, spare share; gram, count, log10 of its probability
+    over what the spare share gives. None without contexts."""
     contexts = unigrams.where((F.col("n") >= least_context) & (F.col("k") != F.lit(int(END)))).select(F.col("k").alias("c"), F.col("n").alias("total"))
     below = unigrams.where(F.col("n") >= least_next).select(F.col("k").alias("s"), ((F.col("n") + 0.5) / F.lit(floor)).alias("below"))
     buckets = max(32, total // BUCKET_TOKENS)
@@ -240,29 +242,26 @@ def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_
         counted = _count_entries(train, level, sent, buckets, least_next)
         entries = cut(counted.join(contexts, "c").join(below, "s").withColumn("share", (F.col("n") - DISCOUNT) / F.col("total")))
         sent.destroy()
-        spare = entries.groupBy("c").agg((1 - F.sum("share")).alias("spare"), F.sum("n").alias("seen"), F.count(F.lit(1)).alias("size"))
+        spare = entries.groupBy("c").agg((1 - F.sum("share")).alias("spare"), F.sum("n").alias("seen"))
         entries = cut(entries.join(spare, "c").withColumn("p", F.col("share") + F.col("spare") * F.col("below")))
         gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("below"))) + (F.first("total") - F.first("seen")) * F.log2(F.first("spare"))
-        tested = entries.groupBy("c").agg(gain.alias("gain"), F.first("total").alias("total"), F.first("spare").alias("spare"), F.first("size").alias("size"))
-        kept = cut(tested.where((F.col("gain") >= gain_bits) & (F.col("gain") >= divergence * F.col("total"))).select("c", "total", "spare", "size"))
+        tested = entries.groupBy("c").agg(gain.alias("gain"), F.first("total").alias("total"), F.first("spare").alias("spare"))
+        kept = cut(tested.where((F.col("gain") >= gain_bits) & (F.col("gain") >= divergence * F.col("total"))).select("c", "total", "spare"))
         stored = cut(entries.join(kept.select("c"), "c", "left_semi").select("c", "s", "n", "p", "below", _gram("c", "s", level).alias("gram"), (F.log10(F.col("p") / F.col("below")) - F.log10("spare")).alias("bonus")))
-        kept_all.append(kept.withColumn("level", F.lit(level)))
-        stored_all.append(stored.select("c", "gram", "bonus", F.lit(level).alias("level")))
+        kept_all.append(kept.select("c", "total", "spare"))
+        stored_all.append(stored.select("gram", "n", "bonus"))
         contexts = cut(stored.where(F.col("n") >= least_context).join(kept.select(F.col("c").alias("s")), "s", "left_semi").select(F.col("gram").alias("c"), F.col("n").alias("total")))
         below = stored.select(F.col("gram").alias("s"), F.col("p").alias("below"))
         level += 1
     if not kept_all:
         return None
-    kept, stored = kept_all[0], stored_all[0]
-    for a, b in zip(kept_all[1:], stored_all[1:]):
-        kept, stored = kept.unionByName(a), stored.unionByName(b)
-    return kept, stored
+    return reduce(DataFrame.unionByName, kept_all), reduce(DataFrame.unionByName, stored_all)
 
 
-def _most_frequent(table: DataFrame, count: str, size: Column, bound: int) -> Column:
-    """A condition that holds for rows of high `count` whose sizes add up to `bound` at most."""
+def _most_frequent(table: DataFrame, count: str, bound: int) -> Column:
+    """A condition that holds for the rows of highest `count`, at most `bound` of them."""
     step = F.floor(F.log2(count) * 8).cast("int")
-    sizes = table.groupBy(step.alias("step")).agg(F.sum(size).alias("size")).orderBy(F.desc("step")).collect()
+    sizes = table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("step")).collect()
     least, used = None, 0
     for r in sizes:
         used += r["size"]
@@ -278,7 +277,7 @@ def held_out(doc_id: Column) -> Column:
 
 def score_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_context: int = LEAST_CONTEXT, least_next: int = LEAST_NEXT, gain_bits: float = GAIN_BITS, divergence: float = DIVERGENCE,
-    head_words: int = HEAD_WORDS, head_entries: int = HEAD_ENTRIES,
+    head_words: int = HEAD_WORDS, head_contexts: int = HEAD_CONTEXTS, head_entries: int = HEAD_ENTRIES,
 ) -> DataFrame:
     """Train on the documents outside the held-out fifth, score all of them.
 
@@ -292,7 +291,7 @@ def score_documents(
     longest kept suffix of its history, so each text's probabilities sum to one over its tokens.
 
     Nothing is bounded by the size of the corpus: words, contexts and entries are tables. The most
-    frequent (`head_words`, `head_entries`) are broadcast, the others joined by shuffle; filters of
+    frequent (`head_words`, `head_contexts`, `head_entries`) are broadcast, the others joined by shuffle; filters of
     fixed size keep most rows without a partner out of the joins. 64-bit hashes stand for words and
     runs of words.
 
@@ -310,31 +309,24 @@ def score_documents(
     tree = _fit(train, unigrams, total, floor, least_context, least_next, gain_bits, divergence)
 
     word_value = F.log10((F.col("n") + 0.5) / F.lit(floor))
-    often = _most_frequent(unigrams, "n", F.lit(1), head_words)
-    head = [unigrams.where(often).select("k", word_value.alias("v"))]
-    tail = [unigrams.where(~often).select("k", word_value.alias("v"))]
-    filters: list[_Filter] = []
-    tail_filters: list[_Filter] = []
+    near, far, filters, tail_filters = [], [], [], []
+
+    def deal(rows: DataFrame, count: str, bound: int) -> None:
+        often = _most_frequent(rows, count, bound)
+        near.append(rows.where(often).select("k", "v"))
+        far.append(rows.where(~often).select("k", "v"))
+
+    deal(unigrams.select("k", "n", word_value.alias("v")), "n", head_words)
     if tree:
-        contexts, entries = tree
-        common = _most_frequent(contexts, "total", F.col("size") + 1, head_entries)
-        marked = cut(contexts.withColumn("head", common))
-        of_head = marked.where("head").select("c", "level")
-        pieces = [
-            (marked.where("head"), marked.where("not head")),
-            (entries.join(of_head, ["c", "level"], "left_semi"), entries.join(of_head, ["c", "level"], "left_anti")),
-        ]
-        for (near, far), key, value in zip(pieces, (F.col("c").bitwiseXOR(F.lit(int(_CONTEXT))), F.col("gram").bitwiseXOR(F.lit(int(_ENTRY)))), (F.log10("spare"), F.col("bonus"))):
-            head.append(near.select(key.alias("k"), value.alias("v")))
-            tail.append(far.select(key.alias("k"), value.alias("v")))
-            tail_filters.append(_Filter(tail[-1]))
-        filters.append(_Filter(contexts.select(F.col("c").bitwiseXOR(F.lit(int(_CONTEXT))).alias("k"))))
-    got = head[0]
-    for x in head[1:]:
-        got = got.unionByName(x)
-    got = got.toArrow()
-    sent = spark.sparkContext.broadcast((_Table(got["k"].to_numpy(), got["v"].to_numpy()), filters, tail_filters))
+        contexts = cut(tree[0].select(F.col("c").bitwiseXOR(F.lit(int(_CONTEXT))).alias("k"), "total", F.log10("spare").alias("v")))
+        deal(contexts, "total", head_contexts)
+        deal(tree[1].select(F.col("gram").bitwiseXOR(F.lit(int(_ENTRY))).alias("k"), "n", F.col("bonus").alias("v")), "n", head_entries)
+        filters, tail_filters = [_Filter(contexts)], [_Filter(x) for x in far[1:]]
+    got = reduce(DataFrame.unionByName, near).toArrow()
+    table = _Table(got["k"].to_numpy(), got["v"].to_numpy())
     del got
+    sent = spark.sparkContext.broadcast((table, filters, tail_filters))
+    del table
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"uid binary, doc_id {kind}, h long, n long, known long, base double, score double, word boolean"
@@ -373,13 +365,14 @@ def score_documents(
                     at = table.find(key)
                     far = (at < 0) & tails[0].has(key)
                     alive[places[use[(at >= 0) | far]]] = True
-                    entry = _join_grams(c[use], s[use], level) ^ _ENTRY
-                    own = np.flatnonzero(at >= 0)
-                    bonus = table.find(entry[own])
-                    gained = table.values[at[own]] + np.where(bonus >= 0, table.values[bonus], 0.0)
-                    score += np.bincount(row[places[use[own]]], weights=gained, minlength=n_rows)
                     wanted.append((key[far], row[places[use[far]]], False))
-                    far &= tails[1].has(entry)
+                    kept = (at >= 0) | far
+                    use, at = use[kept], at[kept]
+                    entry = _join_grams(c[use], s[use], level) ^ _ENTRY
+                    bonus = table.find(entry)
+                    gained = np.where(at >= 0, table.values[at], 0.0) + np.where(bonus >= 0, table.values[bonus], 0.0)
+                    score += np.bincount(row[places[use]], weights=gained, minlength=n_rows)
+                    far = (bonus < 0) & tails[1].has(entry)
                     wanted.append((entry[far], row[places[use[far]]], False))
                 uid = batch.column(0).slice(lo, n_rows)
                 spread = signed(mix(np.frombuffer(b"".join(uid.to_pylist()), dtype="<u8").reshape(-1, 2)[:, 0]))
@@ -394,9 +387,7 @@ def score_documents(
 
     keyed = rows.select(F.unhex(F.substring(F.sha2(F.concat_ws("|", F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("")), "body"), 256), 1, 32)).alias("uid"), "doc_id", "body")
     parts = keyed.mapInArrow(run, schema)
-    values = tail[0]
-    for x in tail[1:]:
-        values = values.unionByName(x)
+    values = reduce(DataFrame.unionByName, far)
     joined = parts.join(values.withColumnRenamed("k", "h"), "h", "left")
     is_doc = F.col("known").isNotNull()
     unseen = float(np.log10(0.5 / floor))

@@ -62,7 +62,7 @@ def brute_tree(train, least_context, least_next, gain_bits, divergence):
     return c, total, root, kept, p
 
 
-@pytest.mark.parametrize("heads", [{}, {"head_words": 30, "head_entries": 25}, {"head_words": 0, "head_entries": 0}])
+@pytest.mark.parametrize("heads", [{}, {"head_words": 30, "head_contexts": 12, "head_entries": 25}, {"head_words": 0, "head_contexts": 0, "head_entries": 0}])
 def test_scores_equal_a_plain_tree(spark, heads):
     rng = random.Random(4)
     phrases = [["the", "Cat", "sat", "on", "the", "mat"], ["a", "dog", "ran", "on", "a", "road"], ["to", "be", "or", "not", "to", "be"], ["on", "the", "road", "to", "a", "mat"]]

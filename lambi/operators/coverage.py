@@ -17,16 +17,46 @@ def counts(df: DataFrame, items: Column, name: str = "item", top: int | None = N
 def token_report(df: DataFrame, text: str, tokens: str, unknown: int) -> DataFrame:
     """One row: tokens, words, tokens per word, unknown tokens and their rate, and a verdict.
 
-    `tokens` is an array column of ids from any tokenizer.
+    `tokens` is an array column of any tokenizer: of structs with id, start and end in characters.
     """
     words = F.size(F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != ""))
-    out = df.agg(F.sum(F.size(tokens)).alias("tokens"), F.sum(words).alias("words"), F.sum(F.size(F.filter(tokens, lambda t: t == unknown))).alias("unknown"))
+    out = df.agg(F.sum(F.size(tokens)).alias("tokens"), F.sum(words).alias("words"), F.sum(F.size(F.filter(tokens, lambda t: t["id"] == unknown))).alias("unknown"))
     out = out.withColumn("tokens_per_word", F.round(F.col("tokens") / F.greatest("words", F.lit(1)), 3)).withColumn("unknown_rate", F.round(F.col("unknown") / F.greatest("tokens", F.lit(1)), 6))
     return out.withColumn("verdict", F.when((F.col("unknown_rate") > 0.001) | (F.col("tokens_per_word") > 4), "REVIEW").otherwise("OK"))
 
 
+def unknown_pieces(df: DataFrame, text: str, tokens: str, unknown: int, top: int = 20) -> DataFrame:
+    """Most common pieces of the text under unknown tokens (``<empty-span>`` without characters)."""
+    span = lambda t: F.when(t["end"] > t["start"], F.substring(F.col(text), t["start"] + 1, t["end"] - t["start"])).otherwise("<empty-span>")
+    return counts(df, F.transform(F.filter(tokens, lambda t: t["id"] == unknown), span), "piece", top)
+
+
+def inventory(df: DataFrame) -> DataFrame:
+    """The phoneme characters and marks that a model knows, as a table."""
+    known = sorted(set("".join(PHONEMES.values()) + ".,!?;:"))
+    return df.sparkSession.createDataFrame([(c,) for c in known], "phoneme string")
+
+
 def phoneme_report(df: DataFrame, said: str, rare_below: int = 50) -> DataFrame:
     """Count of each phoneme character, whether the inventory holds it and whether it is rare."""
-    inventory = "".join(sorted(set("".join(PHONEMES.values()) + ".,!?;:")))
     seen = counts(df, F.filter(F.split(said, ""), lambda c: ~c.isin("", " ")), "phoneme")
-    return seen.withColumn("known", F.lit(inventory).contains(F.col("phoneme"))).withColumn("rare", (F.col("n") < rare_below) & ~F.col("phoneme").rlike("[.,!?;:]"))
+    known = inventory(df).withColumn("_known", F.lit(True))
+    out = seen.join(F.broadcast(known), "phoneme", "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
+    return out.withColumn("rare", F.col("known") & (F.col("n") < rare_below) & ~F.col("phoneme").rlike("[.,!?;:]"))
+
+
+def unknown_phonemes(report: DataFrame) -> DataFrame:
+    """Produced phonemes that the inventory lacks, most common first."""
+    return report.select("phoneme", "n").join(F.broadcast(inventory(report)), "phoneme", "left_anti").orderBy(F.desc("n"), "phoneme")
+
+
+def rare_phonemes(report: DataFrame, top: int = 20) -> DataFrame:
+    """The rarest known phonemes."""
+    return report.where("rare").select("phoneme", "n").orderBy("n", "phoneme").limit(top)
+
+
+def phoneme_verdict(report: DataFrame) -> DataFrame:
+    """One row: distinct phonemes, those outside the inventory, rare ones, and PASS or FAIL."""
+    missing = F.coalesce(F.sum((~F.col("known")).cast("long")), F.lit(0))
+    out = report.agg(F.count(F.lit(1)).alias("distinct_phonemes"), missing.alias("unknown"), F.coalesce(F.sum(F.col("rare").cast("long")), F.lit(0)).alias("rare"))
+    return out.withColumn("verdict", F.when(F.col("unknown") == 0, "PASS").otherwise("FAIL"))

@@ -18,41 +18,84 @@ def seeded(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
+#: Buckets of the seeded order (three hex digits), a constant.
+ORDER_DIGITS = 3
+
+
 def group_split(df: DataFrame, group: str, duration: str, val: float, test: float, seed: int = 1804) -> DataFrame:
     """Whole groups to test, then val, up to 1.15 of the target hours; the rest to train.
 
-    Sums per group are a small table; groups are dealt in seeded order by one fold over it.
+    Groups come in seeded order; one goes to a split that has not reached its target if it stays
+    within 1.15 of it. A group of at most 0.15 of a target always fits there, so only the few larger
+    ones (at most total / (0.15 target) of them) are decided one by one on the driver. The others
+    follow from running sums: a split takes all of them between two larger ones, until it is full.
+    Sums of the buckets of the order (a constant number) reach the driver, and the groups of a
+    bucket only where a split fills up in it.
     """
-    sums = df.groupBy(group).agg(F.sum(duration).alias("d"))
-    one = sums.agg(F.sort_array(F.collect_list(F.struct(seeded(F.col(group), seed).alias("o"), F.col(group).alias("g"), "d"))).alias("all"), F.sum("d").alias("total"))
-    start = F.struct(F.lit(0.0).alias("t"), F.lit(0.0).alias("v"), F.array().cast(f"array<struct<g:{dict(df.dtypes)[group]},split:string>>").alias("out"))
-
-    def step(acc, x):
-        fits = lambda have, share: (have + x["d"] <= 1.15 * share * F.col("total")) & (have < share * F.col("total"))
-        to_test = fits(acc["t"], test)
-        to_val = ~to_test & fits(acc["v"], val)
-        name = F.when(to_test, "test").when(to_val, "val").otherwise("train")
-        return F.struct((acc["t"] + F.when(to_test, x["d"]).otherwise(0.0)).alias("t"), (acc["v"] + F.when(to_val, x["d"]).otherwise(0.0)).alias("v"), F.concat(acc["out"], F.array(F.struct(x["g"].alias("g"), name.alias("split")))).alias("out"))
-
-    dealt = one.select(F.explode(F.aggregate("all", start, step)["out"]).alias("x")).select(F.col("x.g").alias(group), F.col("x.split").alias("split"))
-    return df.join(dealt, group)
+    order = seeded(F.col(group), seed)
+    sums = df.groupBy(group).agg(F.sum(duration).cast("double").alias("d")).select(F.col(group), "d", order.alias("o"))
+    total = sums.agg(F.sum("d")).first()[0] or 0.0
+    targets = {"test": test * total, "val": val * total}
+    large = 0.15 * min(targets.values())
+    bucket = F.substring("o", 1, ORDER_DIGITS)
+    big = sums.where(F.col("d") > large).select("o", "d").orderBy("o").collect()
+    small = {r["b"]: r["s"] for r in sums.where(F.col("d") <= large).groupBy(bucket.alias("b")).agg(F.sum("d").alias("s")).collect()}
+    have = {"test": 0.0, "val": 0.0}
+    fits = lambda name, d: have[name] < targets[name] and have[name] + d <= 1.15 * targets[name]
+    runs: list[tuple[str, str, str]] = []  # (first order, last order, split) of small groups
+    own: list[tuple[str, str]] = []  # (order, split) of large groups
+
+    def give(name: str, first: str, last: str, d: float) -> None:
+        have[name] += d
+        if runs and runs[-1][2] == name:
+            runs[-1] = (runs[-1][0], last, name)
+        else:
+            runs.append((first, last, name))
+
+    mixed: dict[str, list] = {r["o"][:ORDER_DIGITS]: [] for r in big}
+    if mixed:
+        for r in sums.where(bucket.isin(*mixed)).select("o", "d").orderBy("o").toLocalIterator():
+            mixed[r["o"][:ORDER_DIGITS]].append(r)
+    for b in sorted({*small, *mixed}):
+        name = next((n for n in ("test", "val") if have[n] < targets[n]), None)
+        if name is None:
+            break
+        if b not in mixed and have[name] + small.get(b, 0.0) < targets[name]:
+            give(name, b, b + "~", small.get(b, 0.0))
+            continue
+        for r in mixed[b] if b in mixed else sums.where(bucket == b).select("o", "d").orderBy("o").toLocalIterator():
+            name = next((n for n in ("test", "val") if fits(n, r["d"])), None)
+            if name is not None and r["d"] <= large:
+                give(name, r["o"], r["o"], r["d"])
+            elif name is not None:
+                have[name] += r["d"]
+                own.append((r["o"], name))
+    small_split = F.lit("train")
+    for first, last, name in runs:
+        small_split = F.when((F.col("o") >= first) & (F.col("o") <= last), name).otherwise(small_split)
+    split = F.when(F.col("d") <= large, small_split)
+    for o, name in own:
+        split = split.when(F.col("o") == o, name)
+    return df.join(sums.select(group, split.otherwise("train").alias("split")), group)
 
 
 def split_corpus(df: DataFrame, path: str, group: str, duration: str, synthetic: str, val: float = 0.1, test: float = 0.1, by_group: bool = True, seed: int = 1804) -> DataFrame:
     """Split real rows (by group if every row has one and both splits get rows, else by hash of the
-    path), keep synthetic rows in train. A corpus without real rows is an error."""
+    path), keep synthetic rows in train. A corpus without real rows is an error. The column
+    `split_mode` says how: ``group`` or ``hash``."""
     real = df.where(~F.col(synthetic))
     counts = real.agg(F.count(F.lit(1)).alias("n"), F.count(group).alias("g")).first()
     if not counts["n"]:
         raise ValueError("all rows are synthetic: nothing can be held out")
-    by_hash = lambda: real.withColumn("split", hash_split(F.col(path), val, test))
+    done, mode = None, "hash"
     if by_group and counts["n"] == counts["g"]:
-        done = group_split(real, group, duration, val, test, seed)
+        done, mode = group_split(real, group, duration, val, test, seed), "group"
         if done.where("split <> 'train'").select("split").distinct().count() < 2:
-            done = by_hash()
-    else:
-        done = by_hash()
-    return done.unionByName(df.where(F.col(synthetic)).withColumn("split", F.lit("train")).select(done.columns))
+            done, mode = None, "hash"
+    if done is None:
+        done = real.withColumn("split", hash_split(F.col(path), val, test))
+    rest = df.where(F.col(synthetic)).withColumn("split", F.lit("train"))
+    return done.unionByName(rest.select(done.columns)).withColumn("split_mode", F.lit(mode))
 
 
 def oversample(df: DataFrame, weight: Column, split: str = "split") -> DataFrame:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lambi.functions import phonemes as ph
 from lambi.functions import textnorm as tn
 from lambi.operators import coverage, dedup, profile, rules, scoring, signal, splits, vectors
-from lambi.plans.fixtures import CLIPS_SQL, NORM_SQL, PAIRS_SQL, clips, pairs, refs, table, waves
+from lambi.plans.fixtures import CLIPS_SQL, LONG_WAVES_SQL, NOISY_SQL, NORM_SQL, PAIRS_SQL, SENTENCE_PAIRS_SQL, clips, every_latency, long_waves, noisy, pairs, refs, sentence_pairs, table, waves
 from lambi.sources import tables as src
 from lambi.streaming.quota import quota_batch
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 MIN_S, MAX_S = 0.5, 600.0
-VOICES = [("deniz", "spk1", True, ["src1", "src2", "src4"]), ("klodin", "spk2", True, ["src2"]), ("jan", "spk3", True, []), ("mariz", "SPK4", True, ["src7"]), ("nana", "spk5", False, []), ("leo", "nobody", False, [])]
+VOICES = [("one", "spk1", True, ["src1", "src2", "src4"]), ("two", "spk2", True, ["src2"]), ("three", "Spk3", True, []), ("four", "SPK4", True, ["src7"]), ("five", "spk5", False, []), ("six", "absent", False, [])]
 WEIGHTS = {"src1": 2.5, "src2": 1.5}
 
 
@@ -38,6 +42,11 @@ def normalize_text(spark, sf):
     return _docs(spark, sf).select("doc_id", tn.normalize(F.col("text")).alias("norm"))
 
 
+@query("normalize_noisy", f"SELECT doc_id, {NORM_SQL.format('text')} AS norm FROM ({NOISY_SQL})")
+def normalize_noisy(spark, sf):
+    return noisy(spark, sf).select("doc_id", tn.normalize(F.col("text")).alias("norm"))
+
+
 _OUTSIDE = r"regexp_replace(text, '[a-zA-ZàèéòùÀÈÉÒÙ0-9 .,?!''\-:;\"()%&/]', '', 'g')"
 
 
@@ -65,13 +74,14 @@ def vocab_losses(spark, sf):
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
-    """Clips with their normal form and the first rule they fail; later copies fail `duplicate`."""
+    """Clips with the first rule they fail; later copies fail `duplicate`. Texts end in a hash."""
     df = clips(spark, sf).withColumn("text", tn.normalize(F.col("raw_text")))
     df = df.withColumn("drop_reason", rules.first_failing(rules.speech_rules(F.col("text"), F.col("duration"), MIN_S, MAX_S)))
-    df = df.withColumn("content_key", F.when(F.col("drop_reason").isNull(), F.concat_ws("|", "audio_md5", F.lower("text"))))
-    first = df.where("content_key is not null").groupBy("content_key").agg(F.min(F.struct("source_ord", "idx")).alias("first"))
-    joined = df.join(first, "content_key", "left")
-    return joined.withColumn("drop_reason", F.when(F.col("first").isNotNull() & (F.struct("source_ord", "idx") != F.col("first")), "duplicate").otherwise(F.col("drop_reason"))).drop("first", "content_key")
+    content = F.md5(F.concat_ws("|", "audio_md5", F.lower("text")))
+    alone = F.concat(F.lit("dropped "), F.col("idx").cast("string"))
+    df = df.select("idx", "source", "source_ord", "duration", "synthetic", "drop_reason", F.when(F.col("drop_reason").isNull(), content).otherwise(alone).alias("content_key"))
+    marked = dedup.mark_duplicates(df, "content_key", ["source_ord", "idx"])
+    return marked.withColumn("drop_reason", F.when(F.col("is_duplicate") & F.col("drop_reason").isNull(), "duplicate").otherwise(F.col("drop_reason"))).drop("is_duplicate", "content_key")
 
 
 _CLASS = f"""c AS ({CLIPS_SQL}), n AS (SELECT *, {NORM_SQL.format('raw_text')} AS text FROM c),
@@ -172,7 +182,7 @@ def speaker_index(spark, sf):
 
 
 _FORM = r"trim(regexp_replace(translate(lower(regexp_replace(nfc_normalize({0}), '<[a-z]{{2,3}}(-[A-Za-z]{{2,4}})?>', ' ', 'g')), '!\"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~«»…', ''), '\s+', ' ', 'g'))"
-_SCORED = f"""p AS ({PAIRS_SQL}), n AS (SELECT *, {_FORM.format('reference')} AS r, {_FORM.format('hypothesis')} AS h FROM p),
+_SCORED = f"""p AS ({SENTENCE_PAIRS_SQL}), n AS (SELECT *, {_FORM.format('reference')} AS r, {_FORM.format('hypothesis')} AS h FROM p),
 w AS (SELECT *, string_split(r, ' ') AS rw, list_filter(string_split(h, ' '), lambda x: x <> '') AS hw FROM n WHERE r <> ''), a AS (SELECT *, list_distinct(list_concat(rw, hw)) AS ab FROM w),
 cc AS (SELECT *, list_distinct(list_concat(string_split(r, ''), string_split(h, ''))) AS cb FROM a),
 s AS (SELECT *, levenshtein(array_to_string(list_transform(rw, lambda x: chr(33 + list_position(ab, x)::INT)), ''), array_to_string(list_transform(hw, lambda x: chr(33 + list_position(ab, x)::INT)), '')) AS word_edits, len(rw) AS words,
@@ -181,42 +191,58 @@ s AS (SELECT *, levenshtein(array_to_string(list_transform(rw, lambda x: chr(33
 
 @query("wer_cer", f"WITH {_SCORED} SELECT model, latency_ms, round(sum(word_edits) / sum(words), 5) AS wer, round(sum(char_edits) / sum(chars), 5) AS cer, count(*) AS clips FROM s GROUP BY ALL")
 def wer_cer(spark, sf):
-    return scoring.error_rates(pairs(spark, sf), "model", "latency_ms")
+    return scoring.rates(every_latency(scoring.measured(sentence_pairs(spark, sf))), "model", "latency_ms")
 
 
 @query("worst_clips", f"WITH {_SCORED} SELECT doc_id, round(word_edits / words, 4) AS wer FROM s WHERE model = 'baseline' AND latency_ms = 80 ORDER BY wer DESC, doc_id LIMIT 20")
 def worst_clips(spark, sf):
-    return scoring.worst(pairs(spark, sf).where("model = 'baseline' and latency_ms = 80"), "doc_id").select("doc_id", "wer")
+    return scoring.worst(sentence_pairs(spark, sf).where("model = 'baseline'"), "doc_id").select("doc_id", "wer")
 
 
-@query("tags_emitted", f"WITH p AS ({PAIRS_SQL}) SELECT model, latency_ms, tag, count(*) AS n, tag <> '<ht-HT>' AS stray FROM (SELECT model, latency_ms, unnest(regexp_extract_all(hypothesis, '<[a-z]{{2,3}}(?:-[A-Za-z]{{2,4}})?>')) AS tag FROM p) GROUP BY ALL")
+@query("document_error_rates")
+def document_error_rates(spark, sf):
+    return scoring.rates(every_latency(scoring.measured(pairs(spark, sf))), "model", "latency_ms")
+
+
+@query("tags_emitted", f"WITH p AS ({PAIRS_SQL}) SELECT model, latency_ms, tag, count(*) AS n, lower(tag) <> '<ht-ht>' AS stray FROM (SELECT model, latency_ms, unnest(regexp_extract_all(hypothesis, '<[a-z]{{2,3}}(?:-[A-Za-z]{{2,4}})?>')) AS tag FROM p) GROUP BY ALL")
 def tags_emitted(spark, sf):
-    return scoring.tag_counts(pairs(spark, sf), "model", "latency_ms").withColumn("stray", F.lower("tag") != "<ht-ht>")
+    return scoring.tag_counts(every_latency(pairs(spark, sf)), "model", "latency_ms").withColumn("stray", F.lower("tag") != "<ht-ht>")
 
 
 @query("system_compare", f"WITH {_SCORED}, e AS (SELECT model, latency_ms, round(sum(word_edits) / sum(words), 5) AS wer FROM s GROUP BY ALL) SELECT latency_ms, max(wer) FILTER (model = 'baseline') AS baseline_wer, max(wer) FILTER (model = 'tuned') AS tuned_wer, round(max(wer) FILTER (model = 'tuned') - max(wer) FILTER (model = 'baseline'), 5) AS delta FROM e GROUP BY latency_ms")
 def system_compare(spark, sf):
-    return scoring.compare_systems(scoring.error_rates(pairs(spark, sf), "model", "latency_ms"), "baseline", "tuned")
+    return scoring.compare_systems(wer_cer(spark, sf), "baseline", "tuned")
 
 
 _TIER = "CASE WHEN {0} < 22050 THEN 'D' WHEN {1} >= 5e-3 THEN 'A' WHEN {1} >= 5e-4 THEN 'B' ELSE 'C' END"
 
 
+def _mode_sql(keys: str, column: str) -> str:
+    return f"SELECT {keys}, arg_min({column}, (-n, {column})) AS {column} FROM (SELECT {keys}, {column}, count(*) AS n FROM c GROUP BY ALL) GROUP BY {keys}"
+
+
 def _profile_sql(*keys: str) -> str:
     k = ", ".join(keys)
-    return f"""WITH c AS ({CLIPS_SQL}), m AS (SELECT {k}, arg_min(native_sr, (-n, native_sr)) AS native_sr FROM (SELECT {k}, native_sr, count(*) AS n FROM c GROUP BY ALL) GROUP BY {k}),
-    a AS (SELECT {k}, count(*) AS clips, median(e8k) AS median_e8k, median(duration) AS median_s, round(sum(duration), 6) AS total_s FROM c GROUP BY {k})
-    SELECT {k}, clips, native_sr, median_e8k, median_s, total_s, {_TIER.format('native_sr', 'median_e8k')} AS tier, 1.66e-2 / greatest(median_e8k, 1e-12) AS gap FROM a JOIN m USING ({k})"""
+    return f"""WITH c AS ({CLIPS_SQL}), m AS ({_mode_sql(k, 'native_sr')}), o AS ({_mode_sql(k, 'fmt')}),
+    a AS (SELECT {k}, count(*) AS clips, median(e8k) AS median_e8k, median(duration) AS median_s, round(sum(duration), 6) AS total_s, median(f999) AS median_f999,
+          round(avg((clip_ratio > 0.005)::INT), 9) AS clipped_share, max(dc_offset) AS max_dc FROM c GROUP BY {k})
+    SELECT {k}, clips, native_sr, fmt, median_e8k, median_s, total_s, median_f999, clipped_share, max_dc, {_TIER.format('native_sr', 'median_e8k')} AS tier, round(1.66e-2 / greatest(median_e8k, 1e-12), 3) AS gap FROM a JOIN m USING ({k}) JOIN o USING ({k})"""
 
 
-@query("source_profile", _profile_sql("source").replace("1.66e-2 / greatest(median_e8k, 1e-12) AS gap", "round(1.66e-2 / greatest(median_e8k, 1e-12), 3) AS gap"))
+@query("source_profile", _profile_sql("source"))
 def source_profile(spark, sf):
-    return profile.profile(clips(spark, sf), "source").withColumn("gap", F.round("gap", 3))
+    return profile.profile(clips(spark, sf), "source").withColumn("gap", F.round("gap", 3)).withColumn("clipped_share", F.round("clipped_share", 9))
 
 
-@query("speaker_source_profile", f"SELECT speaker, source, clips, native_sr, tier FROM ({_profile_sql('speaker', 'source')})")
+@query("speaker_source_profile", f"SELECT speaker, source, clips, native_sr, fmt, median_f999, tier FROM ({_profile_sql('speaker', 'source')})")
 def speaker_source_profile(spark, sf):
-    return profile.profile(clips(spark, sf).where("speaker is not null"), "speaker", "source").select("speaker", "source", "clips", "native_sr", "tier")
+    return profile.profile(clips(spark, sf).where("speaker is not null"), "speaker", "source").select("speaker", "source", "clips", "native_sr", "fmt", "median_f999", "tier")
+
+
+@query("synthesis_stats", f"""WITH c AS ({CLIPS_SQL}), m AS ({_mode_sql('source', 'native_sr')}), a AS (SELECT source, count(*) AS clips, round(sum(duration) / 3600, 6) AS hours, median(e8k) AS median_e8k, median(native_sr) AS sr FROM c GROUP BY source)
+SELECT source, clips, hours, median_e8k, native_sr, {_TIER.format('sr', 'median_e8k')} AS tier FROM a JOIN m USING (source)""")
+def synthesis_stats(spark, sf):
+    return profile.synthesis_stats(clips(spark, sf))
 
 
 @query("rate_histogram", f"WITH c AS ({CLIPS_SQL}) SELECT source, native_sr, count(*) AS clips FROM c GROUP BY ALL")
@@ -236,23 +262,35 @@ def duplicate_corpora(spark, sf):
 
 
 _VOICES = ", ".join(f"('{n}', '{s}', {str(b).lower()}, {x}::VARCHAR[])" for n, s, b, x in VOICES)
+_SPOKEN_BY = "CASE WHEN idx % 2 = 1 THEN upper(speaker) ELSE speaker END"
+_SPEAKERS = f"c AS (SELECT * REPLACE ({_SPOKEN_BY} AS speaker) FROM ({CLIPS_SQL})), v(name, speaker_id, stage2, sources) AS (VALUES {_VOICES})"
+
+
+def _voiced(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Clips whose speaker is in upper case half of the time, and the voices."""
+    voices = spark.createDataFrame(VOICES, "name string, speaker_id string, stage2 boolean, stage2_sources array<string>")
+    return clips(spark, sf).withColumn("speaker", F.expr(_SPOKEN_BY)), voices
 
 
-@query("voice_stats", f"""WITH c AS ({CLIPS_SQL}), v(name, speaker_id, stage2, sources) AS (VALUES {_VOICES}),
-m AS (SELECT v.name, duration, {_TIER.format('native_sr', 'e8k')} AS tier, ({_TIER.format('native_sr', 'e8k')} IN ('A', 'B') AND (len(sources) = 0 OR list_contains(sources, source)))::INT AS two FROM c JOIN v ON c.speaker = v.speaker_id OR c.speaker = lower(v.speaker_id)),
+@query("voice_stats", f"""WITH {_SPEAKERS},
+m AS (SELECT v.name, duration, {_TIER.format('native_sr', 'e8k')} AS tier, ({_TIER.format('native_sr', 'e8k')} IN ('A', 'B') AND (len(sources) = 0 OR list_contains(sources, source)))::INT AS two FROM c JOIN v ON lower(c.speaker) = lower(v.speaker_id)),
 a AS (SELECT name, count(*) AS clips, sum(duration) AS s, sum(two) AS n2, min(tier) AS tier FROM m GROUP BY name)
 SELECT v.name, coalesce(clips, 0) AS clips, round(coalesce(s, 0) / 3600, 6) AS hours, least(coalesce(n2, 0), 900)::BIGINT AS stage2_clips, tier, stage2 AND least(coalesce(n2, 0), 900) >= 2 AS ready, CASE WHEN NOT stage2 THEN 'BLOCKED' WHEN coalesce(n2, 0) >= 2 THEN 'PASS' ELSE 'THIN' END AS status FROM v LEFT JOIN a USING (name)""")
 def voice_stats(spark, sf):
-    voices = spark.createDataFrame(VOICES, "name string, speaker_id string, stage2 boolean, stage2_sources array<string>")
-    return profile.voice_stats(clips(spark, sf), voices, ready_from=2)
+    return profile.voice_stats(*_voiced(spark, sf), ready_from=2)
 
 
-@query("synthesis_rules", f"""WITH c AS ({CLIPS_SQL}), p AS (SELECT *, length(regexp_replace(raw_text, '\\s', '', 'g')) AS n, idx % 40 AS snr FROM c)
-SELECT idx, CASE WHEN duration IS NULL THEN 'undecodable_audio' WHEN e8k > 0.005 THEN 'clipped' WHEN e8k / 2 > 0.005 THEN 'dc_offset' WHEN duration < 1 THEN 'too_short' WHEN duration > 12 THEN 'too_long' WHEN snr < 15 THEN 'low_snr' WHEN n < 5 THEN 'too_few_phonemes' WHEN n > 400 THEN 'too_many_phonemes' WHEN duration <= 0 OR n / duration > 22 THEN 'implausible_phoneme_rate' END AS drop_reason FROM p""")
-def synthesis_rules(spark, sf):
-    df = clips(spark, sf)
-    m = {"duration": F.col("duration"), "clip_ratio": F.col("e8k"), "dc_offset": F.col("e8k") / 2, "snr": F.col("idx") % 40, "n_phonemes": F.length(F.regexp_replace("raw_text", r"\s", ""))}
-    return df.select("idx", rules.first_failing(rules.synthesis_rules(m)).alias("drop_reason"))
+@query("speaker_report", f"""WITH {_SPEAKERS}, m AS (SELECT coalesce(speaker, '<none>') AS speaker, source, count(*) AS n, median(native_sr) AS sr, median(e8k) AS e FROM c GROUP BY ALL),
+t AS (SELECT speaker, sum(n)::BIGINT AS clips, min({_TIER.format('sr', 'e')}) AS best_tier FROM m GROUP BY speaker)
+SELECT speaker, name AS voice, clips, best_tier, best_tier IN ('A', 'B', 'C', 'D') AS stage1, best_tier IN ('A', 'B') AS stage2 FROM t LEFT JOIN v ON lower(speaker) = lower(speaker_id) ORDER BY name IS NULL, speaker""")
+def speaker_report(spark, sf):
+    return profile.speaker_report(*_voiced(spark, sf))
+
+
+@query("style_check", r"SELECT CASE WHEN avg(regexp_matches(text, '\p{Lu}')::INT) < 0.2 OR avg(regexp_matches(text, '[.!?,]')::INT) < 0.2 THEN 'MISMATCH' ELSE 'OK' END AS verdict FROM documents")
+def style_check(spark, sf):
+    ratios = style_stats(spark, sf)
+    return ratios.select(profile.style_verdict(F.col("cased_ratio"), F.col("punctuated_ratio")).alias("verdict"))
 
 
 @query("row_counts", "SELECT 'events' AS name, count(*) AS n FROM events UNION ALL SELECT 'documents', count(*) FROM documents")
@@ -271,38 +309,138 @@ def stratified_sample(spark, sf):
     return src.block_sample(e, "block", "event_id", 200).select("event_id")
 
 
-def _number_sql() -> str:
-    values = ", ".join(f"({i}, '{w}')" for i, w in enumerate(ph.below_thousand()))
-    return f"""WITH w(i, word) AS (VALUES {values}), n AS (SELECT DISTINCT p_partkey AS n FROM part UNION SELECT DISTINCT l_orderkey FROM lineitem)
-    SELECT n, CASE WHEN n < 1000 THEN b.word WHEN n >= 1000000 THEN NULL ELSE (CASE WHEN n // 1000 = 1 THEN 'mil' ELSE a.word || ' mil' END) || (CASE WHEN n % 1000 = 0 THEN '' ELSE ' ' || b.word END) END AS words FROM n LEFT JOIN w a ON a.i = n // 1000 JOIN w b ON b.i = n % 1000"""
+#: Words of 0 to 999 spelled out by joins of literal tables.
+_WORDS_SQL = """u(i, w) AS (VALUES (0, 'zewo'), (1, 'en'), (2, 'de'), (3, 'twa'), (4, 'kat'), (5, 'senk'), (6, 'sis'), (7, 'sèt'), (8, 'uit'), (9, 'nèf'), (10, 'dis'), (11, 'onz'), (12, 'douz'), (13, 'trèz'), (14, 'katòz'), (15, 'kenz'), (16, 'sèz'), (17, 'disèt'), (18, 'dizuit'), (19, 'diznèf')),
+tw(ten, alone, linked, eyen) AS (VALUES (2, 'ven', 'venn', 'vent'), (3, 'trant', 'trann', 'trant'), (4, 'karant', 'karann', 'karant'), (5, 'senkant', 'senkann', 'senkant'), (6, 'swasant', 'swasann', 'swasant')),
+hundred AS (SELECT i, w FROM u UNION ALL SELECT ten * 10 + i, CASE i WHEN 0 THEN alone WHEN 1 THEN eyen || 'eyen' ELSE linked || w END FROM tw, u WHERE i < 10
+    UNION ALL SELECT 60 + i, 'swasann' || w FROM u WHERE i >= 10 UNION ALL SELECT 80 + i, 'katreven' || CASE i WHEN 0 THEN '' WHEN 1 THEN ' en' ELSE w END FROM u),
+words(i, w) AS (SELECT i, w FROM hundred UNION ALL SELECT h.i * 100 + r.i, CASE h.i WHEN 1 THEN '' ELSE h.w END || 'san' || CASE r.i WHEN 0 THEN '' ELSE ' ' || r.w END FROM u h, hundred r WHERE h.i BETWEEN 1 AND 9)"""
+_SPELL = "CASE WHEN {0} < 1000 THEN {1} ELSE (CASE WHEN {0} // 1000 = 1 THEN 'mil' ELSE {2} || ' mil' END) || (CASE WHEN {0} % 1000 = 0 THEN '' ELSE ' ' || {1} END) END"
 
 
-@query("number_words", _number_sql())
+@query("number_words", f"WITH {_WORDS_SQL}, n AS (SELECT DISTINCT p_partkey AS n FROM part UNION SELECT DISTINCT l_orderkey FROM lineitem) SELECT n, CASE WHEN n < 1000000 THEN {_SPELL.format('n', 'b.w', 'a.w')} END AS words FROM n LEFT JOIN words a ON a.i = n // 1000 JOIN words b ON b.i = n % 1000")
 def number_words(spark, sf):
     n = table(spark, sf, "part").select(F.col("p_partkey").alias("n")).union(table(spark, sf, "lineitem").select("l_orderkey")).distinct()
     return n.select("n", ph.number_words(F.col("n")).alias("words"))
 
 
-@query("phonemize")
+def _phonemes_sql(text: str) -> str:
+    """Steps from documents to phonemes. RE2 has no look-around: runs of letters become single
+    private characters one after the other, and those phonemes at the end."""
+    letters, vowels = "a-zàèéòù", "aeiouàèéòù"
+    mark = [chr(0xE000 + i) for i in range(13)]
+    digits = lambda x: f"array_to_string(list_transform(list_filter(string_split({x}, ''), lambda c: c BETWEEN '0' AND '9'), lambda c: words[c::INT + 1]), ' ')"
+    plain, whole = r"regexp_replace(run, '[,\s]', '', 'g')", r"regexp_extract(regexp_replace(run, '[,\s]', '', 'g'), '^([0-9]*)', 1)"
+    frac = rf"regexp_extract({plain}, '\.(.*)$', 1)"
+    value = f"CASE WHEN {whole} = '' THEN 0 ELSE try_cast({whole} AS BIGINT) END"
+    spelled = _SPELL.format(f"({value})", f"words[({value}) % 1000 + 1]", f"words[({value}) // 1000 + 1]")
+    spoken = f"CASE WHEN length({whole}) > 6 AND (contains({plain}, '.') OR coalesce(({value}) >= 1000000, true)) THEN {digits(whole)} ELSE {spelled} END || CASE WHEN contains({plain}, '.') THEN ' vigil' || CASE WHEN {frac} = '' THEN '' ELSE ' ' || {digits(frac)} END ELSE '' END"
+    x = "said"
+    x = f"regexp_replace({x}, 'oun([^{vowels}]|$)', '{mark[1]}\\1', 'g')"
+    for i, run in ((2, "ann"), (3, "enn"), (4, "onn")):
+        x = f"replace({x}, '{run}', '{mark[i]}')"
+    for i, c in ((5, "a"), (6, "e"), (7, "o")):
+        x = f"regexp_replace({x}, '{c}n([^{vowels}ny{mark[1]}-{mark[7]}]|$)', '{mark[i]}\\1', 'g')"
+    for i, run in ((8, "ou"), (9, "ui"), (10, "ch"), (11, "ny"), (12, "x")):
+        x = f"replace({x}, '{run}', '{mark[i]}')"
+    x = f"translate({x}, 'àéèòùjrycqg', 'aeɛɔuʒɣjkkɡ')"
+    sounds = ["", "u\u0303", "an", "ɛn", "ɔn", "ɑ\u0303", "ɛ\u0303", "ɔ\u0303", "u", "ɥi", "ʃ", "ɲ", "ks"]
+    for m, sound in zip(mark, sounds):
+        x = f"replace({x}, '{m}', '{sound}')"
+    elided = "runs"
+    for _ in range(2):
+        elided = f"regexp_replace({elided}, '([{letters}])''([{letters}])', '\\1\\2', 'g')"
+    return f"""{_WORDS_SQL}, w1000 AS (SELECT list(w ORDER BY i) AS words FROM words),
+    t1 AS (SELECT doc_id, replace(replace(lower({NORM_SQL.format('text')}), '$', ' dola '), '€', ' ero ') AS x, words FROM ({text}), w1000),
+    t2 AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(x, '[0-9][0-9\\s.,]*[0-9]|[0-9]|[^0-9]+'), lambda run: CASE WHEN regexp_matches(run, '^[0-9]') THEN {spoken} ELSE run END), '') AS runs FROM t1),
+    t3 AS (SELECT doc_id, regexp_replace({elided}, '[^{letters}.,!?;:\\s]', '{mark[0]}', 'g') AS said FROM t2),
+    ph AS (SELECT doc_id, trim(regexp_replace(regexp_replace({x}, '\\s', ' ', 'g'), ' +', ' ', 'g')) AS phonemes FROM t3)"""
+
+
+_PHONEMES = _phonemes_sql("SELECT doc_id, text FROM documents").replace("\\\\", "\\")
+
+
+@query("phonemize", f"WITH {_PHONEMES} SELECT doc_id, phonemes, length(replace(phonemes, ' ', '')) AS n_phonemes FROM ph")
 def phonemize(spark, sf):
     said = ph.phonemes(F.col("text"))
     return _docs(spark, sf).select("doc_id", said.alias("phonemes")).withColumn("n_phonemes", ph.phoneme_count(F.col("phonemes")))
 
 
-@query("phoneme_coverage")
+_REPORT = f"{_PHONEMES}, k AS (SELECT phoneme, count(*) AS n FROM (SELECT unnest(string_split(phonemes, '')) AS phoneme FROM ph) WHERE phoneme NOT IN ('', ' ') GROUP BY phoneme), rep AS (SELECT *, contains('anɛɔɑueiɥʃɲpbtdkɡfvszhmlʒɣwjo\u0303.,!?;:', phoneme) AS known FROM k)"
+
+
+@query("phoneme_coverage", f"WITH {_REPORT} SELECT phoneme, n, known, known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]') AS rare FROM rep")
 def phoneme_coverage(spark, sf):
     return coverage.phoneme_report(phonemize(spark, sf), "phonemes")
 
 
-@query("token_coverage", "SELECT tokens, words, round(tokens / greatest(words, 1), 3) AS tokens_per_word, unknown, round(unknown / greatest(tokens, 1), 6) AS unknown_rate, CASE WHEN round(unknown / greatest(tokens, 1), 6) > 0.001 OR round(tokens / greatest(words, 1), 3) > 4 THEN 'REVIEW' ELSE 'OK' END AS verdict FROM (SELECT sum(length(text))::BIGINT AS tokens, sum(len(regexp_extract_all(text, '[^\\s]+')))::BIGINT AS words, sum(length(regexp_replace(text, '[^|]', '', 'g')))::BIGINT AS unknown FROM documents)")
+@query("phoneme_check", f"WITH {_REPORT} SELECT count(*) AS distinct_phonemes, count(*) FILTER (NOT known) AS unknown, count(*) FILTER (known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]')) AS rare, CASE WHEN count(*) FILTER (NOT known) = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM rep")
+def phoneme_check(spark, sf):
+    return coverage.phoneme_verdict(phoneme_coverage(spark, sf))
+
+
+@query("rare_phonemes", f"WITH {_REPORT} SELECT phoneme, n FROM rep WHERE known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]') ORDER BY n, phoneme LIMIT 20")
+def rare_phonemes(spark, sf):
+    return coverage.rare_phonemes(phoneme_coverage(spark, sf))
+
+
+_TOKEN = r"[A-Za-z]{1,4}|[0-9]|[^A-Za-z0-9 \t\n\r]"
+_TOKEN_PATTERN = re.compile(_TOKEN)
+
+
+@F.arrow_udf(ArrayType(StructType([StructField(x, IntegerType()) for x in ("id", "start", "end")])))
+def _tokens(texts: pa.Array) -> pa.Array:
+    """A small tokenizer: runs of up to four letters, digits and marks; other letters are unknown (0)."""
+    ends, ids, starts, stops = [0], [], [], []
+    for text in texts.to_pylist():
+        for m in _TOKEN_PATTERN.finditer(text or ""):
+            ids.append(1 if m[0].isascii() else 0)
+            starts.append(m.start())
+            stops.append(m.end())
+        ends.append(len(ids))
+    fields = [pa.array(x, pa.int32()) for x in (ids, starts, stops)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["id", "start", "end"]))
+
+
+_PIECES = f"SELECT doc_id, text, regexp_extract_all(text, '{_TOKEN}') AS pieces FROM documents"
+
+
+@query("token_coverage", rf"SELECT tokens, words, round(tokens / greatest(words, 1), 3) AS tokens_per_word, unknown, round(unknown / greatest(tokens, 1), 6) AS unknown_rate, CASE WHEN round(unknown / greatest(tokens, 1), 6) > 0.001 OR round(tokens / greatest(words, 1), 3) > 4 THEN 'REVIEW' ELSE 'OK' END AS verdict FROM (SELECT sum(len(pieces))::BIGINT AS tokens, sum(len(regexp_extract_all(text, '[^\s]+')))::BIGINT AS words, sum(len(list_filter(pieces, lambda p: regexp_matches(p, '[^\x00-\x7F]'))))::BIGINT AS unknown FROM ({_PIECES}))")
 def token_coverage(spark, sf):
-    df = _docs(spark, sf).withColumn("tokens", F.transform(F.filter(F.split("text", ""), lambda c: c != ""), lambda c: F.when(c == "|", 0).otherwise(1)))
-    return coverage.token_report(df, "text", "tokens", 0)
+    return coverage.token_report(_docs(spark, sf).withColumn("tokens", _tokens("text")), "text", "tokens", 0)
+
+
+@query("unknown_pieces", rf"SELECT piece, count(*) AS n FROM (SELECT unnest(pieces) AS piece FROM ({_PIECES})) WHERE regexp_matches(piece, '[^\x00-\x7F]') GROUP BY piece ORDER BY n DESC, piece LIMIT 20")
+def unknown_pieces(spark, sf):
+    return coverage.unknown_pieces(_docs(spark, sf).withColumn("tokens", _tokens("text")), "text", "tokens", 0)
+
+
+#: The same levels in SQL: an element is what a unit breaks into, or stays open to be joined.
+_LIMIT = 200
+_ELEMENT = "CASE WHEN length({0}) > {1} THEN {{'done': {2}, 'open': ''}} ELSE {{'done': []::VARCHAR[], 'open': {0}}} END"
+_STEP = """lambda a, b: CASE WHEN len(b.done) > 0 THEN {{'done': list_concat(CASE WHEN a.open = '' THEN a.done ELSE list_append(a.done, a.open) END, b.done), 'open': ''}}
+WHEN a.open = '' THEN {{'done': a.done, 'open': b.open}} WHEN length(a.open) + 1 + length(b.open) <= {0} THEN {{'done': a.done, 'open': a.open || ' ' || b.open}} ELSE {{'done': list_append(a.done, a.open), 'open': b.open}} END"""
 
 
-@query("chunk_text")
+def _filled(units: str, name: str, broken: str | None) -> str:
+    element = _ELEMENT.format(name, _LIMIT, broken) if broken else f"{{'done': []::VARCHAR[], 'open': {name}}}"
+    folded = f"list_reduce(list_transform({units}, lambda {name}: {element}), {_STEP.format(_LIMIT)})"
+    return f"list_transform([{folded}], lambda f: CASE WHEN f.open = '' THEN f.done ELSE list_append(f.done, f.open) END)[1]"
+
+
+def _chunks_sql() -> str:
+    cut = lambda x, marks: f"string_split(regexp_replace({x}, '([{marks}])\\s+', '\\1' || chr(1), 'g'), chr(1))"
+    wrapped = _filled("string_split(clause, ' ')", "word", f"regexp_extract_all(word, '(?s).{{1,{_LIMIT}}}')")
+    broken = _filled(cut("sentence", ",;:"), "clause", wrapped)
+    parts = f"flatten(list_transform({cut('one', '.!?…')}, lambda sentence: CASE WHEN length(sentence) > {_LIMIT} THEN {broken} ELSE [sentence] END))"
+    pieces = _filled("list_filter(parts, lambda p: p <> '')", "p", None)
+    return rf"""WITH o AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS one FROM documents), q AS (SELECT doc_id, {parts} AS parts FROM o WHERE one <> ''), f AS (SELECT doc_id, {pieces} AS pieces FROM q)
+    SELECT doc_id, (unnest(range(len(pieces))))::INT AS segment, unnest(pieces) AS piece FROM f""".replace("\\\\", "\\")
+
+
+@query("chunk_text", _chunks_sql())
 def chunk_text(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.posexplode(tn.chunks(F.col("text"), 200)).alias("segment", "piece"))
+    return _docs(spark, sf).select("doc_id", F.posexplode(tn.chunks(F.col("text"), _LIMIT)).alias("segment", "piece"))
 
 
 _ABS = "list_transform(embedding, lambda x: abs(x::DOUBLE))"
@@ -333,15 +471,34 @@ def level_match(spark, sf):
     return out.select("vec_id", F.round("gain", 6).alias("gain"))
 
 
+@query("synthesis_rules", f"""WITH {_PHONEMES}, c AS ({CLIPS_SQL}), p AS (SELECT c.*, length(replace(phonemes, ' ', '')) AS n, 5 + idx % 40 AS snr FROM c JOIN ph ON doc_id = idx)
+SELECT idx, CASE WHEN duration IS NULL THEN 'undecodable_audio' WHEN clip_ratio > 0.005 THEN 'clipped' WHEN dc_offset > 0.005 THEN 'dc_offset' WHEN duration < 1 THEN 'too_short' WHEN duration > 12 THEN 'too_long' WHEN snr < 15 THEN 'low_snr' WHEN n < 5 THEN 'too_few_phonemes' WHEN n > 400 THEN 'too_many_phonemes' WHEN duration <= 0 OR n / duration > 22 THEN 'implausible_phoneme_rate' END AS drop_reason FROM p""")
+def synthesis_rules(spark, sf):
+    df = clips(spark, sf).withColumn("n_phonemes", ph.phoneme_count(ph.phonemes(F.col("raw_text")))).withColumn("snr", 5 + F.col("idx") % 40)
+    return df.select("idx", rules.first_failing(rules.synthesis_rules({c: F.col(c) for c in ("duration", "clip_ratio", "dc_offset", "snr", "n_phonemes")})).alias("drop_reason"))
+
+
 @query("signal_measures")
 def signal_measures(spark, sf):
-    return signal.measure(waves(spark, sf), "vec_id", "wave", "sr")
+    return signal.measure(long_waves(spark, sf).withColumn("key", F.col("passage") * 1000000 + F.col("segment")), "key", "wave", "sr")
+
+
+_FRAMES = f"SELECT passage, segment, wave, unnest(range(1, len(wave) - 398, 160)) AS pos FROM ({LONG_WAVES_SQL}) WHERE len(wave) >= 1840"
+
+
+@query("frame_snr", f"""SELECT passage, segment, round(quantile_cont(db, 0.95) - quantile_cont(db, 0.05), 5) AS snr, count(*) AS frames FROM
+(SELECT passage, segment, 20 * log10(greatest(sqrt(list_sum(list_transform(list_slice(wave, pos, pos + 399), lambda v: v * v)) / 400), 1e-10)) AS db FROM ({_FRAMES})) GROUP BY ALL""")
+def frame_snr(spark, sf):
+    long = long_waves(spark, sf).where(F.size("wave") >= 1840).withColumn("key", F.col("passage") * 1000000 + F.col("segment"))
+    out = signal.measure(long, "key", "wave", "sr")
+    frames = F.floor((F.round(F.col("duration") * F.col("native_sr")) - 400) / 160) + 1
+    return out.select(F.floor(F.col("key") / 1000000).alias("passage"), (F.col("key") % 1000000).alias("segment"), F.round("snr", 5).alias("snr"), frames.alias("frames"))
 
 
 @query("segment_join")
 def segment_join(spark, sf):
-    out = signal.join_segments(waves(spark, sf), "passage", "vec_id", "wave", "sr")
-    return out.select("passage", F.size("samples").alias("n"))
+    out = signal.join_segments(long_waves(spark, sf, 50), "passage", "segment", "wave", "sr")
+    return out.select("passage", "segment", "start", F.size("samples").alias("n"), F.round(F.aggregate("samples", F.lit(0.0), lambda a, v: a + F.abs(v)), 6).alias("total"))
 
 
 _TABLE = """r AS (SELECT vec_id AS id, (10 + vec_id % 390)::INT AS length, embedding FROM embeddings), t AS (SELECT i::INT AS target FROM range(1, 511) x(i)), p AS (SELECT target, id, length, abs(length - target) AS d FROM r, t),
@@ -362,9 +519,10 @@ def smooth_table(spark, sf):
 
 
 @query("table_check", f"""WITH {_TABLE}, {_SMOOTH}, e AS (SELECT dim, max(value) FILTER (target = 1) AS a, max(value) FILTER (target = 510) AS b FROM s GROUP BY dim), q AS (SELECT sqrt(sum(a * a)) AS n0, sqrt(sum(b * b)) AS n1, sum(a * b) AS dot FROM e)
-SELECT round(n0, 5) AS first_norm, round(n1, 5) AS last_norm, round(n0 / greatest(n1, 1e-9), 5) AS decay, round(dot / greatest(n0 * n1, 1e-9), 5) AS cosine, CASE WHEN n0 / greatest(n1, 1e-9) BETWEEN 1.8 AND 8 AND dot / greatest(n0 * n1, 1e-9) BETWEEN 0.05 AND 0.9 THEN 'PASS' ELSE 'SUSPECT' END AS verdict FROM q""")
+SELECT round(n0, 5) AS first_norm, round(n1, 5) AS last_norm, round(n0 / greatest(n1, 1e-9), 5) AS decay, round(dot / greatest(n0 * n1, 1e-9), 5) AS cosine, array_to_string(list_filter([CASE WHEN NOT (n0 / greatest(n1, 1e-9) BETWEEN 1.8 AND 8) THEN 'norm decay is outside (1.8, 8.0)' END, CASE WHEN NOT (dot / greatest(n0 * n1, 1e-9) BETWEEN 0.05 AND 0.9) THEN 'cosine of the ends is outside (0.05, 0.9)' END], lambda x: x IS NOT NULL), '; ') AS warnings, CASE WHEN n0 / greatest(n1, 1e-9) BETWEEN 1.8 AND 8 AND dot / greatest(n0 * n1, 1e-9) BETWEEN 0.05 AND 0.9 THEN 'PASS' ELSE 'SUSPECT' END AS verdict FROM q""")
 def table_check(spark, sf):
-    return vectors.check_table(vectors.smooth_table(vectors.length_table(refs(spark, sf), 510)))
+    out = vectors.check_table(vectors.smooth_table(vectors.length_table(refs(spark, sf), 510)))
+    return out.withColumn("warnings", F.array_join("warnings", "; "))
 
 
 @query("truncation_flag", f"WITH c AS ({CLIPS_SQL}) SELECT idx, duration <= 0 OR length(raw_text) / duration > 16.0 AS truncated FROM c")

@@ -80,13 +80,25 @@ def block_sample(df: DataFrame, block: str, order: str, n: int, most_blocks: int
     return taken.orderBy("b", "rn").limit(n).drop("b", "step", "rn")
 
 
-def read_predictions(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
-    """Predictions as JSON lines or one JSON array; the first prediction column present counts."""
-    df = spark.read.option("multiLine", array).json(path)
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Predictions as JSON lines or one JSON array, told apart by the first character that is not
+    blank. Each row takes its own first prediction column that holds a value."""
+    first = spark.read.text(path).where(F.trim("value") != "").limit(1).first()
+    df = spark.read.option("multiLine", first is not None and first[0].lstrip().startswith("[")).json(path)
     names = [c for c in PREDICTIONS if c in df.columns]
     if not names:
         raise ValueError(f"none of {PREDICTIONS} among {df.columns}")
-    return df.withColumn("pred_text", F.col(names[0]))
+    return df.withColumn("pred_text", F.coalesce(*names))
+
+
+def write_reports(blocks: dict[str, DataFrame], path: str) -> None:
+    """The tables of a report, each as JSON lines in a folder of its name."""
+    for name, df in blocks.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def read_report(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.json(f"{path}/{name}")
 
 
 def write_manifest(df: DataFrame, path: str) -> None:

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lambi.operators import coverage, dedup, rules, scoring, signal, splits, vectors
+from lambi.operators import coverage, dedup, profile, rules, scoring, signal, splits, vectors
+from lambi.plans import catalog
 
 
 def test_rate_rule_catches_runaway_text(spark):
@@ -28,6 +29,7 @@ def corpus(spark, real, synthetic):
 @pytest.mark.parametrize("by_group", [True, False])
 def test_splits_keep_synthetic_rows_in_train(spark, by_group):
     out = splits.split_corpus(corpus(spark, 60, 40), "path", "speaker", "d", "syn", by_group=by_group)
+    assert {r["split_mode"] for r in out.select("split_mode").distinct().collect()} == {"group" if by_group else "hash"}
     assert out.count() == 100 and out.where("syn and split <> 'train'").count() == 0
     if by_group:
         assert out.where("not syn").groupBy("speaker").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
@@ -83,6 +85,7 @@ def test_length_table(spark):
     want = np.mean([got[max(1, min(510, 3 + k)), 2] for k in range(-7, 8)])
     assert math.isclose(next(r["value"] for r in smooth if (r["target"], r["dim"]) == (3, 2)), want)
     assert vectors.check_table(table.withColumn("value", F.lit(1.0))).first()["verdict"] == "SUSPECT"
+    assert vectors.check_table(table.withColumn("value", F.lit(float("nan")))).first()["warnings"][0] == "values are not finite"
 
 
 def wav(x, rate):
@@ -100,11 +103,159 @@ def test_signal_measures(spark):
     assert got[1]["native_sr"] == 24000 and got[1]["duration"] == 1.0
 
 
-def test_segments_join_with_gap_and_one_rate(spark):
-    tone = (0.3 * np.sin(np.arange(4000) / 5)).tolist()
-    df = spark.createDataFrame([(1, 0, tone, 16000), (1, 1, tone, 16000)], "p int, i int, x array<double>, sr int")
-    out = signal.join_segments(df, "p", "i", "x", "sr").first()["samples"]
-    assert len(out) == 8000 + 2400 and max(map(abs, out)) <= 0.99
+def plain_join(parts, sr):
+    """A passage as one array, segment by segment."""
+    kept = []
+    for x in parts:
+        x = np.asarray(x, dtype=float)
+        size = int(sr * 0.005)
+        level = [math.sqrt(np.mean(x[i : i + size] ** 2)) for i in range(0, len(x), size)]
+        loud = [i for i, v in enumerate(level) if v > max(0.05 * math.sqrt(np.mean(x**2)), 1e-4)]
+        kept.append(x[max(0, loud[0] * size - int(sr * 0.02)) : (loud[-1] + 1) * size + int(sr * 0.02)] if loud else x)
+    rms = [math.sqrt(np.mean(x**2)) for x in kept]
+    middle = np.median([v for v in rms if v >= 1e-5])
+    gains = [min(2, max(0.5, middle / v)) if v >= 1e-5 else 1 for v in rms]
+    kept = [x * (g if abs(g - 1) >= 0.02 else 1) for x, g in zip(kept, gains)]
+    top = max(np.abs(x).max() for x in kept)
+    fade = int(sr * 0.006)
+    out, starts = [], []
+    for i, x in enumerate(kept):
+        x = x * (0.99 / top if top > 0.99 else 1)
+        n = min(fade, len(x))
+        if i:
+            x[:n] *= np.linspace(0, 1, n)
+        if i < len(kept) - 1:
+            x[-n:] *= np.linspace(1, 0, n)
+        starts.append(sum(map(len, out)) + i * int(sr * 0.15))
+        out.append(x)
+    return out, starts
+
+
+def test_segments_of_a_passage(spark):
+    rng = np.random.default_rng(4)
+    level = [0.01, 0.4, 0.9, 0.2, 1e-7]
+    parts = [np.concatenate([np.zeros(900), v * rng.normal(size=int(n)), np.zeros(700)]) for v, n in zip(level, rng.integers(1000, 3000, 5))]
+    rows = [(7, i, x.tolist(), 16000) for i, x in enumerate(parts)] + [(8, 0, parts[1].tolist(), 16000), (8, 1, parts[1].tolist(), 8000)]
+    df = spark.createDataFrame(rows, "p int, i int, x array<double>, sr int").repartition(3)
+    got = {(r["p"], r["i"]): r for r in signal.join_segments(df, "p", "i", "x", "sr", block=2).collect()}
+    want, starts = plain_join(parts, 16000)
+    for i, (x, start) in enumerate(zip(want, starts)):
+        assert got[7, i]["start"] == start and np.allclose(got[7, i]["samples"], x, atol=1e-12)
+    assert got[8, 0]["samples"] is None and got[8, 1]["start"] is None
+
+
+def test_running_total_over_blocks(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(g), i, int(rng.integers(0, 9))) for g in (1, 2) for i in rng.choice(500, 60, replace=False).tolist()]
+    got = {(r["g"], r["i"]): r["t"] for r in signal.running_total(spark.createDataFrame(rows, "g int, i int, v int"), "g", "i", F.col("v"), "t", 7).collect()}
+    assert got == {(g, i): sum(v for h, j, v in rows if h == g and j < i) for g, i, _ in rows}
+
+
+def test_spectrum_of_band_limited_noise():
+    rng = np.random.default_rng(3)
+    noise = np.fft.rfft(rng.normal(size=24000))
+    noise[4000:] = 0
+    e8k, f999 = signal.spectrum(np.fft.irfft(noise), 24000)
+    assert e8k < 1e-6 and 3900 < f999 < 4100
+    assert signal.spectrum(np.zeros(5000), 24000) == (0.0, 0.0) and signal.spectrum(rng.normal(size=100), 24000) == (0.0, 0.0)
+    x = np.concatenate([np.zeros(4000), rng.normal(size=8000), np.zeros(4000)])
+    lo, hi = signal.trim_bounds(x, 16000)
+    assert 3600 <= lo <= 4000 and 12000 <= hi <= 12400 and signal.signal_noise(x, 16000) > 100 and signal.signal_noise(x[:500], 16000) == 0
+
+
+def plain_split(groups, val, test, seed=1804):
+    import hashlib
+
+    total = sum(groups.values())
+    have, out = {"test": 0.0, "val": 0.0}, {}
+    for g in sorted(groups, key=lambda g: hashlib.md5(f"{seed}|{g}".encode()).hexdigest()):
+        name = next((n for n, share in (("test", test), ("val", val)) if have[n] < share * total and have[n] + groups[g] <= 1.15 * share * total), "train")
+        have[name] = have.get(name, 0.0) + groups[g]
+        out[g] = name
+    return out
+
+
+@pytest.mark.parametrize(("n", "skew"), [(12, 1), (400, 1), (400, 3), (6000, 2), (1, 1)])
+def test_group_split_equals_one_after_the_other(spark, n, skew):
+    rng = np.random.default_rng(n + skew)
+    groups = {f"g{i}": float(int(1 + 100 * rng.random() ** skew * (50 if i % 97 == 0 else 1))) for i in range(n)}
+    df = spark.createDataFrame(list(groups.items()), "g string, d double")
+    got = {r["g"]: r["split"] for r in splits.group_split(df, "g", "d", 0.1, 0.05).collect()}
+    assert got == plain_split(groups, 0.1, 0.05)
+
+
+def test_voices_match_in_any_case_of_the_clip(spark):
+    clips = spark.createDataFrame([("LEO",), ("leo",), ("Leo",), ("job",), (None,), ("x",)], "speaker string")
+    voices = spark.createDataFrame([("a", "Leo", True, []), ("b", "job", True, [])], "name string, speaker_id string, stage2 boolean, stage2_sources array<string>")
+    got = sorted(((r["speaker"], r["voice"]) for r in profile.with_voice(clips, voices).collect()), key=str)
+    assert got == sorted([("LEO", "a"), ("leo", "a"), ("Leo", "a"), ("job", "b"), (None, None), ("x", None)], key=str)
+    order = profile.report_order(spark.createDataFrame([(None, "a"), ("v", "z"), ("w", "b")], "voice string, speaker string"), "voice", "speaker")
+    assert [r["speaker"] for r in order.collect()] == ["b", "z", "a"]
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_edit_distance():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = (rng.integers(0, 4, rng.integers(0, 90)).tolist() for _ in range(2))
+        assert scoring.edit_distance(a, b) == plain_distance(a, b)
+    many = list(range(40_000))
+    assert scoring.edit_distance(many, many[1:] + [-1]) == 2
+
+
+def test_error_rates_of_whole_documents(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["le", "Chèvre", "de", "e,", "x" * 5, "d'eau"], int(n))) for n in rng.integers(1, 120, 30)]
+    spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["model"], r["latency_ms"]): (r["wer"], r["cer"], r["clips"]) for r in catalog.document_error_rates(spark, str(tmp_path)).collect()}
+    form = lambda t: " ".join("".join(c for c in t.lower() if c not in ",'").split())
+    for model, k in (("baseline", 3), ("tuned", 7)):
+        pairs = []
+        for t in texts:
+            kept = [w for i, w in enumerate(t.split(), 1) if i % k]
+            heard = " ".join(w.replace("e", "a") if i % 5 == 0 else w for i, w in enumerate(kept, 1))
+            pairs.append((form(t), form(heard)))
+        wer = sum(plain_distance(r.split(), h.split()) for r, h in pairs) / sum(len(r.split()) for r, _ in pairs)
+        cer = sum(plain_distance(r, h) for r, h in pairs) / sum(len(r) for r, _ in pairs)
+        for latency in (80, 320):
+            w, c, n = got[model, latency]
+            assert n == 30 and abs(w - wer) < 1e-5 and abs(c - cer) < 1e-5
+
+
+def test_length_table_of_real_lengths(spark):
+    rng = np.random.default_rng(9)
+    data = [(i, float(np.round(rng.exponential(40), 2)), rng.normal(size=3).tolist()) for i in range(150)]
+    got = {(r["target"], r["dim"]): r["value"] for r in vectors.length_table(spark.createDataFrame(data, "id long, length double, vec array<double>"), 200).collect()}
+    for t in range(1, 201):
+        near = [v for _, n, v in data if abs(n - t) <= max(3, 0.2 * t)]
+        if len(near) < 5:
+            near = [v for _, _, v in sorted(data, key=lambda r: (abs(r[1] - t), r[0]))[:5]]
+        assert math.isclose(got[t, 1], np.mean([v[1] for v in near]), abs_tol=1e-9), t
+
+
+def test_token_pieces_and_phoneme_verdicts(spark):
+    df = spark.createDataFrame([("wi ñandu 漢",), ("wi",)], "text string").withColumn("tokens", catalog._tokens("text"))
+    assert [(r["piece"], r["n"]) for r in coverage.unknown_pieces(df, "text", "tokens", 0).collect()] == [("ñ", 1), ("漢", 1)]
+    report = coverage.token_report(df, "text", "tokens", 0).first()
+    assert (report["tokens"], report["unknown"], report["words"], report["verdict"]) == (5, 2, 4, "REVIEW")
+    said = coverage.phoneme_report(spark.createDataFrame([("ab #",)], "said string"), "said")
+    assert coverage.phoneme_verdict(said).first()["verdict"] == "FAIL"
+    assert [r["phoneme"] for r in coverage.unknown_phonemes(said).collect()] == ["#"]
+    assert [r["phoneme"] for r in coverage.rare_phonemes(said).collect()] == ["a", "b"]
+
+
+def test_stage_and_style_rules(spark):
+    df = spark.createDataFrame([("A", 0.5, 0.1), ("D", 0.2, 0.3), ("X", 0.1, 0.9)], "t string, a double, b double")
+    got = df.select(profile.first_stage(F.col("t"), ("A",)), profile.style_verdict(F.col("a"), F.col("b"))).collect()
+    assert [tuple(r) for r in got] == [(True, "MISMATCH"), (True, "OK"), (False, "MISMATCH")]
 
 
 def test_phoneme_report(spark):

@@ -29,18 +29,38 @@ def test_loose_files(spark, tmp_path):
     assert got == [("men", b"b"), ("wi", b"b")]
 
 
-def test_predictions_and_manifests(spark, tmp_path):
-    rows = [{"text": "a", "hypothesis": "b"}, {"text": "c", "hypothesis": "d"}]
-    (tmp_path / "l.json").write_text("\n".join(map(json.dumps, rows)))
-    (tmp_path / "a.json").write_text(json.dumps(rows))
-    for name, array in (("l.json", False), ("a.json", True)):
-        assert sorted(r["pred_text"] for r in src.read_predictions(spark, str(tmp_path / name), array).collect()) == ["b", "d"]
+def test_predictions_take_their_own_column(spark, tmp_path):
+    rows = [{"text": "a", "hypothesis": "b"}, {"text": "c", "pred": "d", "transcript": "x"}, {"text": "e", "pred_text": "f", "pred": "y"}, {"text": "g"}]
+    (tmp_path / "l.json").write_text("\n" + "\n".join(map(json.dumps, rows)))
+    (tmp_path / "a.json").write_text(" \n" + json.dumps(rows, indent=1))
+    for name in ("l.json", "a.json"):
+        assert {r["text"]: r["pred_text"] for r in src.read_predictions(spark, str(tmp_path / name)).collect()} == {"a": "b", "c": "d", "e": "f", "g": None}
+    (tmp_path / "n.json").write_text('{"text": "a"}')
+    with pytest.raises(ValueError):
+        src.read_predictions(spark, str(tmp_path / "n.json"))
+
+
+def test_manifests_and_reports(spark, tmp_path):
     df = spark.createDataFrame([("/a", "ɡa", 0, "train", "x")], "path string, phonemes string, speaker_index int, split string, _source string")
     src.write_manifest(df, str(tmp_path / "m"))
     back = spark.read.json(str(tmp_path / "m"))
     assert "_source" not in back.columns and back.first()["phonemes"] == "ɡa"
     src.write_pipe_manifest(df, str(tmp_path / "p"))
     assert spark.read.text(str(tmp_path / "p")).first()[0] == "/a|ɡa|0"
+    blocks = {"drops": df.groupBy("split").count(), "speakers": df.select("path", "speaker_index")}
+    for _ in range(2):
+        src.write_reports(blocks, str(tmp_path / "r"))
+    assert src.read_report(spark, str(tmp_path / "r"), "drops").first().asDict() == {"split": "train", "count": 1}
+    assert src.read_report(spark, str(tmp_path / "r"), "speakers").count() == 1
+
+
+def test_row_limit_counts_rows_of_the_table(spark, tmp_path):
+    spark.range(10).selectExpr("CAST(id AS STRING) AS text").write.parquet(str(tmp_path / "t"))
+    assert src.read_columnar(spark, str(tmp_path / "t"), limit=3, need_audio=False).count() == 3
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "b.wav").write_bytes(b"b")
+    (tmp_path / "meta.csv").write_text("file_name,text\na.wav,wi\nb.wav,non\n")
+    assert src.read_loose(spark, str(tmp_path / "w"), str(tmp_path / "meta.csv"), limit=1).count() == 0
 
 
 EVENTS = [("a", 1, "2024-01-01 00:00:00"), ("a", 2, "2024-01-01 00:30:00"), ("a", 3, "2024-01-01 00:59:59"), ("a", 4, "2024-01-01 01:00:00"), ("b", 5, "2024-01-01 00:10:00")]

@@ -19,12 +19,12 @@ DISCOUNT = 0.75
 GAIN_BITS, DIVERGENCE = 64.0, 0.1
 #: Most frequent words, contexts and entries that every task has at hand. The others are joined;
 #: the bounds change the speed only.
-HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 400_000, 200_000, 800_000
+HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 400_000, 200_000, 1_600_000
 #: Most bits of the filters that say which rows are worth a join (a power of two), and bits a key
 #: below that bound.
 FILTER_BITS, KEY_BITS = 1 << 27, 16
-#: Partial counts that meet in one group.
-BUCKET_TOKENS = 4_000_000
+#: Tokens whose counts meet in one group; contexts of more than SPREAD of them go to several groups.
+BUCKET_TOKENS, SPREAD = 4_000_000, 500_000
 END = np.int64(signed(mix(np.array([0x656E64], dtype=np.uint64)))[0])
 #: Keys of contexts and of entries are told apart from words by these.
 _CONTEXT, _ENTRY = np.int64(0x3C6EF372FE94F82B), np.int64(0x1F83D9ABFB41BD6B)
@@ -81,8 +81,8 @@ class _Filter:
     def __init__(self, keys: DataFrame, column: str = "k"):
         size = min(FILTER_BITS, 1 << max(13, (KEY_BITS * keys.count()).bit_length()))
         mask = self.mask = size - 1
-        at = F.explode(F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(column, 32).bitwiseAND(mask)))
-        words = keys.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))).alias("b"))
+        at = [keys.select(x.bitwiseAND(mask).alias("p")) for x in (F.col(column), F.shiftrightunsigned(column, 32))]
+        words = at[0].union(at[1]).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))).alias("b"))
         got = words.toArrow()
         bits = np.zeros(size // 64, dtype=np.int64)
         bits[got["w"].to_numpy()] = got["b"].to_numpy()
@@ -171,14 +171,15 @@ def _count_words(docs: DataFrame) -> DataFrame:
 
 def _count_entries(docs: DataFrame, level: int, sent, buckets: int, least_next: int) -> DataFrame:
     """Counts (c, s, n >= least_next) of contexts of `level` tokens with the run s of as many tokens
-    that ends one further on, where both filters sent let them pass.
+    that ends one further on, where both filters sent let them pass. The third thing sent says
+    over how many groups a frequent context is spread.
 
     A task adds up its own and packs them by bucket, so that a row is shuffled per task and bucket.
     """
     kind = np.dtype([("c", "<i8"), ("s", "<i8")])
 
     def run(batches):
-        contexts, nexts = sent.value
+        contexts, nexts, spread = sent.value
         held, size = [], 0
 
         def merged():
@@ -187,9 +188,10 @@ def _count_entries(docs: DataFrame, level: int, sent, buckets: int, least_next:
             return c, s, n
 
         def out(c, s, n):
-            e = _join_grams(c, s, level)
-            bucket = (mix(e.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
+            at = spread.find(c)
+            parts = np.where(at >= 0, spread.values[at], 1).astype(np.uint64)
+            bucket = (mix(c.view(np.uint64) + mix(s.view(np.uint64)) % parts) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort((bucket << 40) | (c.view(np.uint64) >> np.uint64(24)).view(np.int64))  # equal contexts side by side
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
             pairs = np.empty(len(order), dtype=kind)
             pairs["c"], pairs["s"], n = c[order], s[order], n[order]
@@ -230,6 +232,11 @@ def _count_entries(docs: DataFrame, level: int, sent, buckets: int, least_next:
     return packed.groupBy("bucket").applyInArrow(add, "c long, s long, n long")
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if it has HEAD_CONTEXTS rows at most."""
+    return F.broadcast(table) if table.count() <= HEAD_CONTEXTS else table
+
+
 def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_context: int, least_next: int, gain_bits: float, divergence: float) -> tuple[DataFrame, DataFrame] | None:
     """(contexts, entries) of the tree: c, total, spare share; gram, count, log10 of its probability
     over what the spare share gives. None without contexts."""
@@ -238,16 +245,18 @@ def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_
     buckets = max(32, total // BUCKET_TOKENS)
     kept_all, stored_all, level = [], [], 1
     while not contexts.isEmpty():
-        sent = train.sparkSession.sparkContext.broadcast((_Filter(contexts, "c"), _Filter(below, "s")))
+        wide = contexts.where(F.col("total") > SPREAD).orderBy(F.desc("total"), "c").limit(HEAD_CONTEXTS).toArrow()
+        spread = _Table(wide["c"].to_numpy(), np.ceil(wide["total"].to_numpy() / SPREAD))
+        sent = train.sparkSession.sparkContext.broadcast((_Filter(contexts, "c"), _Filter(below, "s"), spread))
         counted = _count_entries(train, level, sent, buckets, least_next)
-        entries = cut(counted.join(contexts, "c").join(below, "s").withColumn("share", (F.col("n") - DISCOUNT) / F.col("total")))
+        entries = cut(counted.join(_few(contexts), "c").join(below, "s").withColumn("share", (F.col("n") - DISCOUNT) / F.col("total")))
         sent.destroy()
         spare = entries.groupBy("c").agg((1 - F.sum("share")).alias("spare"), F.sum("n").alias("seen"))
-        entries = cut(entries.join(spare, "c").withColumn("p", F.col("share") + F.col("spare") * F.col("below")))
+        entries = cut(entries.join(_few(cut(spare)), "c").withColumn("p", F.col("share") + F.col("spare") * F.col("below")))
         gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("below"))) + (F.first("total") - F.first("seen")) * F.log2(F.first("spare"))
         tested = entries.groupBy("c").agg(gain.alias("gain"), F.first("total").alias("total"), F.first("spare").alias("spare"))
         kept = cut(tested.where((F.col("gain") >= gain_bits) & (F.col("gain") >= divergence * F.col("total"))).select("c", "total", "spare"))
-        stored = cut(entries.join(kept.select("c"), "c", "left_semi").select("c", "s", "n", "p", "below", _gram("c", "s", level).alias("gram"), (F.log10(F.col("p") / F.col("below")) - F.log10("spare")).alias("bonus")))
+        stored = cut(entries.join(_few(kept.select("c")), "c", "left_semi").select("c", "s", "n", "p", "below", _gram("c", "s", level).alias("gram"), (F.log10(F.col("p") / F.col("below")) - F.log10("spare")).alias("bonus")))
         kept_all.append(kept.select("c", "total", "spare"))
         stored_all.append(stored.select("gram", "n", "bonus"))
         contexts = cut(stored.where(F.col("n") >= least_context).join(kept.select(F.col("c").alias("s")), "s", "left_semi").select(F.col("gram").alias("c"), F.col("n").alias("total")))

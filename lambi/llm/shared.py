@@ -8,7 +8,11 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Most bits of the filters that say which rows are worth a join (a power of two), and bits a key
+#: below that bound.
+FILTER_BITS, KEY_BITS = 1 << 27, 16
 #: Bytes of text that a numpy step looks at together.
 SLICE = 2 << 20
 
@@ -24,9 +28,11 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see: under spark.checkpoint.dir, or a
-    temporary one where that is unset (local tests)."""
+    temporary one where that is unset and Spark runs in one process (tests)."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="lambi-")
     return f"{top.rstrip('/')}/lambi-{uuid.uuid4().hex}"
 
@@ -115,3 +121,25 @@ def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
+
+
+class KeyFilter:
+    """Which 64-bit keys a table may hold: two bits a key, of FILTER_BITS bits at most."""
+
+    def __init__(self, keys: DataFrame, column: str = "k"):
+        size = min(FILTER_BITS, 1 << max(13, (KEY_BITS * keys.count()).bit_length()))
+        mask = self.mask = size - 1
+        at = [keys.select(x.bitwiseAND(mask).alias("p")) for x in (F.col(column), F.shiftrightunsigned(column, 32))]
+        words = at[0].union(at[1]).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))).alias("b"))
+        got = words.toArrow()
+        bits = np.zeros(size // 64, dtype=np.int64)
+        bits[got["w"].to_numpy()] = got["b"].to_numpy()
+        self.bits = bits.view(np.uint8)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        mask, keys = np.uint64(self.mask), keys.view(np.uint64)
+        out = np.ones(len(keys), dtype=bool)
+        for p in (keys & mask, (keys >> np.uint64(32)) & mask):
+            p = p.view(np.int64)
+            out &= ((self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1).astype(bool)
+        return out

@@ -13,11 +13,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lambi.llm.shared import cut, mix, range_hashes, signed, text_slices
+from lambi.llm.shared import KeyFilter, cut, mix, range_hashes, signed, text_slices
 
 LENGTH = 100
 #: Bytes of an anchor; a stretch is the run of strings that share one occurrence of it.
@@ -159,13 +160,16 @@ def _batch(names, *columns):
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def _stretches(docs: DataFrame, length: int, gram: int, wanted=None) -> DataFrame:
+    """Stretches of all texts; with a broadcast filter, those whose anchors it lets pass."""
     names = ["anchor", "content", "doc", "start", "strings", "place"]
 
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column(1)):
                 anchor, content, row, start, strings, place = anchors(data, offsets, length, gram)
+                use = np.flatnonzero(wanted.value.has(signed(anchor))) if wanted is not None else slice(None)
+                anchor, content, row, start, strings, place = (x[use] for x in (anchor, content, row, start, strings, place))
                 yield _batch(names, signed(anchor), content, batch.column(0)[lo:hi].to_numpy()[row], start, strings.astype(np.int32), place.astype(np.int32))
 
     return docs.mapInArrow(run, "anchor long, content long, doc long, start long, strings int, place int")
@@ -224,8 +228,6 @@ def _sorted_repeats(stretches: DataFrame, length: int) -> DataFrame:
                 if size >= SORT_BYTES and key != last:
                     yield flush()
                     held, size = [], 0
-                if len(row[3]) != row[2] + length - 1:  # another text under the same id
-                    continue
                 held.append(row)
                 size += len(row[3]) + 1
                 last = key
@@ -243,9 +245,10 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     `docs` has doc (long, not null) and body (string, not null). Earlier means a smaller doc, or
     the same doc and a smaller start. Runs of one document may touch or overlap.
     """
-    stretches = _stretches(docs, length, gram)
-    again = cut(stretches.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
-    met = cut(stretches.join(again, "anchor"))
+    again = cut(_stretches(docs, length, gram).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    wanted = docs.sparkSession.sparkContext.broadcast(KeyFilter(again, "anchor"))
+    met = cut(_stretches(docs, length, gram, wanted).join(again, "anchor"))
+    wanted.destroy()
     kinds = cut(met.groupBy("anchor", "content").agg(F.min(F.struct("doc", "start", "strings", "place")).alias("lead"), F.count(F.lit(1)).alias("n")))
     several = kinds.where("n > 1").select("anchor", "content", F.col("lead.doc").alias("lead_doc"), F.col("lead.start").alias("lead_start"))
     copies = met.join(several, ["anchor", "content"]).where((F.col("doc") != F.col("lead_doc")) | (F.col("start") != F.col("lead_start")))
@@ -282,6 +285,34 @@ def _spans(starts: np.ndarray, strings: np.ndarray, length: int) -> tuple[np.nda
     return a[new], np.append(b[:-1][new[1:]], b[-1])
 
 
+def _in_order(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows with `doc`, a number in the order of ids (null `key` first), and whether rows share one.
+
+    Distinct ids are those numbers. Where rows share an id, the distinct pairs of id and text are
+    numbered, equal ids by a hash of their texts, so that equal rows share a number: by range
+    partitions, from the pairs before a partition and those before the pair in it.
+    """
+    if rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or key is null").isEmpty():
+        return rows.withColumn("doc", F.col("key")), False
+    held = F.coalesce("body", F.lit(""))
+    hashed = rows.withColumns({"_id": F.coalesce("key", F.lit(-(2**63))), "_null": F.col("key").isNotNull(), "_a": F.xxhash64(held), "_b": F.xxhash64(held, F.lit(1))})
+    own = ["_null", "_id", "_a", "_b"]
+    pairs = hashed.select(*own).distinct().repartitionByRange(*own).sortWithinPartitions(*own)
+
+    def number(batches):
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            size = batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(size, part, np.int32)), pa.array(np.arange(n, n + size))], names=[*own, "part", "seq"])
+            n += size
+
+    numbered = cut(pairs.mapInArrow(number, "_null boolean, _id long, _a long, _b long, part int, seq long"))
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    places = numbered.join(F.broadcast(before), "part").select(*own, (F.col("before") + F.col("seq")).alias("doc"))
+    return hashed.join(places, own).drop(*own), True
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every byte that a `length`-byte string covers which also starts earlier.
 
@@ -291,15 +322,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     (a character of which only some bytes remain is left out), null where the text was null; with
     `carry`, a struct `carried` of those columns of the same input row.
 
-    A null or empty text has no bytes. A null id counts as the smallest one in the order of
-    documents. Rows that share an id count as one place in that order: equal strings at the same
-    start of such rows are not earlier than each other, and spans found for any of them are
-    removed from each that is long enough. Further columns are not read. An empty table gives an
-    empty result.
+    A null or empty text has no bytes; a very long one is a row like others. Null ids come first in
+    the order of documents. Rows that share an id, null ids too, follow each other in an order that
+    their texts decide, each text judged as a document of its own; equal rows share a place, so that
+    none of them is earlier. Further columns are not read. An empty table gives an empty result.
     """
     carried = [F.struct(*carry).alias("carried")] if carry else []
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text_col).cast("string").alias("body"), *carried)
+    rows, shared = _in_order(docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("body"), *carried))
     full = rows.where(F.octet_length("body") >= length).select("doc", "body")
+    full = full.dropDuplicates(["doc"]) if shared else full
     runs = repeated_runs(full, length, gram).groupBy("doc").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
 
     def apply(batches):
@@ -324,11 +355,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
             kinds = [pa.int64()] * 3 + [pa.string()] * (1 + with_text)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds)), *batch.columns[3:]], names=[f.name for f in schema])
 
-    met = rows.join(runs, "doc", "left").select("doc", "body", "runs", *rows.columns[2:])
-    schema = StructType.fromDDL("doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+    met = rows.join(runs, "doc", "left").select("key", "body", "runs", *(["carried"] if carry else []))
+    schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
     schema = StructType(schema.fields + met.schema.fields[3:])
-    got = met.mapInArrow(apply, schema)
-    return got.select(F.when(F.col("doc") != -(2**63), F.col("doc")).alias("doc_id"), *got.columns[1:])
+    return met.mapInArrow(apply, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lambi.llm.shared import LOWER, cut, mix, range_hashes, signed, text_slices, word_spans
+from lambi.llm.shared import LOWER, KeyFilter, cut, mix, range_hashes, signed, text_slices, word_spans
 
 #: Occurrences of a context, and of a next symbol stored with it, in the training texts. Neither
 #: depends on the size of the corpus.
@@ -20,9 +20,6 @@ GAIN_BITS, DIVERGENCE = 64.0, 0.1
 #: Most frequent words, contexts and entries that every task has at hand. The others are joined;
 #: the bounds change the speed only.
 HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 400_000, 200_000, 1_600_000
-#: Most bits of the filters that say which rows are worth a join (a power of two), and bits a key
-#: below that bound.
-FILTER_BITS, KEY_BITS = 1 << 27, 16
 #: Tokens whose counts meet in one group; contexts of more than SPREAD of them go to several groups.
 BUCKET_TOKENS, SPREAD = 4_000_000, 500_000
 END = np.int64(signed(mix(np.array([0x656E64], dtype=np.uint64)))[0])
@@ -75,28 +72,6 @@ def _steps(tokens: np.ndarray, rows: np.ndarray):
         grams, level = longer, level + 1
 
 
-class _Filter:
-    """Which 64-bit keys a table may hold: two bits a key, of FILTER_BITS bits at most."""
-
-    def __init__(self, keys: DataFrame, column: str = "k"):
-        size = min(FILTER_BITS, 1 << max(13, (KEY_BITS * keys.count()).bit_length()))
-        mask = self.mask = size - 1
-        at = [keys.select(x.bitwiseAND(mask).alias("p")) for x in (F.col(column), F.shiftrightunsigned(column, 32))]
-        words = at[0].union(at[1]).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))).alias("b"))
-        got = words.toArrow()
-        bits = np.zeros(size // 64, dtype=np.int64)
-        bits[got["w"].to_numpy()] = got["b"].to_numpy()
-        self.bits = bits.view(np.uint8)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        mask, keys = np.uint64(self.mask), keys.view(np.uint64)
-        out = np.ones(len(keys), dtype=bool)
-        for p in (keys & mask, (keys >> np.uint64(32)) & mask):
-            p = p.view(np.int64)
-            out &= ((self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1).astype(bool)
-        return out
-
-
 class _Table:
     """A hash table of 64-bit keys and doubles."""
 
@@ -247,7 +222,7 @@ def _fit(train: DataFrame, unigrams: DataFrame, total: int, floor: float, least_
     while not contexts.isEmpty():
         wide = contexts.where(F.col("total") > SPREAD).orderBy(F.desc("total"), "c").limit(HEAD_CONTEXTS).toArrow()
         spread = _Table(wide["c"].to_numpy(), np.ceil(wide["total"].to_numpy() / SPREAD))
-        sent = train.sparkSession.sparkContext.broadcast((_Filter(contexts, "c"), _Filter(below, "s"), spread))
+        sent = train.sparkSession.sparkContext.broadcast((KeyFilter(contexts, "c"), KeyFilter(below, "s"), spread))
         counted = _count_entries(train, level, sent, buckets, least_next)
         entries = cut(counted.join(_few(contexts), "c").join(below, "s").withColumn("share", (F.col("n") - DISCOUNT) / F.col("total")))
         sent.destroy()
@@ -330,7 +305,7 @@ def score_documents(
         contexts = cut(tree[0].select(F.col("c").bitwiseXOR(F.lit(int(_CONTEXT))).alias("k"), "total", F.log10("spare").alias("v")))
         deal(contexts, "total", head_contexts)
         deal(tree[1].select(F.col("gram").bitwiseXOR(F.lit(int(_ENTRY))).alias("k"), "n", F.col("bonus").alias("v")), "n", head_entries)
-        filters, tail_filters = [_Filter(contexts)], [_Filter(x) for x in far[1:]]
+        filters, tail_filters = [KeyFilter(contexts)], [KeyFilter(x) for x in far[1:]]
     got = reduce(DataFrame.unionByName, near).toArrow()
     table = _Table(got["k"].to_numpy(), got["v"].to_numpy())
     del got

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lambi.llm import suffix_tree_lm as lm
+from lambi.llm.shared import KeyFilter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -109,7 +110,7 @@ def test_filter_and_table_hold_their_keys(spark):
     assert (table.values[table.find(ok)] == np.flatnonzero((keys != 1) & (keys != 0))).all()
     other = np.setdiff1d(rng.integers(-(2**63), 2**63, 5000), keys)
     assert (table.find(other) == -1).all()
-    f = lm._Filter(spark.createDataFrame([(int(k),) for k in keys], "k long"))
+    f = KeyFilter(spark.createDataFrame([(int(k),) for k in keys], "k long"))
     assert f.has(keys).all() and f.has(other).mean() < 0.01
     pair = spark.createDataFrame([(int(a), int(b)) for a, b in zip(keys[:50], keys[50:100])], "a long, b long")
     for level in (1, 2, 7):

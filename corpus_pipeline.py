@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+All stages take null ids and texts, empty and very long texts, repeated rows, empty tables and
+further columns of any name; all but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
@@ -14,39 +18,54 @@ from lambi.llm.shared import cut
 from lambi.llm.substrings import remove_repeats
 
 
-def _keep(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Rows of docs whose id the verdict keeps."""
-    kept = verdict.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the base rule or repetition coverage rejects."""
-    return _keep(docs, repetition_coverage(docs))
+    """Drop documents that the base rule or repetition coverage rejects.
+
+    Each row is judged by its own text, whatever its id; null and empty texts go (they have fewer
+    than 50 words). Repeated rows fare alike.
+    """
+    return repetition_coverage(docs, carry=tuple(docs.columns)).where("kept").select("carried.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies (five-word shingles, similarity 0.8)."""
-    return _keep(docs, near_duplicates(docs, k=5, percent=80))
+    """Keep one document of each group of near copies (five-word shingles, similarity 0.8).
+
+    The smallest id of a group stays. Of rows with the same id and text, null ids too, one stays;
+    rows of one id with different texts stay if the group of one of them is kept by that id. Rows
+    with a null id, and texts without words, are near copies of nothing.
+    """
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        docs = docs.dropDuplicates(["doc_id", "text"])
+    kept = near_duplicates(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    renamed = docs.select(*(F.col(c).alias(f"doc.{c}") for c in docs.columns))
+    left = renamed.join(kept, F.col("`doc.doc_id`").eqNullSafe(F.col("kept_id")), "left_semi")
+    return left.select(*(F.col(f"`doc.{c}`").alias(c) for c in docs.columns))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated 100-byte strings out of the texts; a document left without a word goes."""
-    left = remove_repeats(docs, with_text=True, carry=("doc_id", "lang", "source")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.select("carried.doc_id", "text", "carried.lang", "carried.source", F.length("text").cast("long").alias("n_chars"))
+    """Cut repeated 100-byte strings out of the texts; a document left without a word goes (so null
+    and empty texts go). `n_chars`, where there is one, follows the new text; other columns stay."""
+    carry = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
+    left = remove_repeats(docs, with_text=True, carry=carry).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long").alias("n_chars")}
+    return left.select(*(new[c] if c in new else F.col("carried").getField(c).alias(c) for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat every row as often as its calibrated weight has it drawn, so that the tokens meet the
-    targets in expectation; a row of no copies goes."""
+    targets in expectation; a row of no copies goes. Rows of one id share one draw; a null id is
+    never drawn once more; a text without words has weight 1."""
     drawn = mix_sources(docs, carry=tuple(docs.columns))
     each = drawn.select("carried", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     return each.select("carried.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack token ids of all documents into sequences of 2048."""
-    return pack_documents(docs, public_path("word_bpe_49k.json"))
+    """Pack the token ids of all documents into sequences of 2048: a row per piece, with its ids, its
+    sequence and its place there. A null or empty text is one end id; repeated rows and null ids are
+    documents of their own. Further columns end here."""
+    return pack_documents(docs, public_path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [("quality rules", quality_rules), ("near dedup", near_dedup), ("substring dedup", substring_dedup), ("mixing", mixing), ("packing", packing)]

@@ -18,7 +18,9 @@ PIECE = "doc_id {}, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode whole texts, append the end id and cut documents longer than `size` into pieces.
 
-    One row per piece; a null or empty text is one piece holding only the end id.
+    One row per piece; a null or empty text is one piece holding only the end id. Null ids and
+    repeated rows are documents like others, each with its own pieces; very long texts are encoded
+    whole. Further columns are not read. An empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("body"))
     schema = PIECE.format(source.schema["doc_id"].dataType.simpleString()) + ", ids array<int>" * with_ids
@@ -210,9 +212,9 @@ def pack(pieces: DataFrame, size: int, salts: int | None = None) -> DataFrame:
     return out.mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, with_ids: bool = False) -> DataFrame:
     """Encode, cut and pack whole documents (see `token_pieces` and `pack`)."""
-    return pack(token_pieces(docs, tokenizer, end_id, size), size)
+    return pack(token_pieces(docs, tokenizer, end_id, size, with_ids=with_ids), size)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ DISCOUNT = 0.75
 GAIN_BITS, DIVERGENCE = 64.0, 0.1
 #: Most frequent words, contexts and entries that every task has at hand. The others are joined;
 #: the bounds change the speed only.
-HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 400_000, 200_000, 1_600_000
+HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 300_000, 200_000, 800_000
 #: Tokens whose counts meet in one group; contexts of more than SPREAD of them go to several groups.
 BUCKET_TOKENS, SPREAD = 4_000_000, 500_000
 END = np.int64(signed(mix(np.array([0x656E64], dtype=np.uint64)))[0])
@@ -279,10 +279,11 @@ def score_documents(
     fixed size keep most rows without a partner out of the joins. 64-bit hashes stand for words and
     runs of words.
 
-    A null or empty text is its end token. A null id counts as an empty one for the fold. Identical
-    rows (id and text) are computed together and each returned. Very long texts are single rows of
-    a step. Other columns are not read. An empty table gives an empty result; without training
-    rows, N = V = 0 holds for the base.
+    A null or empty text is its end token. A null id counts as an empty one for the fold. Repeated
+    rows are each scored. Very long texts are single rows of a step. Other columns are not read. An
+    empty table gives an empty result; without training rows, N = V = 0 holds for the base. A row
+    is known by its place in its partition, so `docs` should come from files or a checkpoint, whose
+    partitions are the same when an executor is lost.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
@@ -313,8 +314,8 @@ def score_documents(
     del table
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"uid binary, doc_id {kind}, h long, n long, known long, base double, score double, word boolean"
-    types = [pa.binary(), None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
+    schema = f"uid long, doc_id {kind}, h long, n long, known long, base double, score double, word boolean"
+    types = [pa.int64(), None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
     names = ["uid", "doc_id", "h", "n", "known", "base", "score", "word"]
 
     def asked(keys, row):
@@ -359,7 +360,7 @@ def score_documents(
                     far = (bonus < 0) & tails[1].has(entry)
                     wanted.append((entry[far], row[places[use[far]]], False))
                 uid = batch.column(0).slice(lo, n_rows)
-                spread = signed(mix(np.frombuffer(b"".join(uid.to_pylist()), dtype="<u8").reshape(-1, 2)[:, 0]))
+                spread = signed(mix(uid.to_numpy().view(np.uint64) + np.uint64(1)))
                 yield pa.RecordBatch.from_arrays([uid, batch.column(1).slice(lo, n_rows), *(pa.array(x, t) for x, t in zip((spread, length, known, base, score), types[2:7])), pa.nulls(n_rows, pa.bool_())], names=names)
                 for is_word in (True, False):
                     keys, of = (np.concatenate([w[i] for w in wanted if w[2] == is_word] or [np.zeros(0, np.int64)]) for i in (0, 1))
@@ -369,7 +370,7 @@ def score_documents(
                         none = [pa.nulls(len(keys[part]), t or batch.column(1).type) for t in types]
                         yield pa.RecordBatch.from_arrays([uid.take(pa.array(of[part])), none[1], pa.array(keys[part]), pa.array(times[part]), none[4], none[5], none[6], pa.array(np.full(len(keys[part]), is_word))], names=names)
 
-    keyed = rows.select(F.unhex(F.substring(F.sha2(F.concat_ws("|", F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("")), "body"), 256), 1, 32)).alias("uid"), "doc_id", "body")
+    keyed = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "body")
     parts = keyed.mapInArrow(run, schema)
     values = reduce(DataFrame.unionByName, far)
     joined = parts.join(values.withColumnRenamed("k", "h"), "h", "left")
@@ -377,16 +378,14 @@ def score_documents(
     unseen = float(np.log10(0.5 / floor))
     word_sum = F.sum(F.when(F.col("word"), F.col("n") * F.coalesce("v", F.lit(unseen))))
     tree_sum = F.sum(F.when(~F.col("word"), F.col("n") * F.coalesce("v", F.lit(0.0))))
-    grouped = joined.groupBy("uid").agg(
-        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.count("known").alias("copies"),
-        F.sum(F.when(is_doc, F.col("n"))).alias("n_tokens"), F.sum(F.when(is_doc, F.col("known")).when(F.col("word") & F.col("v").isNotNull(), F.col("n"))).alias("n_known"),
+    out = joined.groupBy("uid").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum(F.when(is_doc, F.col("n"))).alias("n_tokens"),
+        F.sum(F.when(is_doc, F.col("known")).when(F.col("word") & F.col("v").isNotNull(), F.col("n"))).alias("n_known"),
         F.coalesce(word_sum, F.lit(0.0)).alias("rare"), F.coalesce(tree_sum, F.lit(0.0)).alias("far"), F.sum("base").alias("base"), F.sum("score").alias("score"),
     )
-    each = grouped.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    share = lambda c: (F.col(c) / F.col("copies"))
-    return each.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), share("n_tokens").cast("long").alias("n_tokens"), share("n_known").cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), ((F.col("base") + F.col("rare")) / F.col("copies")).alias("base_score"), ((F.col("score") + F.col("rare") + F.col("far")) / F.col("copies")).alias("score"),
+    return out.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") + F.col("rare")).alias("base_score"), (F.col("score") + F.col("rare") + F.col("far")).alias("score"),
     )
 
 

@@ -16,5 +16,5 @@ QUERIES = {
     "op9_license_scan": licenses.query,
     "op10_url_verdicts": urls.query,
 }
-ORACLES = {"op6_source_mixing": mixing.ORACLE, "op9_license_scan": licenses.ORACLE}
+ORACLES = {"op4_repetition": quality.ORACLE, "op6_source_mixing": mixing.ORACLE, "op9_license_scan": licenses.ORACLE}
 

@@ -217,7 +217,10 @@ def _cross_pairs(members: DataFrame, sketches: DataFrame, rows: DataFrame, k: in
     details = cut(sketches.select("doc_id", "registers").join(low, "doc_id"))
     held = members.select("band", "doc_id", "n", "component", spread.alias("tile")).join(details, "doc_id")
     tiles = cut(held.groupBy("band", "tile").agg(F.collect_list(F.struct("doc_id", "n", "component", "registers", "low")).alias("held")))
-    met = tiles.alias("x").join(tiles.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.tile") <= F.col("y.tile")))
+    # pairs of tiles are formed by name; each then gets its bodies by keys of its own
+    x, y = (tiles.select("band", F.col("tile").alias(f"tile_{s}"), F.col("held").alias(f"held_{s}")) for s in "xy")
+    met = cut(x.select("band", "tile_x").join(y.select("band", "tile_y"), "band").where("tile_x <= tile_y"))
+    met = met.join(x, ["band", "tile_x"]).join(y, ["band", "tile_y"])
     # five standard deviations of the estimate below the threshold
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / BUCKETS) ** 0.5
 
@@ -249,7 +252,7 @@ def _cross_pairs(members: DataFrame, sketches: DataFrame, rows: DataFrame, k: in
                     out += [(min(r["doc_id"], int(ids[j])), max(r["doc_id"], int(ids[j]))) for j in at if _may_link(mine, lows[j], r["n"], int(n[j]), percent)]
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
-    return met.select("x.band", (F.col("x.tile") == F.col("y.tile")).alias("same"), F.col("x.held"), F.col("y.held").alias("other")).mapInArrow(run, "a long, b long").distinct()
+    return met.select("band", (F.col("tile_x") == F.col("tile_y")).alias("same"), "held_x", "held_y").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

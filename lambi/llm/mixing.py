@@ -33,15 +33,22 @@ def _raw_share(name: str, target) -> Column:
     return F.pow(F.sum("tokens").over(Window.partitionBy(name)), F.lit(float(target)))
 
 
-def rake(cells: DataFrame, targets: dict, rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict, rounds: int = ROUNDS, together: int = BROADCAST_CELLS) -> DataFrame:
     """Fit weights of cells (dimensions, tokens) to the target share of every dimension's values.
 
-    Adds ``weight``: the factor on the cell's tokens. Each round scales the fitted tokens to one
-    marginal after the other. `cells` holds one row per combination of values; they are put into
-    one partition, so that the windows of all rounds need no further shuffle.
+    Adds ``weight``, the factor on the cell's tokens, and ``residual``, the largest relative distance
+    of a marginal from its target after the last round (the same for all cells). Each round scales
+    the fitted tokens to one marginal after the other. `cells` holds one row per combination of
+    values: up to `together` of them are fitted by windows in one partition, more by grouped sums
+    and joins, which gives the same weights.
     """
+    cells = cut(cells.where(F.col("tokens") > 0).withColumn("tokens", F.col("tokens").cast("double")).withColumn("fitted", F.col("tokens")))
+    return _rake_together(cells, targets, rounds) if cells.count() <= together else _rake_apart(cells, targets, rounds)
+
+
+def _rake_together(cells: DataFrame, targets: dict, rounds: int) -> DataFrame:
     every = Window.partitionBy()
-    df = cells.where(F.col("tokens") > 0).coalesce(1).withColumn("tokens", F.col("tokens").cast("double")).withColumn("fitted", F.col("tokens"))
+    df = cells.coalesce(1)
     for name, target in targets.items():
         df = df.withColumn("raw", _raw_share(name, target))
         mine = F.sum("tokens").over(Window.partitionBy(name))
@@ -50,7 +57,26 @@ def rake(cells: DataFrame, targets: dict, rounds: int = ROUNDS) -> DataFrame:
     for _ in range(rounds):
         for name in targets:
             df = df.withColumn("fitted", F.col("fitted") * F.col(f"target_{name}") / F.sum("fitted").over(Window.partitionBy(name)))
-    return df.select(*targets, (F.col("fitted") / F.col("tokens")).alias("weight"))
+    off = [F.abs(F.sum("fitted").over(Window.partitionBy(name)) / F.col(f"target_{name}") - 1) for name in targets]
+    df = df.withColumn("off", F.greatest(*off) if len(off) > 1 else off[0])
+    return df.select(*targets, (F.col("fitted") / F.col("tokens")).alias("weight"), F.max("off").over(every).alias("residual"))
+
+
+def _rake_apart(cells: DataFrame, targets: dict, rounds: int) -> DataFrame:
+    total = cells.agg(F.sum("tokens")).first()[0]
+    goals = {}
+    for name, target in targets.items():
+        sums = cells.groupBy(name).agg(F.sum("tokens").alias("sum"))
+        share = _raw_share(name, target) if isinstance(target, dict) else F.pow("sum", F.lit(float(target)))
+        shares = cut(sums.select(name, share.alias("raw")))
+        goals[name] = cut(shares.select(name, (F.col("raw") * F.lit(total / shares.agg(F.sum("raw")).first()[0])).alias("target")))
+    df = cells
+    for _ in range(rounds):
+        for name, goal in goals.items():
+            factor = df.groupBy(name).agg(F.sum("fitted").alias("sum")).join(goal, name).select(name, (F.col("target") / F.col("sum")).alias("factor"))
+            df = cut(df.join(factor, name).withColumn("fitted", F.col("fitted") * F.col("factor")).drop("factor"))
+    off = [df.groupBy(name).agg(F.sum("fitted").alias("sum")).join(goal, name).agg(F.max(F.abs(F.col("sum") / F.col("target") - 1))).first()[0] for name, goal in goals.items()]
+    return df.select(*targets, (F.col("fitted") / F.col("tokens")).alias("weight"), F.lit(max(off)).alias("residual"))
 
 
 def uniform(key: Column, seed: str) -> Column:
@@ -67,8 +93,12 @@ def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | No
     a hash of its id; ``copies`` is the outcome. In expectation the sampled tokens meet all
     marginals. ``kept`` says whether a sample without repeats holds the document (copies > 0).
 
+    ``residual`` is the largest relative distance of a marginal from its target that the rounds
+    left. `topic` is any column, such as a classifier's output; by default it is the kind of text.
+
     Null dimensions count as the empty value. Texts without words (null or empty) have no tokens to
-    weigh: weight 1. A null id draws 1 (never the extra copy). Rows with one id share one draw.
+    weigh: weight 1, residual null if no other row has their cell. A very long text counts whole. A
+    null id draws 1 (never the extra copy). Rows with one id, or repeated, share one draw.
     Only the id, text, source and lang columns are read, and those in `carry`, which come back as a
     struct `carried` of the same input row. An empty table gives an empty result.
     """
@@ -83,7 +113,7 @@ def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | No
     weight = F.coalesce("weight", F.lit(1.0))
     extra = weight - F.floor(weight)
     drawn = F.coalesce(uniform(F.col("doc_id"), seed), F.lit(1.0)) < extra
-    out = joined.select("doc_id", "source", "lang", "topic", "n_tokens", F.round(weight, 6).alias("weight"), F.round(extra, 6).alias("probability"), (F.floor(weight) + drawn.cast("int")).cast("long").alias("copies"), *(["carried"] if carry else []))
+    out = joined.select("doc_id", "source", "lang", "topic", "n_tokens", F.round(weight, 6).alias("weight"), F.round(extra, 6).alias("probability"), (F.floor(weight) + drawn.cast("int")).cast("long").alias("copies"), F.round("residual", 6).alias("residual"), *(["carried"] if carry else []))
     return out.withColumn("kept", F.col("copies") > 0)
 
 
@@ -113,10 +143,11 @@ def _sql() -> str:
             steps.append(f"f_{i}_{name} AS (SELECT * EXCLUDE fitted, fitted * target_{name} / sum(fitted) OVER (PARTITION BY {name}) AS fitted FROM {last})")
             last = f"f_{i}_{name}"
     return "WITH " + ",\n".join(steps) + f"""
-    , w AS (SELECT r.*, coalesce(fitted / tokens, 1.0::DOUBLE) AS w, coalesce(('0x' || substr(md5('{SEED}|' || doc_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE, 1.0::DOUBLE) AS u
-            FROM r LEFT JOIN {last} USING (source, lang, topic))
+    , y AS (SELECT *, greatest({', '.join(f"abs(sum(fitted) OVER (PARTITION BY {k}) / target_{k} - 1)" for k in TARGETS)}) AS off FROM {last}), z AS (SELECT *, max(off) OVER () AS residual FROM y),
+    w AS (SELECT r.*, residual, coalesce(fitted / tokens, 1.0::DOUBLE) AS w, coalesce(('0x' || substr(md5('{SEED}|' || doc_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE, 1.0::DOUBLE) AS u
+            FROM r LEFT JOIN z USING (source, lang, topic))
     SELECT doc_id, source, lang, topic, n_tokens, round(w, 6) AS weight, round(w - floor(w), 6) AS probability,
-           (floor(w) + (u < w - floor(w))::INT)::BIGINT AS copies, floor(w) + (u < w - floor(w))::INT > 0 AS kept FROM w"""
+           (floor(w) + (u < w - floor(w))::INT)::BIGINT AS copies, round(residual, 6) AS residual, floor(w) + (u < w - floor(w))::INT > 0 AS kept FROM w"""
 
 
 ORACLE = _sql()

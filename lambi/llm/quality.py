@@ -118,3 +118,27 @@ def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents."""
     return repetition_coverage(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _sql() -> str:
+    word = r"[^\x20\x09-\x0D]+"
+    lengths = sorted(NGRAM_LIMITS)
+    covered = ", ".join(f"sum(length(ws[pos])) FILTER (n = {k}) AS c{k}" for k in lengths)
+    columns = ", ".join(f"coalesce(c{k}, 0)::BIGINT AS dup_{k}gram_chars" for k in lengths)
+    fine = " AND ".join([f"dup_line_chars / greatest(word_chars, 1) <= {LINE_LIMIT}", *(f"dup_{k}gram_chars / greatest(word_chars, 1) <= {NGRAM_LIMITS[k]}" for k in lengths)])
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS ws FROM documents),
+    l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS k FROM d),
+    ll AS (SELECT rid, list_sum(list_transform(regexp_extract_all(line, '{word}'), lambda x: length(x))) AS chars, row_number() OVER (PARTITION BY rid, line ORDER BY k) AS nth FROM l WHERE regexp_matches(line, '{word}')),
+    dl AS (SELECT rid, count(*) AS n_dup_lines, sum(chars)::BIGINT AS dup_line_chars FROM ll WHERE nth > 1 GROUP BY rid),
+    g AS (SELECT rid, n, i, md5(array_to_string(list_slice(ws, i, i + n - 1), chr(1))) AS gram FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (VALUES (3), {", ".join(f"({k})" for k in lengths)}) v(n) WHERE len(ws) >= n)),
+    r AS (SELECT rid, n, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, n, gram) > 1),
+    c AS (SELECT DISTINCT rid, n, unnest(range(i, i + n)) AS pos FROM r),
+    v AS (SELECT rid, count(*) FILTER (n = 3) AS n_repeat_words, {covered} FROM c JOIN d USING (rid) GROUP BY rid),
+    m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_chars, 0) AS dup_line_chars, {columns} FROM d LEFT JOIN dl USING (rid) LEFT JOIN v USING (rid)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+    SELECT *, NOT base_failed AND {fine} AS kept FROM b"""
+
+
+ORACLE = _sql()

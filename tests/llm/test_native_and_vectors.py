@@ -39,6 +39,14 @@ def test_raking_meets_marginals(spark):
     assert abs(fitted.where("lang = 'en'").agg(F.sum("m")).first()[0] / total - 0.7) < 1e-6
 
 
+def test_raking_apart_equals_raking_together(spark):
+    rng = random.Random(2)
+    cells = spark.createDataFrame([(f"s{i}", g, t, float(rng.randint(1, 900))) for i in range(30) for g in ("en", "de", "xx") for t in ("a", "b") if rng.random() < 0.8], "source string, lang string, topic string, tokens double")
+    one, two = ({(r["source"], r["lang"], r["topic"]): (r["weight"], r["residual"]) for r in mixing.rake(cells, mixing.TARGETS, 5, together=n).collect()} for n in (1000, 10))
+    assert one.keys() == two.keys() and all(np.allclose(one[k], two[k], rtol=1e-9, atol=1e-12) for k in one)
+    assert 0 < next(iter(one.values()))[1] < 0.1
+
+
 URLS = [
     (1, "http://blog.A.Example.com/en/7?x", "blog.a.example.com", "/en/7", "example.com/en/7", "allow"), (2, "https://x.com/en/9", "x.com", "/en/9", "com/en/", "block"), (3, "http://notcom/en/", "notcom", "/en/", None, None),
     (4, None, "", "", None, None), (5, "no scheme/en/", "", "", None, None), (6, "http://a.net/de/", "a.net", "/de/", "net/de/", "block"), (7, "http://a.example.net/de/81#t", "a.example.net", "/de/81", "example.net/de/8", "allow"),

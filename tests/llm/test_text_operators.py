@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lambi.llm import idstore, packing, suffix_tree_lm
+from lambi.llm import idstore, minhash, packing, suffix_tree_lm
 from lambi.llm.encoding import encoder, public_path
 from lambi.llm.minhash import near_duplicates
 from lambi.llm.quality import repetition_coverage
@@ -55,8 +55,10 @@ def test_quality_counts(spark):
     assert repetition_coverage(frame(spark, rows).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("k", [2, 5])
-def test_near_duplicates_equal_brute_force(spark, k):
+@pytest.mark.parametrize(("k", "tile"), [(2, minhash.TILE), (5, minhash.TILE), (2, 3), (5, 2)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, k, tile):
+    """Also with bands of many tiles."""
+    monkeypatch.setattr(minhash, "TILE", tile)
     rows = [r for r in corpus(k) + ODD if r[0] is not None]
     sets = {}
     for i, t in rows:

@@ -114,14 +114,17 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str | None = None, end_id:
     ends each document. One range shuffle of the texts orders the documents; a shard never holds
     more than about SHARD_BYTES of ids, unless one document alone is longer.
 
-    A null text is empty (only the end id), a null id sorts first under NULL_KEY, repeated ids are
-    kept as adjacent documents, further columns are not read, an empty table gives an empty store.
+    A null text is empty (only the end id); a very long one is encoded whole. A null id sorts first
+    under NULL_KEY; repeated ids are kept as adjacent documents, in an order that a hash of their
+    texts decides, so that many of them spread over several tasks. Further columns are not read, an
+    empty table gives an empty store.
     """
     spark = docs.sparkSession
     path = path or shared_dir(spark)
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY)).alias("key"), F.col(text_col).cast("string").alias("body"))
-    ordered = source.repartitionByRange(n, "key").sortWithinPartitions("key", "body")
+    tied = source.withColumn("tie", F.xxhash64("body"))
+    ordered = tied.repartitionByRange(n, "key", "tie").sortWithinPartitions("key", "tie").drop("tie")
 
     def run(batches):
         enc = encoder(tokenizer)
@@ -193,23 +196,36 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
-    """Ids of a few documents by key; shards that can't hold one are skipped by their bounds."""
+    """Ids of documents by key (a list that fits a task), a row for each document with one.
+
+    Shards that can't hold a key are skipped by their bounds. The indexes of the others give byte
+    ranges, and only those ranges of the payloads are read on.
+    """
     wanted = np.array(sorted(set(keys)), dtype=np.int64)
     shards = spark.read.schema(SCHEMA).parquet(path)
-    near = F.lit(False)
-    for k in wanted.tolist():
-        near |= (F.col("first_key") <= k) & (F.col("last_key") >= k)
+    near = shards.where(F.exists(F.array(*map(F.lit, wanted.tolist())).cast("array<long>"), lambda k: k.between(F.col("first_key"), F.col("last_key"))))
 
-    def run(batches):
+    def places(batches):
         for batch in batches:
-            for width, raw, payload in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            rows = []
+            for part, shard, width, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 index = read_index(raw)
-                first = find(index, wanted)
-                rows = [(k, r) for k, f in zip(wanted.tolist(), first) if f >= 0 and index["keys"][f] == k for r in range(f, int(np.searchsorted(index["keys"], k, "right")))]
-                ids = np.frombuffer(payload, f"<u{width}")
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([ids[index["bounds"][r] : index["bounds"][r + 1]].astype(np.int32).tolist() for _, r in rows], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                for key, first in zip(wanted.tolist(), find(index, wanted).tolist()):
+                    if first >= 0 and index["keys"][first] == key:
+                        for r in range(first, int(np.searchsorted(index["keys"], key, "right"))):
+                            a, b = (int(x) * width for x in index["bounds"][r : r + 2])
+                            rows.append((part, shard, key, width, a, b - a))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, kinds)], names=["part", "shard", "doc_id", "width", "first", "size"])
+
+    def decode(batches):
+        for batch in batches:
+            ids = [np.frombuffer(raw, f"<u{width}").astype(np.int32) for width, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return shards.where(near).select("width", "index", "payload").mapInArrow(run, "doc_id long, ids array<int>")
+    spots = near.select("part", "shard", "width", "index").mapInArrow(places, "part int, shard int, doc_id long, width int, first long, size long")
+    pieces = spots.join(near.select("part", "shard", "payload"), ["part", "shard"])
+    return pieces.selectExpr("doc_id", "width", "substring(payload, CAST(first AS INT) + 1, CAST(size AS INT)) AS bytes").mapInArrow(decode, "doc_id long, ids array<int>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

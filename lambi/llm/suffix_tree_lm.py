@@ -21,7 +21,7 @@ GAIN_BITS, DIVERGENCE = 64.0, 0.1
 #: the bounds change the speed only.
 HEAD_WORDS, HEAD_CONTEXTS, HEAD_ENTRIES = 300_000, 200_000, 800_000
 #: Tokens whose counts meet in one group; contexts of more than SPREAD of them go to several groups.
-BUCKET_TOKENS, SPREAD = 4_000_000, 500_000
+BUCKET_TOKENS, SPREAD = 1_000_000, 250_000
 END = np.int64(signed(mix(np.array([0x656E64], dtype=np.uint64)))[0])
 #: Keys of contexts and of entries are told apart from words by these.
 _CONTEXT, _ENTRY = np.int64(0x3C6EF372FE94F82B), np.int64(0x1F83D9ABFB41BD6B)

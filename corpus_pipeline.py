@@ -14,7 +14,7 @@ from lambi.llm.minhash import near_duplicates
 from lambi.llm.mixing import mix_sources
 from lambi.llm.packing import pack_documents
 from lambi.llm.quality import repetition_coverage
-from lambi.llm.shared import cut
+from lambi.llm.shared import remove, scratch, shared_dir
 from lambi.llm.substrings import remove_repeats
 
 
@@ -74,8 +74,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written and read again before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`, each written and read again before the next.
+
+    What a stage cuts is deleted when its result is written, and that when the next one's is; the
+    last result stays in the shared folder.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
+        path = shared_dir(spark)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if last is not None:
+            remove(spark, last)
+        last = path
     return docs

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ _RANDOM = np.random.default_rng(20240607)
 _TABLE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
+_SCRATCH: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,7 +36,26 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="lambi-")
-    return f"{top.rstrip('/')}/lambi-{uuid.uuid4().hex}"
+    return f"{(_SCRATCH or [top.rstrip('/')])[-1]}/lambi-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is cut inside goes to one folder, which is deleted at the end. Nothing that is read
+    later may depend on it."""
+    folder = shared_dir(spark)
+    _SCRATCH.append(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(folder)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of any store that Spark writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ BLOCK_AT = 0.5
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host and path; both empty without ``://``. Only A-Z are lower-cased."""
     at = F.instr(url, "://")
-    rest = F.when(at > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("url")))
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url)))
     host = F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
     low = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -48,10 +48,15 @@ def _fits(host: Column, path: Column, rule: tuple[str, str, str]) -> Column:
     return ((host == h) | host.endswith(f".{h}")) & path.startswith(p)
 
 
+def _runs(text: Column, n: int) -> Column:
+    """All runs of n characters of a text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+    return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
 def _grams(text: Column) -> Column:
     """Character n-grams of a text that begins and ends with a mark."""
-    parts = [F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i, n=n: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in GRAMS]
-    return F.concat(*parts)
+    return F.concat(*(_runs(text, n) for n in GRAMS))
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -74,8 +79,8 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str
     The longest fitting rule (as written, host and path; then the larger text) decides; without
     one, the model blocks at a probability of 0.5 or more. Rules and model are small constants of
     the plan. A null url, or one without ``://``, has an empty host and path and is judged by the
-    model like any other. Repeated rows are judged row by row, other columns are not read, an
-    empty table gives an empty result.
+    model like any other; a very long one is judged whole. Null ids and repeated rows are judged
+    row by row, other columns are not read, an empty table gives an empty result.
     """
     model = train_urls(labelled)
     host, path = split_url(F.col("url"))

@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from lambi.llm import licenses, mixing, urls, vectors
@@ -68,6 +69,23 @@ def test_url_verdicts(spark):
     assert right >= 22
 
 
+def test_url_scores_equal_a_plain_model(spark):
+    labelled = spark.createDataFrame(urls.LABELLED, "url string, label int")
+    model = urls.train_urls(labelled)
+    hashing = HashingTF(numFeatures=urls.FEATURES)
+    rows = [(i, u, None) for i, (u, *_) in enumerate(urls.LABELLED)] + [(100, "https://CASINO.win/slots?x", "y"), (101, "http://é.org/ü" * 300, "z"), (102, None, "z"), (103, "", "z")]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string").withColumnRenamed("url", "address")
+    got = {r["page_id"]: r for r in urls.judge_urls(df, labelled, rules=[], url_col="address").collect()}
+    for i, u, _ in rows:
+        rest = (u or "").partition("://")[2]
+        end = min([k for k in map(rest.find, "/?#") if k >= 0], default=len(rest))
+        host, path = rest[:end], rest[end:].split("?")[0].split("#")[0]
+        framed = [f"^{host.lower()}^", f"${path.lower()}$"]
+        at = {hashing.indexOf(t[k : k + n]) for t in framed for n in urls.GRAMS for k in range(len(t) - n + 1)}
+        score = 1 / (1 + np.exp(-(model.intercept + sum(model.coefficients[int(k)] for k in at))))
+        assert abs(got[i]["score"] - score) < 2e-6 and got[i]["verdict"] == ("block" if score >= 0.5 else "allow"), u
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(5)
     rows, n = [], 0

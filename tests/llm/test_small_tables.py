@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lambi.llm import idstore, licenses, minhash, mixing, packing, quality, substrings, suffix_tree_lm, urls, vectors
+from lambi.llm import idstore, licenses, minhash, mixing, packing, quality, shared, substrings, suffix_tree_lm, urls, vectors
 from lambi.llm.encoding import public_path
+from lambi.llm.shared import cut, scratch
 
 TABLES = {
     "one": [(1, "one")],
@@ -61,3 +62,15 @@ def test_stages_on_repeated_rows(spark):
         assert out.columns == docs.columns and out.count() <= kept.get(name, 3), name
     left = corpus_pipeline.substring_dedup(spark, docs, "").collect()
     assert sorted((r["doc_id"], r["text"].strip() == "more", r["lang"]) for r in left) == [(3, False, "en"), (3, False, "en"), (4, True, "en")]
+
+
+def test_scratch_folders_are_deleted(spark, tmp_path, monkeypatch):
+    import os
+
+    documents(spark, [(1, "".join(f"w{i} " for i in range(90)))]).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    monkeypatch.setattr(shared, "_SCRATCH", [str(tmp_path / "shared")])
+    with scratch(spark):
+        assert cut(spark.range(3)).count() == 3 and len(os.listdir(tmp_path / "shared")) == 1
+    assert not os.listdir(tmp_path / "shared")
+    assert corpus_pipeline.run(spark, str(tmp_path / "sf")).count() == 1
+    assert len(os.listdir(tmp_path / "shared")) == 1

@@ -54,7 +54,9 @@ def _spoken(run: Column) -> Column:
     plain = F.regexp_replace(run, r"[,\s]", "")
     whole, frac = F.regexp_extract(plain, r"^([0-9]*)", 1), F.regexp_extract(plain, r"\.(.*)$", 1)
     value = F.when(F.length(whole) <= 6, number_words(F.when(whole == "", "0").otherwise(whole).try_cast("bigint"))).otherwise(_digits(whole))
-    return F.when(plain.contains("."), F.concat_ws(" ", F.when(whole != "", value), F.lit("vigil"), F.when(_digits(frac) != "", _digits(frac)))).otherwise(F.when(F.length(whole) > 6, F.coalesce(number_words(whole.try_cast("bigint")), _digits(whole))).otherwise(value))
+    decimal = F.concat_ws(" ", F.when(whole != "", value), F.lit("vigil"), F.when(_digits(frac) != "", _digits(frac)))
+    long = F.coalesce(number_words(whole.try_cast("bigint")), _digits(whole))
+    return F.when(plain.contains("."), decimal).when(F.length(whole) > 6, long).otherwise(value)
 
 
 def expand_numbers(text: Column) -> Column:

@@ -31,7 +31,10 @@ def profile(df: DataFrame, *keys: str) -> DataFrame:
 
 def synthesis_stats(df: DataFrame) -> DataFrame:
     """Clips, hours, median energy, most common rate and tier (of the median rate) of each source."""
-    out = df.groupBy("source").agg(F.count(F.lit(1)).alias("clips"), F.round(F.sum("duration") / 3600, 6).alias("hours"), F.median("e8k").alias("median_e8k"), _most_common("native_sr").alias("native_sr"), F.median("native_sr").alias("median_sr"))
+    out = df.groupBy("source").agg(
+        F.count(F.lit(1)).alias("clips"), F.round(F.sum("duration") / 3600, 6).alias("hours"), F.median("e8k").alias("median_e8k"),
+        _most_common("native_sr").alias("native_sr"), F.median("native_sr").alias("median_sr"),
+    )
     return out.withColumn("tier", tier(F.col("median_sr"), F.col("median_e8k"))).drop("median_sr")
 
 

@@ -32,7 +32,8 @@ def read_columnar(spark: SparkSession, path: str, text: str | None = None, audio
     """(file, idx, audio, raw_text, speaker) of a Parquet source; only those columns are read."""
     df = spark.read.parquet(path)
     t, a, s = pick_column(df.columns, TEXT, text), pick_column(df.columns, AUDIO, audio, need_audio), pick_column(df.columns, SPEAKER, speaker, False)
-    out = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("idx"), *([F.col(a).alias("audio")] if a else []), F.col(t).alias("raw_text"), (F.col(s).cast("string") if s else F.lit(None).cast("string")).alias("speaker"))
+    who = (F.col(s) if s else F.lit(None)).cast("string").alias("speaker")
+    out = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("idx"), *([F.col(a).alias("audio")] if a else []), F.col(t).alias("raw_text"), who)
     return out if limit is None else out.limit(limit)
 
 

@@ -135,7 +135,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str | None = None, end_id:
         def flush():
             lengths = np.array([len(x) // enc.width for x in blobs], dtype=np.int64)
             row = [part, shard, keys[0], keys[-1], len(keys), int(lengths.sum()), enc.width, _pack_index(np.array(keys, dtype=np.int64), lengths), b"".join(blobs)]
-            return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=[x.split()[0] for x in SCHEMA.split(", ")])
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):

@@ -105,7 +105,8 @@ def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | No
     targets = TARGETS if targets is None else targets
     kind = topic_of(F.col(text_col)) if topic is None else topic
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce(kind, F.lit("")).alias("topic"), words.alias("n_tokens"), *([F.struct(*carry).alias("carried")] if carry else []))
+    dimensions = [F.coalesce(c, F.lit("")).alias(name) for name, c in (("source", F.col("source")), ("lang", F.col("lang")), ("topic", kind))]
+    rows = docs.select(F.col(id_col).alias("doc_id"), *dimensions, words.alias("n_tokens"), *([F.struct(*carry).alias("carried")] if carry else []))
     rows = cut(rows)
     cells = cut(rake(rows.groupBy(*targets).agg(F.sum("n_tokens").alias("tokens")), targets, rounds))
     small = cells.count() <= BROADCAST_CELLS
@@ -113,7 +114,11 @@ def mix_sources(docs: DataFrame, targets: dict | None = None, topic: Column | No
     weight = F.coalesce("weight", F.lit(1.0))
     extra = weight - F.floor(weight)
     drawn = F.coalesce(uniform(F.col("doc_id"), seed), F.lit(1.0)) < extra
-    out = joined.select("doc_id", "source", "lang", "topic", "n_tokens", F.round(weight, 6).alias("weight"), F.round(extra, 6).alias("probability"), (F.floor(weight) + drawn.cast("int")).cast("long").alias("copies"), F.round("residual", 6).alias("residual"), *(["carried"] if carry else []))
+    copies = (F.floor(weight) + drawn.cast("int")).cast("long")
+    out = joined.select(
+        "doc_id", "source", "lang", "topic", "n_tokens", F.round(weight, 6).alias("weight"), F.round(extra, 6).alias("probability"), copies.alias("copies"), F.round("residual", 6).alias("residual"),
+        *(["carried"] if carry else []),
+    )
     return out.withColumn("kept", F.col("copies") > 0)
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lambi.llm.encoding import encoder, public_path
 from lambi.llm.shared import cut
@@ -20,10 +21,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col
 
     One row per piece; a null or empty text is one piece holding only the end id. Null ids and
     repeated rows are documents like others, each with its own pieces; very long texts are encoded
-    whole. Further columns are not read. An empty table gives an empty result.
+    whole. Further columns are not read. An empty table gives an empty result. With `with_ids`, the
+    ids as bytes of the tokenizer's width.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("body"))
-    schema = PIECE.format(source.schema["doc_id"].dataType.simpleString()) + ", ids array<int>" * with_ids
+    schema = PIECE.format(source.schema["doc_id"].dataType.simpleString()) + ", ids binary" * with_ids
 
     def run(batches):
         enc = encoder(tokenizer)
@@ -41,11 +43,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col
                         length.append(len(part))
                         crc.append(zlib.crc32(part))
                         if with_ids:
-                            ids.append(part.astype(np.int32))
+                            ids.append(part.astype(enc.kind).tobytes())
                 arrays = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    arrays.append(pa.array(ids, pa.list_(pa.int32())))
+                    arrays.append(pa.array(ids, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -213,8 +215,22 @@ def pack(pieces: DataFrame, size: int, salts: int | None = None) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, with_ids: bool = False) -> DataFrame:
-    """Encode, cut and pack whole documents (see `token_pieces` and `pack`)."""
-    return pack(token_pieces(docs, tokenizer, end_id, size, with_ids=with_ids), size)
+    """Encode, cut and pack whole documents (see `token_pieces` and `pack`); with `with_ids`, a column
+    of the ids, which are shuffled as bytes of the tokenizer's width."""
+    packed = pack(token_pieces(docs, tokenizer, end_id, size, with_ids=with_ids), size)
+    if not with_ids:
+        return packed
+    names = packed.columns
+    at = names.index("ids")
+    schema = StructType([StructField("ids", ArrayType(IntegerType())) if f.name == "ids" else f for f in packed.schema])
+
+    def decode(batches):
+        kind = encoder(tokenizer).kind
+        for batch in batches:
+            ids = pa.array([np.frombuffer(x, kind).astype(np.int32) for x in batch.column(at).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([ids if i == at else c for i, c in enumerate(batch.columns)], names=names)
+
+    return packed.mapInArrow(decode, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,7 +79,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray, lengths: list[int]) -> dict[
     return out
 
 
-def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram_limits: dict[int, float] | None = None, line_limit: float = LINE_LIMIT, min_words: int = 50, carry: tuple[str, ...] = ()) -> DataFrame:
+def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram_limits: dict[int, float] | None = None, line_limit: float = LINE_LIMIT, min_words: int = 50, with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Measure each row's text and judge it; one result row per input row, no shuffle.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. Counts are those of the base rule; ``dup_<n>gram_chars``
@@ -92,19 +92,19 @@ def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A null or empty text has no words and fails the base rule. Null ids and repeated rows pass
     through row by row; a very long text is one numpy step. Only the id and text columns are read,
     so further columns can't clash, and those in `carry`, which come back as a struct `carried` of
-    the same input row. An empty table gives an empty result.
+    the same input row; `with_text` gives the text back as well. An empty table gives an empty result.
     """
     limits = NGRAM_LIMITS if ngram_limits is None else ngram_limits
     lengths = sorted(limits)
     names = [*COUNTS, "dup_line_chars", *(f"dup_{k}gram_chars" for k in lengths)]
     source = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("body"), *([F.struct(*carry).alias("carried")] if carry else []))
-    schema = StructType([source.schema["key"], *StructType.fromDDL(", ".join(f"{x} long" for x in names)).fields, *source.schema.fields[2:]])
+    schema = StructType([source.schema["key"], *StructType.fromDDL(", ".join(f"{x} long" for x in names) + ", text string" * with_text).fields, *source.schema.fields[2:]])
 
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column(1)):
                 got = _measure(data, offsets, lengths)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], *(pa.array(got[x].astype(np.int64)) for x in names), *(c[lo:hi] for c in batch.columns[2:])], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], *(pa.array(got[x].astype(np.int64)) for x in names), *(c.slice(lo, hi - lo) for c in batch.columns[1 if with_text else 2 :])], names=schema.names)
 
     out = source.mapInArrow(run, schema)
     share = lambda c: F.col(c) / F.greatest(F.col("word_chars"), F.lit(1))

@@ -24,7 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Each row is judged by its own text, whatever its id; null and empty texts go (they have fewer
     than 50 words). Repeated rows fare alike.
     """
-    return repetition_coverage(docs, carry=tuple(docs.columns)).where("kept").select("carried.*")
+    carry = tuple(c for c in docs.columns if c != "text")
+    kept = repetition_coverage(docs, with_text=True, carry=carry).where("kept")
+    return kept.select(*(F.col("text") if c == "text" else F.col("carried").getField(c).alias(c) for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

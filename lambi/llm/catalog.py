@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lambi.llm import idstore, licenses, minhash, mixing, packing, quality, substrings, suffix_tree_lm, urls, vectors
+from lambi.llm import idstore, licenses, minhash, mixing, packing, quality, spelling, substrings, suffix_tree_lm, urls, vectors
 
 QUERIES = {
     "op1_near_vectors": vectors.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packed_sequences": packing.query,
     "op9_license_scan": licenses.query,
     "op10_url_verdicts": urls.query,
+    "op11_spelling_variants": spelling.query,
 }
-ORACLES = {"op4_repetition": quality.ORACLE, "op6_source_mixing": mixing.ORACLE, "op9_license_scan": licenses.ORACLE}
+ORACLES = {"op4_repetition": quality.ORACLE, "op6_source_mixing": mixing.ORACLE, "op9_license_scan": licenses.ORACLE, "op11_spelling_variants": spelling.ORACLE}
 

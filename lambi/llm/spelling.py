@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lambi.llm.shared import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words up to this length are verified by Spark's own distance.
+SHORT = 64
 LETTER = r"[A-Za-zÀ-ÿ]"
 
 
@@ -46,6 +48,16 @@ def _keys(word: str, length: Column, shift: int) -> list[Column]:
     return [F.struct(F.lit(k).alias("kind"), F.lit(shift).alias("shift"), F.xxhash64(F.lit(k), length, *_around(word, length, F.lit(shift), k)).alias("key")) for k in range(4)]
 
 
+def _one_edit(x: str, y: str) -> Column:
+    """Whether y is one edit from x, being as long or one longer. Spark's distance takes the square of
+    the length even under a threshold, so long words are compared behind their first difference."""
+    differ = F.zip_with(F.split(x, ""), F.split(y, ""), lambda a, b: ~a.eqNullSafe(b))
+    at = F.array_position(differ, True).cast("int")
+    rest = lambda w, i: F.substring(w, i, F.length(w))
+    behind = F.when(F.length(x) == F.length(y), rest(x, at + 1) == rest(y, at + 1)).otherwise(rest(x, at) == rest(y, at + 1))
+    return F.when(F.length(x) <= SHORT, F.levenshtein(x, y, 1) == 1).otherwise(behind)
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """All pairs (x, y, nx, ny) of distinct words of at least four code points, each pair once, that
     differ by one inserted, deleted or replaced code point; x is the shorter (of equal ones the
@@ -67,7 +79,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         same.append((ax == ay) & (bx == by))
     first = F.when(same[0], 0).when(same[1], 1).when(same[2], 2).otherwise(3)
     met = x.join(y, ["key", "kind"]).where((F.col("shift") == shift) & ((shift == 1) | (F.col("x") < F.col("y"))))
-    return met.where(F.levenshtein("x", "y", 1) == 1).where(F.col("kind") == first).select("x", "y", "nx", "ny")
+    return met.where(_one_edit("x", "y")).where(F.col("kind") == first).select("x", "y", "nx", "ny")
 
 
 def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 7, min_count: int = 2, ratio: int = 10, noise: int | None = 31) -> DataFrame:

@@ -76,9 +76,9 @@ def test_forms_lead_on(spark):
     assert [got[w] for w in chain] == [chain[4]] * 5 + [chain[5]]
 
 
-@pytest.mark.parametrize("length", [4, 7, 12])
+@pytest.mark.parametrize("length", [4, 7, 12, 70])
 def test_all_edits_share_a_key(spark, length):
-    word = "abcdefghijkl"[:length]
+    word = ("abcdefghijkl" * 6)[:length]
     edits = {word[:i] + c + word[i + d :] for i in range(length + 1) for c in ("", "a", "z", word[i - 1]) for d in (0, 1)} - {word}
     words = spark.createDataFrame([(w, 2) for w in edits | {word}], "word string, n long").where(F.length("word") >= 4)
     got = {frozenset(r) for r in near_pairs(words).where((F.col("x") == word) | (F.col("y") == word)).select("x", "y").collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lambi.llm import idstore, licenses, minhash, mixing, packing, quality, spelling, substrings, suffix_tree_lm, urls, vectors
+from lambi.llm import decontaminate, idstore, licenses, merkle, minhash, mixing, packing, quality, spelling, substrings, suffix_tree_lm, urls, vectors
 
 QUERIES = {
     "op1_near_vectors": vectors.query,
@@ -16,6 +16,15 @@ QUERIES = {
     "op9_license_scan": licenses.query,
     "op10_url_verdicts": urls.query,
     "op11_spelling_variants": spelling.query,
+    "op12_benchmark_passages": decontaminate.query,
+    "op13_merkle_manifest": merkle.query,
+}
+ORACLES = {
+    "op4_repetition": quality.ORACLE,
+    "op6_source_mixing": mixing.ORACLE,
+    "op9_license_scan": licenses.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op12_benchmark_passages": decontaminate.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
-ORACLES = {"op4_repetition": quality.ORACLE, "op6_source_mixing": mixing.ORACLE, "op9_license_scan": licenses.ORACLE, "op11_spelling_variants": spelling.ORACLE}
 

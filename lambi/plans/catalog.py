@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from lambi.functions import phonemes as ph
 from lambi.functions import textnorm as tn
 from lambi.operators import coverage, dedup, profile, rules, scoring, signal, splits, vectors
-from lambi.plans.fixtures import CLIPS_SQL, LONG_WAVES_SQL, NOISY_SQL, NORM_SQL, PAIRS_SQL, SENTENCE_PAIRS_SQL, clips, every_latency, long_waves, noisy, pairs, refs, sentence_pairs, table, waves
+from lambi.plans.fixtures import CLIPS_SQL, LONG_WAVES_SQL, NOISY_SQL, NORM_SQL, PAIRS_SQL, SENTENCE_PAIRS_SQL, clips, deletion_pairs, every_latency, long_waves, noisy, pairs, refs, sentence_pairs, table, waves
 from lambi.sources import tables as src
 from lambi.streaming.quota import quota_batch
 
@@ -204,6 +204,17 @@ def document_error_rates(spark, sf):
     return scoring.rates(every_latency(scoring.measured(pairs(spark, sf))), "model", "latency_ms")
 
 
+_KEPT = "list_filter(list_transform(ws, lambda w, i: CASE WHEN i % k <> 0 THEN w END), lambda w: w IS NOT NULL)"
+
+
+@query("document_deletions", f"""WITH d AS (SELECT string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS ws FROM documents), p AS (SELECT model, ws, {_KEPT} AS kept FROM d, (VALUES ('baseline', 3), ('tuned', 7)) m(model, k)),
+e AS (SELECT model, len(ws) AS words, length(array_to_string(ws, ' ')) AS chars, len(ws) - len(kept) AS word_edits, length(array_to_string(ws, ' ')) - length(array_to_string(kept, ' ')) AS char_edits FROM p WHERE len(ws) > 1 OR ws[1] <> '')
+SELECT model, round(sum(word_edits) / sum(words), 5) AS wer, round(sum(char_edits) / sum(chars), 5) AS cer, count(*) AS clips FROM e GROUP BY model""")
+def document_deletions(spark, sf):
+    """Whole documents of which words are only lost, so that the distance is what the lengths differ by."""
+    return scoring.rates(scoring.measured(deletion_pairs(spark, sf), aggressive=False, compose=False), "model")
+
+
 @query("tags_emitted", f"WITH p AS ({PAIRS_SQL}) SELECT model, latency_ms, tag, count(*) AS n, lower(tag) <> '<ht-ht>' AS stray FROM (SELECT model, latency_ms, unnest(regexp_extract_all(hypothesis, '<[a-z]{{2,3}}(?:-[A-Za-z]{{2,4}})?>')) AS tag FROM p) GROUP BY ALL")
 def tags_emitted(spark, sf):
     return scoring.tag_counts(every_latency(pairs(spark, sf)), "model", "latency_ms").withColumn("stray", F.lower("tag") != "<ht-ht>")

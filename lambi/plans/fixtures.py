@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lambi.sources.tables import spread
+
 _CLIPS = """
 SELECT doc_id AS idx, source, CAST(substring(source, 4) AS INT) AS source_ord, text AS raw_text,
        CASE WHEN doc_id % 97 = 0 THEN NULL ELSE concat('spk', CAST(doc_id * 7 % 40 AS {s})) END AS speaker,
@@ -65,7 +67,15 @@ def _pairs(texts: DataFrame) -> DataFrame:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of whole documents."""
-    return _pairs(table(spark, sf_dir, "documents"))
+    return _pairs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def deletion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents against themselves without every k-th word."""
+    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
+    models = F.explode(F.array(*(F.struct(F.lit(m).alias("model"), F.lit(k).alias("k")) for m, k in MODELS)))
+    df = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", words.alias("rw"), models.alias("m")).select("doc_id", "rw", "m.*")
+    return df.select("doc_id", "model", F.array_join("rw", " ").alias("reference"), F.array_join(F.expr("filter(rw, (w, i) -> (i + 1) % k <> 0)"), " ").alias("hypothesis"))
 
 
 _SENTENCE = r"[^.!?]*[.!?]"

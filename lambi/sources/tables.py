@@ -37,6 +37,13 @@ def read_columnar(spark: SparkSession, path: str, text: str | None = None, audio
     return out if limit is None else out.limit(limit)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where the input has fewer parts than that (a file of one row group is
+    read by one task); other inputs as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_loose(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds audio files and no Parquet; file contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.lower("path").alias("p"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lambi.operators import coverage, dedup, profile, rules, scoring, signal, splits, vectors
+from lambi.operators import coverage, dedup, edits, profile, rules, scoring, signal, splits, vectors
 from lambi.plans import catalog
 
 
@@ -204,11 +204,26 @@ def plain_distance(a, b):
 
 def test_edit_distance():
     rng = np.random.default_rng(6)
-    for _ in range(300):
-        a, b = (rng.integers(0, 4, rng.integers(0, 90)).tolist() for _ in range(2))
-        assert scoring.edit_distance(a, b) == plain_distance(a, b)
-    many = list(range(40_000))
-    assert scoring.edit_distance(many, many[1:] + [-1]) == 2
+    pairs = [[rng.integers(0, k, rng.integers(0, 90)) for _ in range(2)] for k in (1, 4, 300, 70_000) for _ in range(60)]
+    for _ in range(200):  # near ones: words lost, changed and put in
+        a = rng.integers(0, rng.choice([3, 500]), rng.integers(0, 200))
+        b = a[rng.random(len(a)) > rng.choice([0, 0.05, 0.4])].copy()
+        b[rng.random(len(b)) < rng.choice([0, 0.1])] = 1
+        pairs.append([a, np.insert(b, rng.integers(0, len(b) + 1), rng.integers(0, 9, rng.choice([0, 0, 2])))])
+    first, second = ([p[i].astype(np.uint32) for p in pairs] for i in range(2))
+    want = [plain_distance(a.tolist(), b.tolist()) for a, b in pairs]
+    assert edits.distances(first, second).tolist() == edits.distances(second, first).tolist() == want
+    assert [edits.bit_distance(a.tolist(), b.tolist()) for a, b in pairs] == want
+    many = np.arange(40_000)
+    assert edits.distances([many, many[:0]], [np.append(many[1:], 7), many[:5]]).tolist() == [2, 5]
+
+
+@pytest.mark.parametrize("costs", [{"CELL_S": 0, "STEP_S": 0}, {"CELL_S": 1}])
+def test_both_ways_of_edit_distance(monkeypatch, costs):
+    for name, value in costs.items():
+        monkeypatch.setattr(edits, name, value)
+    monkeypatch.setattr(edits, "SYMBOLS", 500)
+    test_edit_distance()
 
 
 def test_error_rates_of_whole_documents(spark, tmp_path):

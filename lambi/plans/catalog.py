@@ -250,6 +250,17 @@ def speaker_source_profile(spark, sf):
     return profile.profile(clips(spark, sf).where("speaker is not null"), "speaker", "source").select("speaker", "source", "clips", "native_sr", "fmt", "median_f999", "tier")
 
 
+def _set_sql(i: int, *keys: str) -> str:
+    lacking = {"source", "speaker"} - set(keys)
+    return f"SELECT {i} AS set, {', '.join(f'NULL::VARCHAR AS {k}' for k in lacking)}{', ' * bool(lacking)}{', '.join(keys)}, clips, native_sr, fmt, median_e8k, median_s, total_s, median_f999, tier FROM ({_profile_sql(*keys)})"
+
+
+@query("profile_sets", f"FROM ({_set_sql(0, 'source')}) UNION ALL BY NAME FROM ({_set_sql(1, 'speaker', 'source')})".replace("FROM documents)", "FROM documents WHERE doc_id % 97 <> 0)"))
+def profile_sets(spark, sf):
+    out = profile.profile_sets(clips(spark, sf).where("speaker is not null"), [("source",), ("speaker", "source")])
+    return out.select("set", "source", "speaker", "clips", "native_sr", "fmt", "median_e8k", "median_s", "total_s", "median_f999", "tier")
+
+
 @query("synthesis_stats", f"""WITH c AS ({CLIPS_SQL}), m AS ({_mode_sql('source', 'native_sr')}), a AS (SELECT source, count(*) AS clips, round(sum(duration) / 3600, 6) AS hours, median(e8k) AS median_e8k, median(native_sr) AS sr FROM c GROUP BY source)
 SELECT source, clips, hours, median_e8k, native_sr, {_TIER.format('sr', 'median_e8k')} AS tier FROM a JOIN m USING (source)""")
 def synthesis_stats(spark, sf):

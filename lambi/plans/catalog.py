@@ -486,7 +486,7 @@ def fixed_padding(spark, sf):
     return x.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
 
 
-@query("level_match", """WITH r AS (SELECT vec_id, label, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)) AS rms FROM embeddings), m AS (SELECT label, median(rms) FILTER (rms >= 1e-5) AS lv, count(*) FILTER (rms >= 1e-5) AS k FROM r GROUP BY label)
+@query("level_match", """WITH r AS (SELECT vec_id, label, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)) AS rms FROM embeddings), m AS (SELECT label, median(rms) FILTER (rms > 1e-5) AS lv, count(*) FILTER (rms > 1e-5) AS k FROM r GROUP BY label)
 SELECT vec_id, round(CASE WHEN k >= 2 AND rms >= 1e-5 AND abs(least(2, greatest(0.5, lv / rms)) - 1) >= 0.02 THEN least(2, greatest(0.5, lv / rms)) ELSE 1 END, 6) AS gain FROM r JOIN m USING (label)""")
 def level_match(spark, sf):
     out = signal.match_levels(signal.level_stats(waves(spark, sf), "wave", "sr"), "passage")

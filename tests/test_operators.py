@@ -103,45 +103,67 @@ def test_signal_measures(spark):
     assert got[1]["native_sr"] == 24000 and got[1]["duration"] == 1.0
 
 
+def plain_trim(x, sr):
+    level = math.sqrt(sum(v * v for v in x) / len(x)) if x else 0
+    if level == 0:
+        return x
+    size, pad = max(1, math.floor(0.005 * sr + 0.5)), math.floor(0.02 * sr + 0.5)
+
+    def loud(at):
+        part = x[at : at + size]
+        return sum(map(abs, part)) / max(1, len(part)) > max(0.05 * level, 1e-4)
+
+    start, stop = 0, len(x)
+    while start < len(x) and not loud(start):
+        start += size
+    while stop > start and not loud(max(0, stop - size)):
+        stop -= size
+    return x if stop <= start else x[max(0, start - pad) : stop + pad]
+
+
 def plain_join(parts, sr):
-    """A passage as one array, segment by segment."""
-    kept = []
-    for x in parts:
-        x = np.asarray(x, dtype=float)
-        size = int(sr * 0.005)
-        level = [math.sqrt(np.mean(x[i : i + size] ** 2)) for i in range(0, len(x), size)]
-        loud = [i for i, v in enumerate(level) if v > max(0.05 * math.sqrt(np.mean(x**2)), 1e-4)]
-        kept.append(x[max(0, loud[0] * size - int(sr * 0.02)) : (loud[-1] + 1) * size + int(sr * 0.02)] if loud else x)
-    rms = [math.sqrt(np.mean(x**2)) for x in kept]
-    middle = np.median([v for v in rms if v >= 1e-5])
-    gains = [min(2, max(0.5, middle / v)) if v >= 1e-5 else 1 for v in rms]
-    kept = [x * (g if abs(g - 1) >= 0.02 else 1) for x, g in zip(kept, gains)]
-    top = max(np.abs(x).max() for x in kept)
-    fade = int(sr * 0.006)
-    out, starts = [], []
-    for i, x in enumerate(kept):
-        x = x * (0.99 / top if top > 0.99 else 1)
-        n = min(fade, len(x))
-        if i:
-            x[:n] *= np.linspace(0, 1, n)
-        if i < len(kept) - 1:
-            x[-n:] *= np.linspace(1, 0, n)
-        starts.append(sum(map(len, out)) + i * int(sr * 0.15))
-        out.append(x)
-    return out, starts
+    """A passage segment by segment, and where each starts."""
+    if len(parts) == 1:
+        return [parts[0]], [0]
+    done = [plain_trim(list(x), sr) for x in parts]
+    rms = [math.sqrt(sum(v * v for v in x) / len(x)) if x else 0 for x in done]
+    heard = [v for v in rms if v > 1e-5]
+    if len(heard) > 1:
+        gains = [min(2, max(0.5, np.median(heard) / v)) if v >= 1e-5 else 1 for v in rms]
+        done = [[v * g for v in x] if abs(g - 1) >= 0.02 else x for x, g in zip(done, gains)]
+    fade = min(math.floor(0.006 * sr + 0.5), *(len(x) // 2 for x in done))
+    starts, at = [], 0
+    for i, x in enumerate(done):
+        done[i] = x = list(x)
+        for k in range(fade):
+            if i:
+                x[k] *= k / fade
+            if i < len(done) - 1:
+                x[len(x) - fade + k] *= 1 - k / fade
+        starts.append(at)
+        at += len(x) + math.floor(0.15 * sr + 0.5)
+    top = max((abs(v) for x in done for v in x), default=0)
+    return [[v * 0.99 / top for v in x] if top > 0.99 else x for x in done], starts
 
 
 def test_segments_of_a_passage(spark):
     rng = np.random.default_rng(4)
-    level = [0.01, 0.4, 0.9, 0.2, 1e-7]
-    parts = [np.concatenate([np.zeros(900), v * rng.normal(size=int(n)), np.zeros(700)]) for v, n in zip(level, rng.integers(1000, 3000, 5))]
-    rows = [(7, i, x.tolist(), 16000) for i, x in enumerate(parts)] + [(8, 0, parts[1].tolist(), 16000), (8, 1, parts[1].tolist(), 8000)]
+    noisy = lambda v, n: np.concatenate([np.zeros(int(rng.integers(0, 900))), v * rng.normal(size=n), np.zeros(int(rng.integers(0, 700)))]).tolist()
+    spiky = (np.concatenate([rng.normal(size=3000) * 0.3, np.where(np.arange(2000) % 79 == 0, 0.2, 0.0), np.zeros(900)])).tolist()
+    passages = {
+        1: ([noisy(0.01, 1500), noisy(0.4, 2100), noisy(0.9, 1700), noisy(0.2, 2000), noisy(1e-7, 900)], 16000),
+        2: ([spiky], 16000), 3: ([noisy(0.9, 2000), spiky], 22050), 4: ([[0.0] * 2000, noisy(0.3, 2000)], 22050),
+        5: ([noisy(0.5, 40), [0.3] * 31, [], [0.7]], 24000), 6: ([noisy(2.0, 3000)], 16000), 7: ([noisy(0.3, 1999), noisy(0.31, 1801)], 11025), 8: ([[0.0] * 10, [1e-6] * 500], 8000),
+    }
+    rows = [(p, i, x, sr) for p, (parts, sr) in passages.items() for i, x in enumerate(parts)] + [(9, 0, spiky, 16000), (9, 1, spiky, 8000)]
     df = spark.createDataFrame(rows, "p int, i int, x array<double>, sr int").repartition(3)
     got = {(r["p"], r["i"]): r for r in signal.join_segments(df, "p", "i", "x", "sr", block=2).collect()}
-    want, starts = plain_join(parts, 16000)
-    for i, (x, start) in enumerate(zip(want, starts)):
-        assert got[7, i]["start"] == start and np.allclose(got[7, i]["samples"], x, atol=1e-12)
-    assert got[8, 0]["samples"] is None and got[8, 1]["start"] is None
+    assert len(got) == len(rows)
+    for p, (parts, sr) in passages.items():
+        for i, (x, start) in enumerate(zip(*plain_join(parts, sr))):
+            r = got[p, i]
+            assert r["start"] == start and len(r["samples"]) == len(x) and np.allclose(r["samples"], x, atol=1e-12), (p, i)
+    assert got[9, 0]["samples"] is None and got[9, 1]["start"] is None
 
 
 def test_running_total_over_blocks(spark):

@@ -15,13 +15,16 @@ def counts(df: DataFrame, items: Column, name: str = "item", top: int | None = N
 
 
 def token_report(df: DataFrame, text: str, tokens: str, unknown: int) -> DataFrame:
-    """One row: tokens, words, tokens per word, unknown tokens and their rate, and a verdict.
+    """One row: tokens, words, tokens per word, unknown tokens and their rate, and a verdict; ratios
+    of nothing are 0. A null text has neither words nor tokens, as has an empty table.
 
     `tokens` is an array column of any tokenizer: of structs with id, start and end in characters.
     """
     words = F.size(F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != ""))
-    out = df.agg(F.sum(F.size(tokens)).alias("tokens"), F.sum(words).alias("words"), F.sum(F.size(F.filter(tokens, lambda t: t["id"] == unknown))).alias("unknown"))
-    out = out.withColumn("tokens_per_word", F.round(F.col("tokens") / F.greatest("words", F.lit(1)), 3)).withColumn("unknown_rate", F.round(F.col("unknown") / F.greatest("tokens", F.lit(1)), 6))
+    total = lambda c: F.coalesce(F.sum(F.when(F.col(text).isNotNull(), c)), F.lit(0).cast("long"))
+    out = df.agg(total(F.size(tokens)).alias("tokens"), total(words).alias("words"), total(F.size(F.filter(tokens, lambda t: t["id"] == unknown))).alias("unknown"))
+    ratio = lambda a, b, digits: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b), digits)).otherwise(0.0)
+    out = out.withColumn("tokens_per_word", ratio("tokens", "words", 3)).withColumn("unknown_rate", ratio("unknown", "tokens", 6))
     return out.withColumn("verdict", F.when((F.col("unknown_rate") > 0.001) | (F.col("tokens_per_word") > 4), "REVIEW").otherwise("OK"))
 
 

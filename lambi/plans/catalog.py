@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import re
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lambi.functions import phonemes as ph
 from lambi.functions import textnorm as tn
+from lambi.functions.pieces import UNKNOWN, tokenizer
 from lambi.operators import coverage, dedup, profile, rules, scoring, signal, splits, vectors
+from lambi.operators.running import running
 from lambi.plans.fixtures import CLIPS_SQL, LONG_WAVES_SQL, NOISY_SQL, NORM_SQL, PAIRS_SQL, SENTENCE_PAIRS_SQL, clips, deletion_pairs, every_latency, long_waves, noisy, pairs, refs, sentence_pairs, table, waves
 from lambi.sources import tables as src
+from lambi.sources.tables import spread
 from lambi.streaming.quota import quota_batch
 
 QUERIES: dict = {}
@@ -406,35 +405,49 @@ def rare_phonemes(spark, sf):
     return coverage.rare_phonemes(phoneme_coverage(spark, sf))
 
 
-_TOKEN = r"[A-Za-z]{1,4}|[0-9]|[^A-Za-z0-9 \t\n\r]"
-_TOKEN_PATTERN = re.compile(_TOKEN)
+_PIECE_WORDS = r"[a-zA-Z]{2,8}"
+
+
+def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces: the words and word parts of two to eight letters in `benchmark`, ASCII letters, digits and marks;
+    ids in order."""
+    said = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(_PIECE_WORDS), F.lit(0))).alias("piece"))
+    signs = spark.range(33, 127).select(F.char("id").alias("piece"))
+    ordered = said.union(signs).distinct()
+    return running(ordered, ["piece"]).select("piece", (F.col("number") + 1).cast("int").alias("id"))
 
 
-@F.arrow_udf(ArrayType(StructType([StructField(x, IntegerType()) for x in ("id", "start", "end")])))
-def _tokens(texts: pa.Array) -> pa.Array:
-    """A small tokenizer: runs of up to four letters, digits and marks; other letters are unknown (0)."""
-    ends, ids, starts, stops = [0], [], [], []
-    for text in texts.to_pylist():
-        for m in _TOKEN_PATTERN.finditer(text or ""):
-            ids.append(1 if m[0].isascii() else 0)
-            starts.append(m.start())
-            stops.append(m.end())
-        ends.append(len(ids))
-    fields = [pa.array(x, pa.int32()) for x in (ids, starts, stops)]
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["id", "start", "end"]))
+#: Tokens by SQL: every word once; from its start the longest piece, or one letter, again and again.
+_TOKENS_SQL = rf"""v AS (SELECT piece, row_number() OVER (ORDER BY encode(piece)) AS id, length(piece) AS k FROM (SELECT unnest(regexp_extract_all(text, '{_PIECE_WORDS}')) AS piece FROM benchmark UNION SELECT chr(i::INT) FROM range(33, 127) r(i))),
+w AS (SELECT word, count(*) AS times FROM (SELECT unnest(regexp_extract_all(text, '[^ 	-
+]+')) AS word FROM documents) GROUP BY word),
+m AS MATERIALIZED (SELECT word, pos, max(k) AS k FROM (SELECT word, unnest(range(1, length(word) + 1)) AS pos FROM w) JOIN v ON substring(word, pos, k) = piece GROUP BY ALL),
+t AS (SELECT word, 1::BIGINT AS pos FROM w UNION ALL SELECT t.word, t.pos + coalesce(m.k, 1) FROM t LEFT JOIN m ON m.word = t.word AND m.pos = t.pos WHERE t.pos + coalesce(m.k, 1) <= length(t.word)),
+s AS (SELECT t.word, t.pos, m.k IS NULL AS odd, coalesce(m.k, 1) AS k FROM t LEFT JOIN m ON m.word = t.word AND m.pos = t.pos),
+o AS (SELECT word, min(pos) AS pos, count(*) AS k FROM (SELECT word, pos, pos - row_number() OVER (PARTITION BY word ORDER BY pos) AS run FROM s WHERE odd) GROUP BY word, run)"""
 
 
-_PIECES = f"SELECT doc_id, text, regexp_extract_all(text, '{_TOKEN}') AS pieces FROM documents"
+def _tokens(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spread(_docs(spark, sf).select("text"))
+    return docs.withColumn("tokens", tokenizer(_vocabulary(spark, sf))(F.col("text")))
 
 
-@query("token_coverage", rf"SELECT tokens, words, round(tokens / greatest(words, 1), 3) AS tokens_per_word, unknown, round(unknown / greatest(tokens, 1), 6) AS unknown_rate, CASE WHEN round(unknown / greatest(tokens, 1), 6) > 0.001 OR round(tokens / greatest(words, 1), 3) > 4 THEN 'REVIEW' ELSE 'OK' END AS verdict FROM (SELECT sum(len(pieces))::BIGINT AS tokens, sum(len(regexp_extract_all(text, '[^\s]+')))::BIGINT AS words, sum(len(list_filter(pieces, lambda p: regexp_matches(p, '[^\x00-\x7F]'))))::BIGINT AS unknown FROM ({_PIECES}))")
+@query("token_coverage", rf"""WITH RECURSIVE {_TOKENS_SQL}, c AS (SELECT (SELECT sum(times) FROM w) AS words, (SELECT sum(times) FROM s JOIN w USING (word) WHERE NOT odd) AS known, (SELECT coalesce(sum(times), 0) FROM o JOIN w USING (word)) AS unknown)
+SELECT (known + unknown)::BIGINT AS tokens, words::BIGINT AS words, unknown::BIGINT AS unknown, round((known + unknown) / words, 3) AS tokens_per_word, round(unknown / (known + unknown), 6) AS unknown_rate, CASE WHEN round(unknown / (known + unknown), 6) > 0.001 OR round((known + unknown) / words, 3) > 4 THEN 'REVIEW' ELSE 'OK' END AS verdict FROM c""")
 def token_coverage(spark, sf):
-    return coverage.token_report(_docs(spark, sf).withColumn("tokens", _tokens("text")), "text", "tokens", 0)
+    return coverage.token_report(_tokens(spark, sf), "text", "tokens", UNKNOWN)
 
 
-@query("unknown_pieces", rf"SELECT piece, count(*) AS n FROM (SELECT unnest(pieces) AS piece FROM ({_PIECES})) WHERE regexp_matches(piece, '[^\x00-\x7F]') GROUP BY piece ORDER BY n DESC, piece LIMIT 20")
+@query("unknown_pieces", rf"WITH RECURSIVE {_TOKENS_SQL} SELECT substring(word, pos, k) AS piece, sum(times)::BIGINT AS n FROM o JOIN w USING (word) GROUP BY piece ORDER BY n DESC, piece LIMIT 20")
 def unknown_pieces(spark, sf):
-    return coverage.unknown_pieces(_docs(spark, sf).withColumn("tokens", _tokens("text")), "text", "tokens", 0)
+    return coverage.unknown_pieces(_tokens(spark, sf), "text", "tokens", UNKNOWN)
+
+
+@query("piece_counts", rf"WITH RECURSIVE {_TOKENS_SQL} SELECT v.id::INT AS id, v.piece, sum(times)::BIGINT AS n FROM s JOIN w USING (word) JOIN v ON v.piece = substring(s.word, s.pos, s.k) WHERE NOT odd GROUP BY ALL")
+def piece_counts(spark, sf):
+    """How often each piece of the vocabulary occurs as a token."""
+    ids = _tokens(spark, sf).select(F.explode("tokens.id").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return ids.join(_vocabulary(spark, sf), "id").select("id", "piece", "n")
 
 
 #: The same levels in SQL: an element is what a unit breaks into, or stays open to be joined.

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lambi.functions.pieces import tokenizer
 from lambi.operators import coverage, dedup, edits, profile, rules, scoring, signal, splits, vectors
 from lambi.plans import catalog
 
@@ -279,7 +280,8 @@ def test_length_table_of_real_lengths(spark):
 
 
 def test_token_pieces_and_phoneme_verdicts(spark):
-    df = spark.createDataFrame([("wi ñandu 漢",), ("wi",)], "text string").withColumn("tokens", catalog._tokens("text"))
+    vocabulary = spark.createDataFrame([("wi", 1), ("andu", 2), ("w", 3)], "piece string, id int")
+    df = spark.createDataFrame([("wi ñandu 漢",), ("wi",)], "text string").withColumn("tokens", tokenizer(vocabulary)(F.col("text")))
     assert [(r["piece"], r["n"]) for r in coverage.unknown_pieces(df, "text", "tokens", 0).collect()] == [("ñ", 1), ("漢", 1)]
     report = coverage.token_report(df, "text", "tokens", 0).first()
     assert (report["tokens"], report["unknown"], report["words"], report["verdict"]) == (5, 2, 4, "REVIEW")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lambi.functions.textnorm import normalize
@@ -80,12 +80,31 @@ def prepare(text: Column, compose: bool = True) -> Column:
     return F.regexp_replace(out, rf"(?<=[{LETTERS}])'(?=[{LETTERS}])", "")
 
 
+def tokens(text: Column, compose: bool = True) -> Column:
+    """Words, marks and blanks of a text as it is spoken, in order."""
+    return F.regexp_extract_all(prepare(text, compose), F.lit(rf"[{LETTERS}]+|[.,!?;:]|\s+"), F.lit(0))
+
+
+def token_phonemes(token: Column, keep_punctuation: bool = True) -> Column:
+    """Phonemes of one token: a blank is one blank, a mark itself unless switched off."""
+    return F.when(token.rlike(r"^\s"), " ").when(token.rlike("^[.,!?;:]"), token if keep_punctuation else "").otherwise(word_phonemes(token))
+
+
 def phonemes(text: Column, keep_punctuation: bool = True, compose: bool = True) -> Column:
-    """Phonemes of a text; words keep their punctuation unless switched off."""
-    tokens = F.regexp_extract_all(prepare(text, compose), F.lit(rf"[{LETTERS}]+|[.,!?;:]|\s+"), F.lit(0))
-    said = F.transform(tokens, lambda x: F.when(x.rlike(r"^\s"), " ").when(x.rlike("^[.,!?;:]"), x if keep_punctuation else "").otherwise(word_phonemes(x)))
+    """Phonemes of a text; words keep their punctuation unless switched off. A null text has none."""
+    said = F.transform(tokens(text, compose), lambda x: token_phonemes(x, keep_punctuation))
     return F.trim(F.regexp_replace(F.array_join(said, ""), " +", " "))
 
 
+def spoken_words(df: DataFrame, text: str, *keys: str, keep_punctuation: bool = True) -> DataFrame:
+    """(keys, phonemes, n): what is said in all texts of a group, with its number of occurrences.
+
+    Each distinct token of a group is put into phonemes once, after the count, which Spark sums
+    before it shuffles; so a frequent word costs as much as a rare one.
+    """
+    counted = df.select(*keys, F.explode(tokens(F.col(text))).alias("token")).where(~F.col("token").rlike(r"^\s")).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*keys, token_phonemes(F.col("token"), keep_punctuation).alias("phonemes"), "n")
+
+
 def phoneme_count(said: Column) -> Column:
     return F.length(F.replace(said, F.lit(" "), F.lit("")))

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from lambi.functions.phonemes import PHONEMES
 
 
-def counts(df: DataFrame, items: Column, name: str = "item", top: int | None = None) -> DataFrame:
-    """How often each item of an array column occurs; the most common `top`, ties by value."""
-    out = df.select(F.explode(items).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+def counts(df: DataFrame, items: Column, name: str = "item", top: int | None = None, keys: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
+    """How often each item of an array column occurs (in rows that stand for `weight` rows each); the
+    most common `top`, ties by value. Null arrays hold nothing."""
+    n = F.count(F.lit(1)) if weight is None else F.sum("_times")
+    times = [] if weight is None else [F.col(weight).alias("_times")]
+    out = df.select(*keys, *times, F.explode(items).alias(name)).groupBy(*keys, name).agg(n.alias("n"))
     return out if top is None else out.orderBy(F.desc("n"), name).limit(top)
 
 
@@ -40,22 +43,26 @@ def inventory(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(c,) for c in known], "phoneme string")
 
 
-def phoneme_report(df: DataFrame, said: str, rare_below: int = 50) -> DataFrame:
-    """Count of each phoneme character, whether the inventory holds it and whether it is rare."""
-    seen = counts(df, F.filter(F.split(said, ""), lambda c: ~c.isin("", " ")), "phoneme")
-    known = inventory(df).withColumn("_known", F.lit(True))
-    out = seen.join(F.broadcast(known), "phoneme", "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
+def phoneme_report(df: DataFrame, said: str, rare_below: int = 50, keys: tuple[str, ...] = (), weight: str | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Count of each phoneme character (by group of `keys`), whether the inventory holds it and whether
+    it is rare. `known` is an inventory (a column `phoneme`) other than the whole one; rows stand for
+    `weight` rows each."""
+    seen = counts(df, F.filter(F.split(said, ""), lambda c: ~c.isin("", " ")), "phoneme", keys=keys, weight=weight)
+    held = (inventory(df) if known is None else known).select("phoneme").distinct().withColumn("_known", F.lit(True))
+    out = seen.join(held, "phoneme", "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
     return out.withColumn("rare", F.col("known") & (F.col("n") < rare_below) & ~F.col("phoneme").rlike("[.,!?;:]"))
 
 
-def unknown_phonemes(report: DataFrame) -> DataFrame:
+def unknown_phonemes(report: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Produced phonemes that the inventory lacks, most common first."""
-    return report.select("phoneme", "n").join(F.broadcast(inventory(report)), "phoneme", "left_anti").orderBy(F.desc("n"), "phoneme")
+    held = inventory(report) if known is None else known
+    return report.select("phoneme", "n").join(held.select("phoneme"), "phoneme", "left_anti").orderBy(F.desc("n"), "phoneme")
 
 
 def rare_phonemes(report: DataFrame, top: int = 20) -> DataFrame:
-    """The rarest known phonemes."""
-    return report.where("rare").select("phoneme", "n").orderBy("n", "phoneme").limit(top)
+    """The rarest known phonemes, with the report's groups."""
+    out = report.where("rare").drop("known", "rare")
+    return out.orderBy("n", "phoneme", *(c for c in out.columns if c not in ("n", "phoneme"))).limit(top)
 
 
 def phoneme_verdict(report: DataFrame) -> DataFrame:

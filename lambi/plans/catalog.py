@@ -384,7 +384,7 @@ _PHONEMES = _phonemes_sql("SELECT doc_id, text FROM documents").replace("\\\\",
 @query("phonemize", f"WITH {_PHONEMES} SELECT doc_id, phonemes, length(replace(phonemes, ' ', '')) AS n_phonemes FROM ph")
 def phonemize(spark, sf):
     said = ph.phonemes(F.col("text"))
-    return _docs(spark, sf).select("doc_id", said.alias("phonemes")).withColumn("n_phonemes", ph.phoneme_count(F.col("phonemes")))
+    return spread(_docs(spark, sf).select("doc_id", "text")).select("doc_id", said.alias("phonemes")).withColumn("n_phonemes", ph.phoneme_count(F.col("phonemes")))
 
 
 _REPORT = f"{_PHONEMES}, k AS (SELECT phoneme, count(*) AS n FROM (SELECT unnest(string_split(phonemes, '')) AS phoneme FROM ph) WHERE phoneme NOT IN ('', ' ') GROUP BY phoneme), rep AS (SELECT *, contains('anɛɔɑueiɥʃɲpbtdkɡfvszhmlʒɣwjo\u0303.,!?;:', phoneme) AS known FROM k)"
@@ -392,7 +392,8 @@ _REPORT = f"{_PHONEMES}, k AS (SELECT phoneme, count(*) AS n FROM (SELECT unnest
 
 @query("phoneme_coverage", f"WITH {_REPORT} SELECT phoneme, n, known, known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]') AS rare FROM rep")
 def phoneme_coverage(spark, sf):
-    return coverage.phoneme_report(phonemize(spark, sf), "phonemes")
+    said = ph.spoken_words(spread(_docs(spark, sf).select("text")), "text")
+    return coverage.phoneme_report(said, "phonemes", weight="n")
 
 
 @query("phoneme_check", f"WITH {_REPORT} SELECT count(*) AS distinct_phonemes, count(*) FILTER (NOT known) AS unknown, count(*) FILTER (known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]')) AS rare, CASE WHEN count(*) FILTER (NOT known) = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM rep")
@@ -400,9 +401,21 @@ def phoneme_check(spark, sf):
     return coverage.phoneme_verdict(phoneme_coverage(spark, sf))
 
 
-@query("rare_phonemes", f"WITH {_REPORT} SELECT phoneme, n FROM rep WHERE known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]') ORDER BY n, phoneme LIMIT 20")
+_BY_SOURCE = f"{_PHONEMES}, rs AS (SELECT source, phoneme, count(*) AS n FROM (SELECT source, unnest(string_split(phonemes, '')) AS phoneme FROM ph JOIN documents USING (doc_id)) WHERE phoneme NOT IN ('', ' ') GROUP BY ALL)"
+
+
+@query("rare_phonemes", f"WITH {_BY_SOURCE} SELECT source, phoneme, n FROM rs WHERE n < 2000 AND contains('anɛɔɑueiɥʃɲpbtdkɡfvszhmlʒɣwjo\u0303', phoneme) ORDER BY n, phoneme, source LIMIT 20")
 def rare_phonemes(spark, sf):
-    return coverage.rare_phonemes(phoneme_coverage(spark, sf))
+    """Phonemes below 2000 occurrences in a source."""
+    said = ph.spoken_words(spread(_docs(spark, sf).select("source", "text")), "text", "source")
+    return coverage.rare_phonemes(coverage.phoneme_report(said, "phonemes", 2000, ("source",), "n")).select("source", "phoneme", "n")
+
+
+@query("unknown_phonemes", f"WITH {_REPORT} SELECT phoneme, n FROM rep WHERE phoneme IN ('ɥ', 'ɲ', '\u0303', 'ɣ', ';')")
+def unknown_phonemes(spark, sf):
+    """What a model without nasal vowels and a few sounds lacks."""
+    report = phoneme_coverage(spark, sf)
+    return coverage.unknown_phonemes(report, coverage.inventory(report).where(~F.col("phoneme").isin("ɥ", "ɲ", "\u0303", "ɣ", ";")))
 
 
 _PIECE_WORDS = r"[a-zA-Z]{2,8}"

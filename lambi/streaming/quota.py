@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -51,15 +52,15 @@ class _Quota(StatefulProcessor):
         self.window = handle.getValueState("window", "reset timestamp, count int")
 
     def handleInputRows(self, key, rows, timerValues):
+        """A key's rows of one micro-batch, put in order of (ts, id) first: they come in any order."""
         held = self.window.get() if self.window.exists() else None
         reset, count = (pd.Timestamp(held[0]), held[1]) if held else (None, 0)
         out = []
-        for pdf in rows:
-            for i, ts in sorted(zip(pdf["id"], pdf["ts"]), key=lambda r: (r[1], r[0])):
-                if reset is None or ts >= reset:
-                    reset, count = ts + pd.Timedelta(seconds=self.seconds), 0
-                count += 1
-                out.append((key[0], i, ts, *_answer(count, self.limit, ts, reset)))
+        for i, ts in pd.concat([pdf[["id", "ts"]] for pdf in rows]).sort_values(["ts", "id"]).itertuples(index=False):
+            if reset is None or ts >= reset:
+                reset, count = ts + pd.Timedelta(seconds=self.seconds), 0
+            count += 1
+            out.append((key[0], i, ts, *_answer(count, self.limit, ts, reset)))
         self.window.update((reset.to_pydatetime(), count))
         self.handle.registerTimer(int(reset.timestamp() * 1000))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
@@ -74,8 +75,24 @@ class _Quota(StatefulProcessor):
         pass
 
 
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in the RocksDB store, which keyed state needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def quota_stream(events: DataFrame, limit: int, seconds: int, watermark: str = "10 minutes") -> DataFrame:
-    """The same over a stream: keyed state, dropped by an event-time timer when a window ends."""
+    """The same over a stream: keyed state, dropped by an event-time timer when a window ends.
+
+    Events later than the watermark are dropped, as they can't be answered in order any more; a
+    repeated event counts again.
+    """
     keyed = events.withWatermark("ts", watermark).groupBy("key")
     return keyed.transformWithStateInPandas(_Quota(limit, seconds), OUT, "Append", "EventTime")
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lambi.operators.rules import speech_rules
+from lambi.plans import streams
 from lambi.sources import tables as src
 from lambi.streaming import quota
 
@@ -107,3 +108,15 @@ def test_signups_are_appended(spark, tmp_path):
     q.awaitTermination(120)
     rows = spark.read.json(str(tmp_path / "out")).collect()
     assert [r["email"] for r in rows] == ["a@b.ht"] and rows[0]["received"]
+
+
+def test_late_and_repeated_events_after_a_restart(spark):
+    pytest.importorskip("google.protobuf")
+    rows = lambda data: spark.createDataFrame(data, "key string, id long, t string").select("key", "id", F.to_timestamp("t").alias("ts"))
+    early = rows([("a", 3, "2024-01-01 10:20:00"), ("a", 1, "2024-01-01 10:00:00"), ("a", 2, "2024-01-01 10:10:00")])
+    late = rows([("a", 4, "2024-01-01 11:00:00"), ("a", 2, "2024-01-01 10:15:00"), ("a", 9, "2024-01-01 02:00:00"), ("b", 5, "2024-01-01 10:59:00")])
+    with quota.rocksdb(spark):
+        path = streams.in_two_runs(spark, early, late, lambda s, o, c: streams._to_parquet(quota.quota_stream(s, 2, 3600), o, c))
+    got = sorted((r["key"], r["ts"].strftime("%H:%M"), r["id"], r["ok"], r["remaining"]) for r in spark.read.parquet(path).collect())
+    # the window of 10:00 goes on after the restart, the repeated event counts, the late one is dropped
+    assert got == [("a", "10:00", 1, True, 1), ("a", "10:10", 2, True, 0), ("a", "10:15", 2, False, 0), ("a", "10:20", 3, False, 0), ("a", "11:00", 4, True, 1), ("b", "10:59", 5, True, 1)]

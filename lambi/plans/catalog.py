@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -314,10 +316,9 @@ def style_check(spark, sf):
     return ratios.select(profile.style_verdict(F.col("cased_ratio"), F.col("punctuated_ratio")).alias("verdict"))
 
 
-@query("row_counts", "SELECT 'events' AS name, count(*) AS n FROM events UNION ALL SELECT 'documents', count(*) FROM documents")
+@query("row_counts", "SELECT 'events' AS name, count(*) AS n FROM events UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'absent', NULL")
 def row_counts(spark, sf):
-    one = lambda t: table(spark, sf, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("name"), "n")
-    return one("events").union(one("documents"))
+    return src.footer_counts(spark, {t: f"{sf}/{t}.parquet" for t in ("events", "documents", "absent")})
 
 
 @query("stratified_sample", """WITH b AS (SELECT event_id // 500 AS block, count(*) AS rows FROM events GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY block) - 1 AS b, count(*) OVER () AS total FROM b),
@@ -543,6 +544,64 @@ def frame_snr(spark, sf):
     return out.select(F.floor(F.col("key") / 1000000).alias("passage"), (F.col("key") % 1000000).alias("segment"), F.round("snr", 5).alias("snr"), frames.alias("frames"))
 
 
+_WAVE256 = "SELECT vec_id // 4 AS id, flatten(list(list_transform(embedding, lambda v: v::DOUBLE) ORDER BY vec_id)) AS wave FROM embeddings GROUP BY 1"
+
+
+def _waves256(spark: SparkSession, sf: str) -> DataFrame:
+    """Four embeddings each as one wave of 256 samples."""
+    e = table(spark, sf, "embeddings").groupBy(F.expr("vec_id div 4").alias("id")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "embedding"))).alias("all"))
+    return e.select("id", F.flatten(F.transform("all", lambda x: F.transform(x["embedding"], lambda v: v.cast("double")))).alias("wave"), F.lit(24000).alias("sr"))
+
+
+@query("spectral_stats", f"""WITH w AS ({_WAVE256}), x AS (SELECT id, unnest(wave) AS v, unnest(range(len(wave))) AS i FROM w WHERE len(wave) = 256), h AS (SELECT id, i, v * (0.5 - 0.5 * cos(2 * pi() * i / 255)) AS v FROM x),
+p AS (SELECT id, k, pow(sum(v * cos(2 * pi() * (k * i % 256) / 256)), 2) + pow(sum(v * sin(2 * pi() * (k * i % 256) / 256)), 2) AS power FROM h, range(129) r(k) GROUP BY ALL),
+c AS (SELECT id, k, sum(power) OVER (PARTITION BY id ORDER BY k) AS below, sum(power) OVER (PARTITION BY id) AS total FROM p),
+s AS (SELECT id, 1 - max(below) FILTER (k = 85) / max(total) AS e8k, least(count(*) FILTER (below < 0.999 * total), 128) * 93.75 AS f999 FROM c GROUP BY id)
+SELECT w.id, round(coalesce(greatest(e8k, 0), 0), 6) AS e8k, coalesce(f999, 0)::DOUBLE AS f999 FROM w LEFT JOIN s USING (id)""")
+def spectral_stats(spark, sf):
+    out = signal.measure(_waves256(spark, sf), "id", "wave", "sr")
+    return out.select("id", F.round("e8k", 6).alias("e8k"), "f999")
+
+
+_QUIET_ENDS = "CASE WHEN {0} * 5 < {1} OR {0} * 4 >= {1} * 3 THEN 1e-4 ELSE 1.0 END"
+
+
+@query("trim_bounds", f"""WITH w AS (SELECT passage, segment, list_transform(wave, lambda v, i: v * {_QUIET_ENDS.format('(i - 1)', 'len(wave)')}) AS wave FROM ({LONG_WAVES_SQL}) WHERE len(wave) >= 400),
+f AS (SELECT passage, segment, len(wave) AS n, wave, unnest(range(0, len(wave) - 399, 160)) AS pos FROM w),
+d AS (SELECT passage, segment, n, pos, 20 * log10(greatest(sqrt(list_sum(list_transform(list_slice(wave, pos + 1, pos + 400), lambda v: v * v)) / 400), 1e-10)) AS db FROM f),
+m AS (SELECT *, max(db) OVER (PARTITION BY passage, segment) AS top FROM d)
+SELECT passage, segment, min(pos)::INT AS trim_start, least(max(pos) + 400, any_value(n))::INT AS trim_end FROM m WHERE db > top - 35 GROUP BY ALL""")
+def trim_bounds(spark, sf):
+    quiet = F.expr(f"transform(wave, (v, i) -> v * {_QUIET_ENDS.format('i', 'size(wave)')})")
+    long = long_waves(spark, sf).where(F.size("wave") >= 400).withColumn("wave", quiet).withColumn("key", F.col("passage") * 1000000 + F.col("segment"))
+    return signal.measure(long, "key", "wave", "sr").select(F.floor(F.col("key") / 1000000).alias("passage"), (F.col("key") % 1000000).alias("segment"), "trim_start", "trim_end")
+
+
+_INT16 = "trunc(greatest(-1.0, least(1.0, {0}::DOUBLE)) * 32767)"
+
+
+@query("wav_decode", f"""WITH e AS (SELECT vec_id, CASE vec_id % 5 WHEN 1 THEN list_transform(embedding, lambda v: v::DOUBLE) WHEN 2 THEN list_transform(embedding, lambda v: ({_INT16.format('v')} + {_INT16.format('v / -4')}) / 2 / 32768)
+    WHEN 3 THEN list_transform(embedding[:len(embedding) - 2], lambda v: {_INT16.format('v')} / 32768) WHEN 4 THEN NULL ELSE list_transform(embedding, lambda v: {_INT16.format('v')} / 32768) END AS x FROM embeddings)
+SELECT vec_id, CASE WHEN x IS NOT NULL THEN (8000 + vec_id % 3)::INT END AS native_sr, len(x)::INT AS n, round(list_sum(x), 6) AS total, round(list_sum(list_transform(x, lambda v, i: v * i)), 5) AS weighted FROM e""")
+def wav_decode(spark, sf):
+    """Q01, Q02: embeddings written as WAV bytes (16 bit, float, two channels with an odd chunk before the
+    data, data cut short, a cut header), decoded again."""
+
+    def write(batches):
+        for pdf in batches:
+            out = []
+            for i, x in zip(pdf["vec_id"], pdf["embedding"]):
+                x = np.asarray(x, dtype=np.float64)
+                raw = signal.encode_wav([x, (x.astype(np.float32) / -4).astype(np.float64)] if i % 5 == 2 else [x], 8000 + i % 3, i % 5 == 1, b"three" if i % 5 == 2 else b"")
+                out.append(raw[:-3] if i % 5 == 3 else raw[:40] if i % 5 == 4 else raw)
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "audio": out})
+
+    files = table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(write, "vec_id long, audio binary")
+    x = signal.decode(files, "vec_id", "audio")
+    weighted = F.aggregate(F.transform("samples", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return x.select("vec_id", "native_sr", F.size("samples").alias("n"), F.round(F.aggregate("samples", F.lit(0.0), lambda a, v: a + v), 6).alias("total"), F.round(weighted, 5).alias("weighted"))
+
+
 @query("segment_join")
 def segment_join(spark, sf):
     out = signal.join_segments(long_waves(spark, sf, 50), "passage", "segment", "wave", "sr")

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
+
+from lambi.operators.running import running
 
 # Names by which columns are recognised, first match first.
 AUDIO = ["audio", "wav", "speech", "audio_filepath", "file", "path", "sound"]
@@ -78,25 +82,50 @@ def union_sources(sources: list[tuple[DataFrame, str, bool, float]]) -> DataFram
 def block_sample(df: DataFrame, block: str, order: str, n: int, most_blocks: int = 5) -> DataFrame:
     """About n rows: evenly spaced blocks, and in each every k-th row, up to n in all."""
     blocks = df.groupBy(block).agg(F.count(F.lit(1)).alias("rows"))
-    numbered = blocks.withColumn("b", F.row_number().over(Window.orderBy(block)) - 1)
-    total = blocks.count()
-    k = min(most_blocks, total)
-    wanted = df.sparkSession.range(k).select(F.bround(F.col("id") * (total - 1) / max(k - 1, 1)).cast("int").alias("b")).distinct()
-    chosen = numbered.join(F.broadcast(wanted), "b").withColumn("step", F.greatest(F.lit(1), F.floor(F.col("rows") / max(1, n // max(k, 1)))))
-    rows = df.join(F.broadcast(chosen.select(block, "b", "step")), block).withColumn("rn", F.row_number().over(Window.partitionBy(block).orderBy(order)))
+    numbered = running(blocks, [block]).withColumnRenamed("number", "b")
+    last = F.col("size") - 1
+    k = F.least(F.lit(most_blocks).cast("long"), F.col("size"))
+    wanted = F.transform(F.sequence(F.lit(0).cast("long"), k - 1), lambda i: F.bround(i * last / F.greatest(k - 1, F.lit(1))).cast("long"))
+    step = F.greatest(F.lit(1), F.floor(F.col("rows") / F.greatest(F.lit(1), F.floor(n / k))))
+    chosen = numbered.where(F.array_contains(wanted, F.col("b"))).select(F.col(block).alias("_block"), "b", step.alias("step"))
+    rows = df.join(chosen, F.col(block) == F.col("_block")).drop("_block").withColumn("rn", F.row_number().over(Window.partitionBy(block).orderBy(order)))
     taken = rows.where((F.col("rn") - 1) % F.col("step") == 0)
     return taken.orderBy("b", "rn").limit(n).drop("b", "step", "rn")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Predictions as JSON lines or one JSON array, told apart by the first character that is not
-    blank. Each row takes its own first prediction column that holds a value."""
+    blank. Each row takes the first prediction column whose key it has, null as its value may be."""
     first = spark.read.text(path).where(F.trim("value") != "").limit(1).first()
-    df = spark.read.option("multiLine", first is not None and first[0].lstrip().startswith("[")).json(path)
-    names = [c for c in PREDICTIONS if c in df.columns]
+    whole = first is not None and first[0].lstrip().startswith("[")
+    schema = spark.read.option("multiLine", whole).json(path).schema
+    names = [c for c in PREDICTIONS if c in schema.names]
     if not names:
-        raise ValueError(f"none of {PREDICTIONS} among {df.columns}")
-    return df.withColumn("pred_text", F.coalesce(*names))
+        raise ValueError(f"none of {PREDICTIONS} among {schema.names}")
+    lines = spark.read.text(path, wholetext=whole).where(F.trim("value") != "")
+    fields, keys = ArrayType(schema) if whole else schema, "map<string,string>"
+    both = lines.select(F.from_json("value", fields).alias("r"), F.from_json("value", f"array<{keys}>" if whole else keys).alias("m"))
+    if whole:
+        both = both.select(F.explode(F.arrays_zip("r", "m")).alias("z")).select("z.r", "z.m")
+    chosen = F.lit(None)
+    for c in reversed(names):
+        chosen = F.when(F.map_contains_key("m", c), F.col("r").getField(c)).otherwise(chosen)
+    return both.select("r.*", chosen.alias("_chosen")).drop("pred_text").withColumnRenamed("_chosen", "pred_text")
+
+
+def footer_counts(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
+    """(name, n): rows of each Parquet source by its file footers, without a column read; null for a
+    source that can't be read. Counts are pushed down to the reader in a session of its own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    each = []
+    for name, path in sources.items():
+        try:
+            each.append(own.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n"))
+        except AnalysisException:
+            each.append(own.createDataFrame([(name, None)], "name string, n long"))
+    return reduce(DataFrame.unionByName, each)
 
 
 def write_reports(blocks: dict[str, DataFrame], path: str) -> None:
@@ -110,8 +139,10 @@ def read_report(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    """JSON lines, one folder a split; columns that begin with an underscore stay out."""
-    df.select(*(c for c in df.columns if not c.startswith("_"))).write.partitionBy("split").json(path)
+    """JSON lines, one folder a split; columns that begin with an underscore stay out. Splits that are
+    there already are replaced, other splits stay."""
+    rows = df.select(*(c for c in df.columns if not c.startswith("_")))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split").json(path)
 
 
 def write_pipe_manifest(df: DataFrame, path: str) -> None:

@@ -301,3 +301,12 @@ def test_phoneme_report(spark):
     df = spark.createDataFrame([("ab ɡ#",), ("a.",)], "said string")
     got = {r["phoneme"]: (r["n"], r["known"]) for r in coverage.phoneme_report(df, "said").collect()}
     assert got == {"a": (2, True), "b": (1, True), "ɡ": (1, True), "#": (1, False), ".": (1, True)}
+
+
+def test_wav_bytes_and_broken_ones(spark):
+    x = np.array([0.5, -0.25, 1.0, -1.0])
+    whole = signal.encode_wav([x, x / 2], 8000, extra=b"odd")
+    rows = [(1, whole), (2, whole[:-3]), (3, whole[:30]), (4, b""), (5, None), (6, signal.encode_wav([x], 16000, floats=True)), (7, b"RIFF" + b"\0" * 60), (8, whole[:12] + b"fmt " + struct.pack("<I", 16) + b"\0" * 3)]
+    got = {r["i"]: r for r in signal.decode(spark.createDataFrame(rows, "i int, audio binary"), "i", "audio").collect()}
+    assert np.allclose(got[1]["samples"], x * 0.75, atol=1e-4) and got[1]["native_sr"] == 8000 and len(got[2]["samples"]) == 3
+    assert got[6]["samples"] == x.tolist() and [got[i]["samples"] for i in (3, 4, 5, 7, 8)] == [None] * 5

@@ -120,3 +120,28 @@ def test_late_and_repeated_events_after_a_restart(spark):
     got = sorted((r["key"], r["ts"].strftime("%H:%M"), r["id"], r["ok"], r["remaining"]) for r in spark.read.parquet(path).collect())
     # the window of 10:00 goes on after the restart, the repeated event counts, the late one is dropped
     assert got == [("a", "10:00", 1, True, 1), ("a", "10:10", 2, True, 0), ("a", "10:15", 2, False, 0), ("a", "10:20", 3, False, 0), ("a", "11:00", 4, True, 1), ("b", "10:59", 5, True, 1)]
+
+
+def test_present_nulls_of_predictions_stay(spark, tmp_path):
+    rows = [{"text": "a", "pred_text": None, "hypothesis": "b"}, {"text": "c", "pred": None, "hypothesis": "d", "n": {"x": 1}}, {"text": "e", "hypothesis": "f", "n": None}]
+    (tmp_path / "l.json").write_text("\n".join(map(json.dumps, rows)))
+    (tmp_path / "a.json").write_text(json.dumps(rows, indent=1))
+    for name in ("l.json", "a.json"):
+        got = src.read_predictions(spark, str(tmp_path / name))
+        assert {r["text"]: r["pred_text"] for r in got.collect()} == {"a": None, "c": None, "e": "f"} and "n" in got.columns
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    spark.range(1000).withColumn("x", F.rand()).repartition(3).write.parquet(str(tmp_path / "t"))
+    out = src.footer_counts(spark, {"t": str(tmp_path / "t"), "gone": str(tmp_path / "gone")})
+    assert {r["name"]: r["n"] for r in out.collect()} == {"t": 1000, "gone": None}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<count(*):bigint>" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_manifest_replaces_only_its_splits(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(r, "path string, split string")
+    src.write_manifest(rows(("a", "train"), ("b", "val")), str(tmp_path / "m"))
+    src.write_manifest(rows(("c", "val")), str(tmp_path / "m"))
+    assert sorted(map(tuple, spark.read.json(str(tmp_path / "m")).collect())) == [("a", "train"), ("c", "val")]

@@ -520,13 +520,6 @@ def level_match(spark, sf):
     return out.select("vec_id", F.round("gain", 6).alias("gain"))
 
 
-@query("synthesis_rules", f"""WITH {_PHONEMES}, c AS ({CLIPS_SQL}), p AS (SELECT c.*, length(replace(phonemes, ' ', '')) AS n, 5 + idx % 40 AS snr FROM c JOIN ph ON doc_id = idx)
-SELECT idx, CASE WHEN duration IS NULL THEN 'undecodable_audio' WHEN clip_ratio > 0.005 THEN 'clipped' WHEN dc_offset > 0.005 THEN 'dc_offset' WHEN duration < 1 THEN 'too_short' WHEN duration > 12 THEN 'too_long' WHEN snr < 15 THEN 'low_snr' WHEN n < 5 THEN 'too_few_phonemes' WHEN n > 400 THEN 'too_many_phonemes' WHEN duration <= 0 OR n / duration > 22 THEN 'implausible_phoneme_rate' END AS drop_reason FROM p""")
-def synthesis_rules(spark, sf):
-    df = clips(spark, sf).withColumn("n_phonemes", ph.phoneme_count(ph.phonemes(F.col("raw_text")))).withColumn("snr", 5 + F.col("idx") % 40)
-    return df.select("idx", rules.first_failing(rules.synthesis_rules({c: F.col(c) for c in ("duration", "clip_ratio", "dc_offset", "snr", "n_phonemes")})).alias("drop_reason"))
-
-
 @query("signal_measures")
 def signal_measures(spark, sf):
     return signal.measure(long_waves(spark, sf).withColumn("key", F.col("passage") * 1000000 + F.col("segment")), "key", "wave", "sr")

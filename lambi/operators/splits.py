@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lambi.functions.textnorm import hash_bucket
+from lambi.operators.running import running
+from lambi.sources.shared import kept
 
 
 def hash_split(key: Column, val: float, test: float) -> Column:
@@ -18,65 +20,63 @@ def seeded(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
-#: Buckets of the seeded order (three hex digits), a constant.
-ORDER_DIGITS = 3
-
-
 def group_split(df: DataFrame, group: str, duration: str, val: float, test: float, seed: int = 1804) -> DataFrame:
     """Whole groups to test, then val, up to 1.15 of the target hours; the rest to train.
 
     Groups come in seeded order; one goes to a split that has not reached its target if it stays
     within 1.15 of it. A group of at most 0.15 of a target always fits there, so only the few larger
-    ones (at most total / (0.15 target) of them) are decided one by one on the driver. The others
-    follow from running sums: a split takes all of them between two larger ones, until it is full.
-    Sums of the buckets of the order (a constant number) reach the driver, and the groups of a
-    bucket only where a split fills up in it.
+    ones (at most total / (0.15 target) of them) come to the driver, each with the running sum of the
+    small ones before it. The small ones fill test up to one place of the order and val up to another;
+    both places are minima over the running sums.
     """
     order = seeded(F.col(group), seed)
     sums = df.groupBy(group).agg(F.sum(duration).cast("double").alias("d")).select(F.col(group), "d", order.alias("o"))
     total = sums.agg(F.sum("d")).first()[0] or 0.0
-    targets = {"test": test * total, "val": val * total}
-    large = 0.15 * min(targets.values())
-    bucket = F.substring("o", 1, ORDER_DIGITS)
-    big = sums.where(F.col("d") > large).select("o", "d").orderBy("o").collect()
-    small = {r["b"]: r["s"] for r in sums.where(F.col("d") <= large).groupBy(bucket.alias("b")).agg(F.sum("d").alias("s")).collect()}
-    have = {"test": 0.0, "val": 0.0}
-    fits = lambda name, d: have[name] < targets[name] and have[name] + d <= 1.15 * targets[name]
-    runs: list[tuple[str, str, str]] = []  # (first order, last order, split) of small groups
-    own: list[tuple[str, str]] = []  # (order, split) of large groups
-
-    def give(name: str, first: str, last: str, d: float) -> None:
-        have[name] += d
-        if runs and runs[-1][2] == name:
-            runs[-1] = (runs[-1][0], last, name)
-        else:
-            runs.append((first, last, name))
-
-    mixed: dict[str, list] = {r["o"][:ORDER_DIGITS]: [] for r in big}
-    if mixed:
-        for r in sums.where(bucket.isin(*mixed)).select("o", "d").orderBy("o").toLocalIterator():
-            mixed[r["o"][:ORDER_DIGITS]].append(r)
-    for b in sorted({*small, *mixed}):
-        name = next((n for n in ("test", "val") if have[n] < targets[n]), None)
-        if name is None:
-            break
-        if b not in mixed and have[name] + small.get(b, 0.0) < targets[name]:
-            give(name, b, b + "~", small.get(b, 0.0))
-            continue
-        for r in mixed[b] if b in mixed else sums.where(bucket == b).select("o", "d").orderBy("o").toLocalIterator():
-            name = next((n for n in ("test", "val") if fits(n, r["d"])), None)
-            if name is not None and r["d"] <= large:
-                give(name, r["o"], r["o"], r["d"])
-            elif name is not None:
-                have[name] += r["d"]
-                own.append((r["o"], name))
-    small_split = F.lit("train")
-    for first, last, name in runs:
-        small_split = F.when((F.col("o") >= first) & (F.col("o") <= last), name).otherwise(small_split)
-    split = F.when(F.col("d") <= large, small_split)
-    for o, name in own:
-        split = split.when(F.col("o") == o, name)
-    return df.join(sums.select(group, split.otherwise("train").alias("split")), group)
+    goal = {"test": test * total, "val": val * total}
+    large = 0.15 * min((g for g in goal.values() if g > 0), default=float("inf"))
+    is_small = F.col("d") <= large
+    ranked = kept(running(sums.withColumn("_small", F.when(is_small, F.col("d")).otherwise(0.0)), ["o"], value="_small"))
+    own = {"test": 0.0, "val": 0.0}  # hours of large groups
+    full: dict[str, tuple[int, float]] = {}  # number from which on a split takes no small group, and their sum before
+    given: list[tuple[int, str]] = []
+
+    def room(name: str, before: float) -> float:
+        """What a split lacks, if all small groups summed in `before` have found their place."""
+        start = 0.0 if name == "test" else full["test"][1] if "test" in full else before
+        return goal[name] - own[name] - (before - start)
+
+    def settle(before: float, number: int) -> None:
+        """Find where splits fill up among the small groups before `number`."""
+        for name in ("test", "val"):
+            if name in full or (name == "val" and "test" not in full):
+                continue
+            start = (0, 0.0) if name == "test" else full["test"]
+            if goal[name] <= own[name]:
+                full[name] = start
+            elif room(name, before) <= 0:
+                ends = F.col("before") + F.col("_small")
+                at = ranked.where(is_small & (F.col("number") >= start[0]) & (F.col("number") < number) & (ends >= goal[name] - own[name] + start[1]))
+                found = at.agg(F.min(F.struct("number", ends.alias("ends"))).alias("m")).first()["m"]
+                if found is not None:
+                    full[name] = (found["number"] + 1, found["ends"])
+
+    for r in ranked.where(~is_small).select("number", "d", "before").orderBy("number").collect():
+        settle(r["before"], r["number"])
+        fits = (n for n in ("test", "val") if n not in full and room(n, r["before"]) > 0 and r["d"] <= room(n, r["before"]) + 0.15 * goal[n])
+        name = next(fits, None)
+        if name is not None:
+            given.append((r["number"], name))
+            own[name] += r["d"]
+            if room(name, r["before"]) <= 0 and (name == "test" or "test" in full):
+                full[name] = (r["number"], r["before"])
+    settle(ranked.agg(F.sum("_small")).first()[0] or 0.0, 1 << 62)
+    to_test = full["test"][0] if "test" in full else 1 << 62
+    to_val = full["val"][0] if "val" in full else 1 << 62
+    split = F.when(F.col("number") < to_test, "test").when(F.col("number") < to_val, "val").otherwise("train")
+    chosen = F.lit("train")
+    for number, name in given:
+        chosen = F.when(F.col("number") == number, name).otherwise(chosen)
+    return df.join(ranked.select(group, F.when(is_small, split).otherwise(chosen).alias("split")), group)
 
 
 def split_corpus(df: DataFrame, path: str, group: str, duration: str, synthetic: str, val: float = 0.1, test: float = 0.1, by_group: bool = True, seed: int = 1804) -> DataFrame:
@@ -120,10 +120,6 @@ def capped_groups(df: DataFrame, group: str, path: str, cap: int = 900, least_va
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:
-    """0-based rank of each distinct value, by range partitions: counts of the partitions before
-    plus the place within, so that no task sees all values."""
-    values = df.select(column).where(F.col(column).isNotNull()).distinct().repartitionByRange(column)
-    placed = values.withColumn("part", F.spark_partition_id())
-    before = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("part").orderBy(column)) - 1
-    return placed.withColumn("inside", inside).join(F.broadcast(before), "part").select(column, (F.col("before") + F.col("inside")).alias("index"))
+    """0-based rank of each distinct value that is not null."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return running(values, [column]).select(column, F.col("number").alias("index"))

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import struct
 
@@ -310,3 +311,20 @@ def test_wav_bytes_and_broken_ones(spark):
     got = {r["i"]: r for r in signal.decode(spark.createDataFrame(rows, "i int, audio binary"), "i", "audio").collect()}
     assert np.allclose(got[1]["samples"], x * 0.75, atol=1e-4) and got[1]["native_sr"] == 8000 and len(got[2]["samples"]) == 3
     assert got[6]["samples"] == x.tolist() and [got[i]["samples"] for i in (3, 4, 5, 7, 8)] == [None] * 5
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_group_split_like_one_by_one(spark, seed):
+    rng = np.random.default_rng(seed)
+    hours = rng.integers(0, 20, 150).tolist() + (rng.integers(15, 400, int(rng.integers(1, 30))) * [1, 3, 1, 8, 1, 2][seed]).tolist()
+    names = [f"g{i}" for i in range(len(hours))]
+    val, test = [(0.1, 0.1), (0.2, 0.05), (0.1, 0.1), (0.3, 0.3), (0.0, 0.1), (0.1, 0.0)][seed]
+    total = sum(hours)
+    have, want = {"test": 0, "val": 0}, {}
+    goal = {"test": test * total, "val": val * total}
+    for g, d in sorted(zip(names, hours), key=lambda x: hashlib.md5(f"1804|{x[0]}".encode()).hexdigest()):
+        want[g] = next((s for s in ("test", "val") if have[s] < goal[s] and have[s] + d <= 1.15 * goal[s]), "train")
+        if want[g] != "train":
+            have[want[g]] += d
+    df = spark.createDataFrame([(g, float(d)) for g, d in zip(names, hours)], "g string, d double")
+    assert {r["g"]: r["split"] for r in splits.group_split(df, "g", "d", val, test).collect()} == want

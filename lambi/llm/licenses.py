@@ -37,7 +37,7 @@ NOTICES = [
 TEMPLATES = NOTICES + [(name, " ".join(t for n, t in NOTICES if n == name)) for name in ("Apache-2.0", "MIT", "BSD-3-Clause")] + [(name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(n for n, _ in NOTICES)]
 #: Units of at least this cosine to a template carry its licence.
 LEAST_COSINE = 0.7
-#: Terms of the longest unit: a notice is a short text, alone or in a file.
+#: Terms from which on a unit is only scored if a bound on its cosine lets it.
 UNIT_TERMS = 400
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 SENTENCE_END = r"[.!?]\s+"
@@ -70,6 +70,20 @@ def _distinctive(templates: list[Counter], idf: dict[str, float], least: float)
     return sorted(set(idf) - common)
 
 
+def _can_reach(words: Column, templates: list[tuple[str, Counter]], idf: dict[str, float], least: float) -> Column:
+    """Whether a unit may reach the cosine. Weights are at least 1, so its norm is at least the root of
+    its number of terms; its product with a template is at most the sum over its terms of their
+    largest share in any template."""
+    share: dict[str, float] = {}
+    for _, t in templates:
+        norm = math.sqrt(sum((n * idf[x]) ** 2 for x, n in t.items()))
+        for x, n in t.items():
+            share[x] = max(share.get(x, 0.0), idf[x] * n * idf[x] / norm)
+    table = F.create_map(*(F.lit(v) for kv in sorted(share.items()) for v in kv))
+    most = F.aggregate(words, F.lit(0.0), lambda total, x: total + F.coalesce(F.try_element_at(table, x), F.lit(0.0)))
+    return most >= (least - 1e-6) * F.sqrt(F.size(words))
+
+
 def _units(lines: Column, body: Column) -> Column:
     """Sentences, lines, two and three lines together, paragraphs and the whole text."""
     n = F.size(lines)
@@ -84,7 +98,8 @@ def _join_small(many: DataFrame, few: DataFrame, key: str, how: str) -> DataFram
     """many joined with few on a key that may be hot in `many` and is unique in `few`."""
     if few.count() <= BROADCAST_ROWS:
         return many.join(F.broadcast(few), key, how)
-    salted = many.withColumn("_salt", F.floor(F.rand(7) * SALTS).cast("int"))
+    # the salt of a row is the same when a lost task runs again
+    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int"))
     copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
@@ -103,7 +118,7 @@ def _notices(rows: DataFrame, templates: list[tuple[str, str]], least_cosine: fl
 
     near = rows.where(F.arrays_overlap(_words(F.col("body")), need)).select("doc_id", "path", "body", F.split("body", "\n").alias("lines"))
     units = near.select("doc_id", "path", F.explode(_units(F.col("lines"), F.col("body"))).alias("unit")).select("doc_id", "path", _words(F.col("unit")).alias("words"))
-    units = units.where((F.size("words") <= UNIT_TERMS) & F.arrays_overlap("words", need)).select("doc_id", "path", F.array_join(F.array_sort("words"), " ").alias("text"))
+    units = units.where(F.arrays_overlap("words", need) & ((F.size("words") <= UNIT_TERMS) | _can_reach(F.col("words"), counted, idf, least_cosine))).select("doc_id", "path", F.array_join(F.array_sort("words"), " ").alias("text"))
     units = cut(units.withColumn("key", F.md5("text")).distinct())
 
     # each distinct unit is scored once, however many files hold it
@@ -126,7 +141,7 @@ def scan_licenses(files: DataFrame, path: Column, templates: list[tuple[str, str
     """Licence of every file: its own notice, or that of the nearest folder above that has one.
 
     The units of a text are its sentences, its lines, each two and three lines together (wrapped
-    headers), its paragraphs and the whole (licence files), of at most UNIT_TERMS terms. A term
+    headers), its paragraphs and the whole (licence files), of any length. A term
     weighs 1 + ln((N + 1) / (df + 1)) with its document frequency over all N files. A unit's licence
     is that of the template of largest cosine, at least `least_cosine` (ties: the smaller name), a
     file's the one of its best unit. Units without any distinctive template term can't reach the
@@ -184,7 +199,7 @@ def _sql() -> str:
             list_transform(range(1, len(lines)), lambda k: concat(lines[k], ' ', lines[k + 1])), list_transform(range(1, len(lines) - 1), lambda k: concat(lines[k], ' ', lines[k + 1], ' ', lines[k + 2])),
             regexp_split_to_array(body, '{PARAGRAPH_END}'), [body])) AS unit FROM l),
     uw AS (SELECT DISTINCT doc_id, path, list_sort(regexp_extract_all(lower(unit), '{TERM}')) AS words FROM u),
-    uk AS (SELECT DISTINCT words FROM uw WHERE len(words) <= {UNIT_TERMS} AND list_has_any(words, (SELECT list(DISTINCT term) FROM tt))),
+    uk AS (SELECT DISTINCT words FROM uw WHERE list_has_any(words, (SELECT list(DISTINCT term) FROM tt))),
     ut AS (SELECT words, term, count(*)::DOUBLE AS tf FROM (SELECT words, unnest(words) AS term FROM uk) GROUP BY ALL),
     uv AS (SELECT words, term, tf * (1 + ln((total + 1) / (coalesce(df, 0) + 1))) AS w FROM ut LEFT JOIN df USING (term), n),
     un AS (SELECT words, sqrt(sum(w * w)) AS norm FROM uv GROUP BY words),

@@ -48,15 +48,20 @@ def _fits(host: Column, path: Column, rule: tuple[str, str, str]) -> Column:
     return ((host == h) | host.endswith(f".{h}")) & path.startswith(p)
 
 
-def _runs(text: Column, n: int) -> Column:
-    """All runs of n characters of a text."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-    return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+def _runs(letters: Column, n: int) -> Column:
+    """All runs of n characters of an array of characters: the array joined with itself, shifted, so
+    that a text costs as many steps as it has characters."""
+    m = F.greatest(F.size(letters) - (n - 1), F.lit(0))
+    out = F.slice(letters, F.lit(1), m)
+    for i in range(1, n):
+        out = F.zip_with(out, F.slice(letters, F.lit(i + 1), m), lambda a, b: F.concat(a, b))
+    return out
 
 
 def _grams(text: Column) -> Column:
     """Character n-grams of a text that begins and ends with a mark."""
-    return F.concat(*(_runs(text, n) for n in GRAMS))
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.concat(*(_runs(letters, n) for n in GRAMS))
 
 
 def _features(df: DataFrame) -> DataFrame:

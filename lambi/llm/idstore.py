@@ -166,8 +166,8 @@ def _with_start(shards: DataFrame) -> DataFrame:
 def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Read a store back: doc_id, start, n_tokens, ids_crc32 (and ids), each found by its key.
 
-    Every document's place comes from a lookup in its shard's hash index; a place that does not
-    match the stored keys fails the task.
+    Every document's place comes from a lookup of its key in its shard's hash index, and where its
+    ids begin and end from that place; one that does not match the stored keys fails the task.
     """
     shards = spark.read.schema(SCHEMA).parquet(path)
     starts = _with_start(shards)
@@ -178,16 +178,19 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
             for part, shard, width, raw, payload in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 index = read_index(raw)
                 keys, bounds = index["keys"], index["bounds"]
-                if not np.array_equal(keys[find(index, keys)], keys):
+                first, n = find(index, keys), len(keys)
+                if (first < 0).any() or not np.array_equal(keys[first], keys):
                     raise ValueError(f"shard {part}/{shard} has a wrong index")
+                place = first + np.arange(n) - np.searchsorted(keys, keys)  # of documents that share a key, one after the other
+                begin, end = bounds[place], bounds[place + 1]
                 ids = np.frombuffer(payload, f"<u{width}").astype("<u4")
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-                n = len(keys)
-                cols = [np.full(n, part, np.int32), np.full(n, shard, np.int32), keys, bounds[:-1], np.diff(bounds), np.array(crc, np.int64)]
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(begin, end)]
+                cols = [np.full(n, part, np.int32), np.full(n, shard, np.int32), keys, begin, end - begin, np.array(crc, np.int64)]
                 names = ["part", "shard", "key", "at", "n_tokens", "ids_crc32"]
                 arrays = [pa.array(x) for x in cols]
                 if with_ids:
-                    arrays.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32))))
+                    found = np.concatenate([ids[:0], *(ids[a:b] for a, b in zip(begin, end))])
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(end - begin)).astype(np.int32)), pa.array(found.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 

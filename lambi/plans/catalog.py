@@ -14,7 +14,6 @@ from lambi.operators import coverage, dedup, profile, rules, scoring, signal, sp
 from lambi.operators.running import running
 from lambi.plans.fixtures import CLIPS_SQL, LONG_WAVES_SQL, NOISY_SQL, NORM_SQL, PAIRS_SQL, SENTENCE_PAIRS_SQL, clips, deletion_pairs, every_latency, long_waves, noisy, pairs, refs, sentence_pairs, table, waves
 from lambi.sources import tables as src
-from lambi.sources.tables import spread
 from lambi.streaming.quota import quota_batch
 
 QUERIES: dict = {}
@@ -385,7 +384,7 @@ _PHONEMES = _phonemes_sql("SELECT doc_id, text FROM documents").replace("\\\\",
 @query("phonemize", f"WITH {_PHONEMES} SELECT doc_id, phonemes, length(replace(phonemes, ' ', '')) AS n_phonemes FROM ph")
 def phonemize(spark, sf):
     said = ph.phonemes(F.col("text"))
-    return spread(_docs(spark, sf).select("doc_id", "text")).select("doc_id", said.alias("phonemes")).withColumn("n_phonemes", ph.phoneme_count(F.col("phonemes")))
+    return _docs(spark, sf).select("doc_id", said.alias("phonemes")).withColumn("n_phonemes", ph.phoneme_count(F.col("phonemes")))
 
 
 _REPORT = f"{_PHONEMES}, k AS (SELECT phoneme, count(*) AS n FROM (SELECT unnest(string_split(phonemes, '')) AS phoneme FROM ph) WHERE phoneme NOT IN ('', ' ') GROUP BY phoneme), rep AS (SELECT *, contains('anɛɔɑueiɥʃɲpbtdkɡfvszhmlʒɣwjo\u0303.,!?;:', phoneme) AS known FROM k)"
@@ -393,7 +392,7 @@ _REPORT = f"{_PHONEMES}, k AS (SELECT phoneme, count(*) AS n FROM (SELECT unnest
 
 @query("phoneme_coverage", f"WITH {_REPORT} SELECT phoneme, n, known, known AND n < 50 AND NOT regexp_matches(phoneme, '[.,!?;:]') AS rare FROM rep")
 def phoneme_coverage(spark, sf):
-    said = ph.spoken_words(spread(_docs(spark, sf).select("text")), "text")
+    said = ph.spoken_words(_docs(spark, sf), "text")
     return coverage.phoneme_report(said, "phonemes", weight="n")
 
 
@@ -408,7 +407,7 @@ _BY_SOURCE = f"{_PHONEMES}, rs AS (SELECT source, phoneme, count(*) AS n FROM (S
 @query("rare_phonemes", f"WITH {_BY_SOURCE} SELECT source, phoneme, n FROM rs WHERE n < 2000 AND contains('anɛɔɑueiɥʃɲpbtdkɡfvszhmlʒɣwjo\u0303', phoneme) ORDER BY n, phoneme, source LIMIT 20")
 def rare_phonemes(spark, sf):
     """Phonemes below 2000 occurrences in a source."""
-    said = ph.spoken_words(spread(_docs(spark, sf).select("source", "text")), "text", "source")
+    said = ph.spoken_words(_docs(spark, sf), "text", "source")
     return coverage.rare_phonemes(coverage.phoneme_report(said, "phonemes", 2000, ("source",), "n")).select("source", "phoneme", "n")
 
 
@@ -442,7 +441,7 @@ o AS (SELECT word, min(pos) AS pos, count(*) AS k FROM (SELECT word, pos, pos -
 
 
 def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(_docs(spark, sf).select("text"))
+    docs = _docs(spark, sf).select("text")
     return docs.withColumn("tokens", tokenizer(_vocabulary(spark, sf))(F.col("text")))
 
 

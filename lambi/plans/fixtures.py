@@ -26,7 +26,9 @@ NORM_SQL = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; documents, whose texts are costly to work on, over all cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name == "documents" else df
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,14 +69,14 @@ def _pairs(texts: DataFrame) -> DataFrame:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of whole documents."""
-    return _pairs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return _pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def deletion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents against themselves without every k-th word."""
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
     models = F.explode(F.array(*(F.struct(F.lit(m).alias("model"), F.lit(k).alias("k")) for m, k in MODELS)))
-    df = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", words.alias("rw"), models.alias("m")).select("doc_id", "rw", "m.*")
+    df = table(spark, sf_dir, "documents").select("doc_id", "text").select("doc_id", words.alias("rw"), models.alias("m")).select("doc_id", "rw", "m.*")
     return df.select("doc_id", "model", F.array_join("rw", " ").alias("reference"), F.array_join(F.expr("filter(rw, (w, i) -> (i + 1) % k <> 0)"), " ").alias("hypothesis"))
 
 

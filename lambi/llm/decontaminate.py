@@ -60,7 +60,9 @@ def _windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shin
                     keys = _shingles(hashes[a : a + n], row[a : a + n], size)[1]
                     rows = [(" ".join(said[s : s + k]), place, keys[s + place]) for s in range(n - k + 1) for place in range(k - size + 1)]
                     text, place, key = zip(*rows)
-                    yield pa.RecordBatch.from_pydict({"item": [item] * len(rows), "k": pa.array([k] * len(rows), pa.int32()), "window": text, "place": pa.array(place, pa.int32()), "key": pa.array(key, pa.int64()), "size": pa.array([size] * len(rows), pa.int32())})
+                    same = lambda v: pa.array([v] * len(text), pa.int32())  # noqa: B023, E731
+                    columns = {"item": [item] * len(rows), "k": same(k), "window": text, "place": pa.array(place, pa.int32()), "key": pa.array(key, pa.int64()), "size": same(size)}
+                    yield pa.RecordBatch.from_pydict(columns)
 
     return source.mapInArrow(run, "item string, k int, window string, place int, key long, size int")
 
@@ -91,8 +93,8 @@ HIT = pa.struct([("at", pa.int32()), ("key", pa.int64()), ("first", pa.int32()),
 
 
 def _hits(docs: DataFrame, id_col: str, text_col: str, wanted, sizes: list[int], window: int) -> DataFrame:
-    """(id, uid, n_words, hits) of each row: where a shingle of the filter occurs, with the words
-    around it that a window there can have. uid names the text (128 bits of hash)."""
+    """(id, h1, h2, n_words, hits) of each row: where a shingle of the filter occurs, with the words
+    around it that a window there can have. h1 and h2 name the text (128 bits of hash)."""
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(1), body).alias("h2"), body.alias("body"))
     schema = StructType([*source.schema.fields[:3], *StructType.fromDDL("n_words long, hits array<struct<at:int,key:long,first:int,around:string>>").fields])
@@ -170,7 +172,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     both = both.select(F.col("id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "n_hit", "items")
     rows = found.select("id", "h1", "h2", "n_words").join(both, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
     listed = F.array_join(F.coalesce("items", F.array().cast("array<string>")), ",")
-    return rows.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
+    n_hit, n_items = (F.coalesce(c, F.lit(0)).cast("long") for c in (F.col("n_hit"), F.size("items")))
+    return rows.select(
+        F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), n_items.alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated")
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

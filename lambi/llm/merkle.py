@@ -216,7 +216,9 @@ def _sql() -> str:
         """name_0 has tree, i and d; name_k its k-th level, with the siblings of each node."""
         out = []
         for k in range(depth):
-            out.append(f"""{name}s_{k} AS MATERIALIZED (SELECT *, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a, coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b, count(*) OVER (PARTITION BY tree) AS n FROM {name}_{k})""")
+            near = lambda rows: f"coalesce(string_agg(d, '') OVER ({run} {rows}), '')"
+            before, after = near("UNBOUNDED PRECEDING AND 1 PRECEDING"), near("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+            out.append(f"{name}s_{k} AS MATERIALIZED (SELECT *, {before} AS a, {after} AS b, count(*) OVER (PARTITION BY tree) AS n FROM {name}_{k})")
             out.append(f"""{name}_{k + 1} AS MATERIALIZED (SELECT tree, i // {FAN} AS i, CASE WHEN n = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {name}s_{k} GROUP BY tree, i // {FAN}, n)""")
         return out
 

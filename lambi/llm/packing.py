@@ -54,17 +54,78 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col
     return source.mapInArrow(run, schema)
 
 
+class _Sums:
+    """Available lengths by the sum of two and of three of them, longest parts first.
+
+    `two` and `three` hold the largest part of a pair or triple for each sum, 0 where there is none.
+    Counts only fall while combinations are consumed, so an entry whose lengths ran out moves on to
+    the next smaller part and never back.
+    """
+
+    def __init__(self, count: np.ndarray):
+        self.count, n = count, len(count)
+        self.two, self.three = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        have = np.flatnonzero(count)
+        for a in have:
+            other = have[have <= min(a, n - 1 - a)]
+            self.two[a + other[(other < a) | (count[a] > 1)]] = a
+        pairs = np.flatnonzero(self.two)
+        for c in have:
+            self.three[c + pairs[pairs < n - c]] = c
+
+    def find(self, gap: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths of sum `gap`."""
+        if self.count[gap]:
+            return (gap,)
+        return self.pair(gap) or self.triple(gap)
+
+    def pair(self, gap: int, held: int = 0) -> tuple[int, int] | None:
+        """Two lengths of sum `gap`, while a piece of length `held` is taken."""
+        a = self.two[gap] = self._larger(gap, int(self.two[gap]))
+        if held and a and held in (a, gap - a):
+            self.count[held] -= 1
+            a = self._larger(gap, int(a))
+            self.count[held] += 1
+        return (int(a), int(gap - a)) if a else None
+
+    def _larger(self, gap: int, a: int) -> int:
+        """The larger part, at most `a`, of the pair of sum `gap` that comes next; 0 if none does."""
+        count = self.count
+        if not a or count[a] and count[gap - a] and (2 * a != gap or count[a] > 1):
+            return a
+        parts = np.arange((gap + 1) // 2, a + 1)
+        here = (count[parts] > 0) & (count[gap - parts] > 0) & ((2 * parts != gap) | (count[parts] > 1))
+        return int(parts[here][-1]) if here.any() else 0
+
+    def triple(self, gap: int) -> tuple[int, int, int] | None:
+        c = int(self.three[gap])
+        rest = None
+        while c:
+            rest = self.pair(gap - c, held=c) if self.count[c] else None
+            if rest:
+                break
+            parts = np.arange(1, c)
+            here = parts[(self.count[parts] > 0) & (self.two[gap - parts] > 0)]
+            c = int(here[-1]) if len(here) else 0
+        self.three[gap] = c
+        return (c, *rest) if rest else None
+
+
 def _exact(count: np.ndarray, size: int):
-    """Consume combinations that fill a sequence exactly; yields (lengths, times)."""
+    """Consume combinations that fill a sequence exactly; yields (lengths, times).
+
+    A length leads until its gap has no complement among the sums; then no combination left holds
+    it, so that parts are at most as long as their lead.
+    """
     whole = int(count[size])
     if whole:
         count[size] = 0
         yield (size,), whole
+    sums = _Sums(count)
     for lead in range(size - 1, 0, -1):
         while count[lead]:
-            gap = size - lead
             count[lead] -= 1
-            found = _complement(count, gap)
+            found = sums.find(size - lead)
             count[lead] += 1
             if found is None:
                 break
@@ -76,45 +137,6 @@ def _exact(count: np.ndarray, size: int):
             yield parts, times
 
 
-def _complement(count: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths of sum `gap`, the longest first."""
-    if gap < len(count) and count[gap]:
-        return (gap,)
-    have = np.flatnonzero(count[: gap + 1])
-    have = have[have > 0]
-    if not len(have):
-        return None
-    pair = _pair(count, have, np.array([gap]))
-    if pair is not None:
-        return pair[1:]
-    # sums of two available lengths, each with its larger part, index every third length at once
-    step = max(1, (1 << 20) // len(have))
-    for lo in range(0, len(have), step):
-        first = have[::-1][lo : lo + step]
-        found = _pair(count, have, gap - first, first)
-        if found is not None:
-            return found
-    return None
-
-
-def _pair(count, have, gaps, first=None):
-    """(gap's own first length, a, b): a + b = gap, a >= b, and the first not less than a."""
-    b = gaps[:, None] - have[None, :]
-    ok = (b > 0) & (b <= have[None, :]) & (count[np.clip(b, 0, len(count) - 1)] > 0)
-    ok &= (b != have[None, :]) | (count[have] > 1)[None, :]
-    if first is not None:
-        ok &= have[None, :] <= first[:, None]
-        used = (have[None, :] == first[:, None]) * 1
-        ok &= count[have][None, :] > used + (b == have[None, :])
-        ok &= (b != first[:, None]) | (count[np.clip(b, 0, len(count) - 1)] > 1 + used)
-    hit = np.flatnonzero(ok.any(1))
-    if not len(hit):
-        return None
-    i = int(hit[0])
-    j = int(np.flatnonzero(ok[i])[-1])
-    return (int(first[i]) if first is not None else 0, int(have[j]), int(b[i, j]))
-
-
 def _best_fit(count: np.ndarray, size: int):
     """Best fit of what is left, longest first, whole runs of equal lengths at a time."""
     open_bins: dict[int, list[list]] = {}  # gap -> [lengths, times]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: (verdict, host, path prefix) of the query; a rule fits its host and all its subdomains.
-RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/")]
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 #: Small labelled table the model is trained on: (url, 1 = block).
 LABELLED = [
     ("http://www.casino-bonus.win/slots/free-spins.html", 1), ("http://cheap-pills.top/buy/viagra-online", 1), ("https://track.adserver.click/banner?id=3", 1),

@@ -101,6 +101,16 @@ class Trie:
         return ids[start[head]], start[head], end[tail] if len(head) else end[:0]
 
 
+def word_counts(df: DataFrame, text: str, name: str = "word") -> DataFrame:
+    """(name, n): the distinct words of all texts, parted by blanks, and how often each occurs.
+
+    No token crosses a blank, so the tokens of a word, taken once, stand for all its occurrences. Spark
+    sums before it shuffles, and what reaches Python is as large as the distinct words.
+    """
+    words = F.explode(F.split(text, r"[\x09-\x0D\x20]+"))
+    return df.select(words.alias(name)).where(F.col(name) != "").groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+
+
 def tokenizer(vocabulary: DataFrame, piece: str = "piece", number: str = "id"):
     """A function from a text column to its tokens, an array of (id, start, end in characters), by
     longest match over the pieces of a table.

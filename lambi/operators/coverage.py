@@ -17,24 +17,25 @@ def counts(df: DataFrame, items: Column, name: str = "item", top: int | None = N
     return out if top is None else out.orderBy(F.desc("n"), name).limit(top)
 
 
-def token_report(df: DataFrame, text: str, tokens: str, unknown: int) -> DataFrame:
+def token_report(df: DataFrame, text: str, tokens: str, unknown: int, weight: str | None = None) -> DataFrame:
     """One row: tokens, words, tokens per word, unknown tokens and their rate, and a verdict; ratios
     of nothing are 0. A null text has neither words nor tokens, as has an empty table.
 
     `tokens` is an array column of any tokenizer: of structs with id, start and end in characters.
+    Rows stand for `weight` rows each.
     """
     words = F.size(F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != ""))
-    total = lambda c: F.coalesce(F.sum(F.when(F.col(text).isNotNull(), c)), F.lit(0).cast("long"))
+    total = lambda c: F.coalesce(F.sum(F.when(F.col(text).isNotNull(), c if weight is None else c * F.col(weight))), F.lit(0).cast("long"))
     out = df.agg(total(F.size(tokens)).alias("tokens"), total(words).alias("words"), total(F.size(F.filter(tokens, lambda t: t["id"] == unknown))).alias("unknown"))
     ratio = lambda a, b, digits: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b), digits)).otherwise(0.0)
     out = out.withColumn("tokens_per_word", ratio("tokens", "words", 3)).withColumn("unknown_rate", ratio("unknown", "tokens", 6))
     return out.withColumn("verdict", F.when((F.col("unknown_rate") > 0.001) | (F.col("tokens_per_word") > 4), "REVIEW").otherwise("OK"))
 
 
-def unknown_pieces(df: DataFrame, text: str, tokens: str, unknown: int, top: int = 20) -> DataFrame:
+def unknown_pieces(df: DataFrame, text: str, tokens: str, unknown: int, top: int = 20, weight: str | None = None) -> DataFrame:
     """Most common pieces of the text under unknown tokens (``<empty-span>`` without characters)."""
     span = lambda t: F.when(t["end"] > t["start"], F.substring(F.col(text), t["start"] + 1, t["end"] - t["start"])).otherwise("<empty-span>")
-    return counts(df, F.transform(F.filter(tokens, lambda t: t["id"] == unknown), span), "piece", top)
+    return counts(df, F.transform(F.filter(tokens, lambda t: t["id"] == unknown), span), "piece", top, weight=weight)
 
 
 def inventory(df: DataFrame) -> DataFrame:

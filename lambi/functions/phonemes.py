@@ -35,7 +35,7 @@ def below_thousand() -> list[str]:
 
 def number_words(n: Column) -> Column:
     """An integer of magnitude below a million in words; null beyond."""
-    table = F.array(*map(F.lit, below_thousand()))
+    table = F.split(F.lit("|".join(below_thousand())), r"\|")
     at = lambda i: F.element_at(table, (i + 1).cast("int"))
     size = F.abs(n)
     thousands, rest = F.floor(size / 1000), size % 1000
@@ -64,7 +64,8 @@ def expand_numbers(text: Column) -> Column:
     for sign, word in CURRENCY.items():
         text = F.replace(text, F.lit(sign), F.lit(f" {word} "))
     runs = F.regexp_extract_all(text, F.lit(r"[0-9][0-9\s.,]*[0-9]|[0-9]|[^0-9]+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda x: F.when(x.rlike("^[0-9]"), _spoken(x)).otherwise(x)), "")
+    said = lambda x: F.when((F.length(x) <= 6) & ~x.rlike("[^0-9]"), number_words(x.try_cast("bigint"))).otherwise(_spoken(x))
+    return F.array_join(F.transform(runs, lambda x: F.when((x >= "0") & (x < ":"), said(x)).otherwise(x)), "")
 
 
 def word_phonemes(word: Column) -> Column:
@@ -90,10 +91,28 @@ def token_phonemes(token: Column, keep_punctuation: bool = True) -> Column:
     return F.when(token.rlike(r"^\s"), " ").when(token.rlike("^[.,!?;:]"), token if keep_punctuation else "").otherwise(word_phonemes(token))
 
 
+#: Private characters that stand for runs of letters, and for what is no part of a word.
+_OTHER, _OUN, _ANN, _ENN, _ONN, _NASAL, _OU, _UI, _CH, _NY, _X = map(chr, range(0xE000, 0xE00B))
+
+
 def phonemes(text: Column, keep_punctuation: bool = True, compose: bool = True) -> Column:
-    """Phonemes of a text; words keep their punctuation unless switched off. A null text has none."""
-    said = F.transform(tokens(text, compose), lambda x: token_phonemes(x, keep_punctuation))
-    return F.trim(F.regexp_replace(F.array_join(said, ""), " +", " "))
+    """Phonemes of a text; words keep their punctuation unless switched off. A null text has none.
+
+    The same as `token_phonemes` of its tokens, by steps over the whole text: no run of letters overlaps
+    with one that is replaced after it, so that the order of steps gives the longest match from the left.
+    """
+    x = F.regexp_replace(prepare(text, compose), rf"[^{LETTERS}\s{'.,!?;:' if keep_punctuation else ''}]", _OTHER)
+    x = F.regexp_replace(x, f"oun(?![{VOWELS}])", _OUN)
+    for run, mark in (("ann", _ANN), ("enn", _ENN), ("onn", _ONN)):
+        x = F.replace(x, F.lit(run), F.lit(mark))
+    x = F.regexp_replace(x, f"([aeo])n(?![{VOWELS}ny{_OUN}{_ANN}{_ENN}{_ONN}])", f"$1{_NASAL}")
+    for run, mark in (("ou", _OU), ("ui", _UI), ("ch", _CH), ("ny", _NY), ("x", _X)):
+        x = F.replace(x, F.lit(run), F.lit(mark))
+    single = {k: v for k, v in PHONEMES.items() if len(k) == len(v) == 1 and k != v} | {_OU: PHONEMES["ou"], _CH: PHONEMES["ch"], _NY: PHONEMES["ny"]} | dict.fromkeys("\t\n\v\f\r", " ")
+    x = F.translate(x, "".join(single) + _OTHER, "".join(single.values()))
+    for mark, run in ((_OUN, "oun"), (_ANN, "ann"), (_ENN, "enn"), (_ONN, "onn"), (f"a{_NASAL}", "an"), (f"e{_NASAL}", "en"), (f"o{_NASAL}", "on"), (_UI, "ui"), (_X, "x")):
+        x = F.replace(x, F.lit(mark), F.lit(PHONEMES[run]))
+    return F.trim(F.regexp_replace(x, "  +", " "))
 
 
 def spoken_words(df: DataFrame, text: str, *keys: str, keep_punctuation: bool = True) -> DataFrame:

@@ -98,13 +98,14 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for this file; kept between tasks."""
+def encoder(path: str, entries: int = 1_000_000) -> Encoder:
+    """The worker's encoder for this file, which remembers about `entries` words; kept between tasks."""
     if path not in _KEPT:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _KEPT[path] = Encoder(path)
+    _KEPT[path].entries = entries
     return _KEPT[path]
 
 

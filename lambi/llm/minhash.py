@@ -183,9 +183,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(2), 1 << 20, 1024):
+            for lo, hi, data, offsets in text_slices(batch.column(2), rows=1024):
                 one = shingle_sets(data, offsets, k)
-                two = [shingle_sets(d, o, k) + (np.uint64(x) << np.uint64(52)) for x, _, d, o in text_slices(batch.column(3)[lo:hi], 1 << 20, 1024)]
+                two = [shingle_sets(d, o, k) + (np.uint64(x) << np.uint64(52)) for x, _, d, o in text_slices(batch.column(3)[lo:hi], rows=1024)]
                 both = np.concatenate([one, *two])
                 both.sort()
                 n = hi - lo

@@ -8,11 +8,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lambi.llm.encoding import encoder, public_path
-from lambi.llm.shared import cut
+from lambi.llm.shared import cut, text_slices
 
+#: Words that a worker's encoder remembers, about 0.3 KB each.
+WORDS_KEPT = 1 << 18
+#: Rows of ids that are decoded together.
+DECODED = 512
 PIECE = "doc_id {}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -28,12 +31,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col
     schema = PIECE.format(source.schema["doc_id"].dataType.simpleString()) + ", ids binary" * with_ids
 
     def run(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, WORDS_KEPT)
         tail = enc.pack([end_id])
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
+            for lo, hi, *_ in text_slices(batch.column(1), rows=256):
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, blob in enumerate(enc.encode([x or "" for x in batch.column(1)[lo : lo + 256].to_pylist()])):
+                for i, blob in enumerate(enc.encode([x or "" for x in batch.column(1)[lo:hi].to_pylist()])):
                     wide = np.frombuffer(blob + tail, enc.kind).astype("<u4")
                     for k, a in enumerate(range(0, len(wide), size)):
                         part = wide[a : a + size]
@@ -191,13 +194,24 @@ def plan(counts: dict[int, int], size: int) -> np.ndarray:
     return np.array(sorted(runs), dtype=np.int64).reshape(-1, 6)
 
 
-def pack(pieces: DataFrame, size: int, salts: int | None = None) -> DataFrame:
+def _decoded(column: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """Rows of ids as bytes, equally wide, as lists of ints."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    width = int(offsets[-1] - offsets[0]) // int(lengths.sum())
+    ids = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(f"<u{width}").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(((offsets - offsets[0]) // width).astype(np.int32)), pa.array(ids))
+
+
+def pack(pieces: DataFrame, size: int, salts: int | None = None, ids: str | None = None) -> DataFrame:
     """Add sequence_id and offset to a table of pieces (doc_id, piece, length of 1 to `size`).
 
     Only the counts of each length go to the driver (at most `size` numbers); the plan comes back
     as at most a few runs per length. Ranks are row numbers within (length, salt) plus the counts
     of the salts before (salts grow with the rows / 2**20), so that no task holds a whole length,
-    however many pieces share it.
+    however many pieces share it. A column `ids` of bytes comes back as an array of ints, from the
+    same Python step, so that a task needs one worker.
 
     Ties are dealt by (doc_id, piece) and, for repeated rows, arbitrarily: equal rows are
     interchangeable. An empty table gives an empty result.
@@ -217,7 +231,7 @@ def pack(pieces: DataFrame, size: int, salts: int | None = None) -> DataFrame:
     ranked = salted.withColumn("inside", inside).join(before, ["length", "salt"])
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     out = ranked.select(*names, (F.col("before") + F.col("inside")).alias("rank"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in names) + ", sequence_id long, offset long"
+    schema = ", ".join(f"`{f.name}` {'array<int>' if f.name == ids else f.dataType.simpleString()}" for f in pieces.schema if f.name in names) + ", sequence_id long, offset long"
 
     def run(batches):
         for batch in batches:
@@ -231,7 +245,11 @@ def pack(pieces: DataFrame, size: int, salts: int | None = None) -> DataFrame:
                 past = rank[rows] - r[:, 1]
                 sequence[rows] = r[:, 3] + past // r[:, 4]
                 offset[rows] = r[:, 5] + past % r[:, 4] * x
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
+            step = DECODED if ids else max(1, batch.num_rows)
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                own = [_decoded(c, lengths[lo : lo + step]) if name == ids else c for name, c in zip(names, part.columns)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(sequence[lo : lo + step]), pa.array(offset[lo : lo + step])], names=[*names, "sequence_id", "offset"])
 
     return out.mapInArrow(run, schema)
 
@@ -239,20 +257,7 @@ def pack(pieces: DataFrame, size: int, salts: int | None = None) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, with_ids: bool = False) -> DataFrame:
     """Encode, cut and pack whole documents (see `token_pieces` and `pack`); with `with_ids`, a column
     of the ids, which are shuffled as bytes of the tokenizer's width."""
-    packed = pack(token_pieces(docs, tokenizer, end_id, size, with_ids=with_ids), size)
-    if not with_ids:
-        return packed
-    names = packed.columns
-    at = names.index("ids")
-    schema = StructType([StructField("ids", ArrayType(IntegerType())) if f.name == "ids" else f for f in packed.schema])
-
-    def decode(batches):
-        kind = encoder(tokenizer).kind
-        for batch in batches:
-            ids = pa.array([np.frombuffer(x, kind).astype(np.int32) for x in batch.column(at).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([ids if i == at else c for i, c in enumerate(batch.columns)], names=names)
-
-    return packed.mapInArrow(decode, schema)
+    return pack(token_pieces(docs, tokenizer, end_id, size, with_ids=with_ids), size, ids="ids" if with_ids else None)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

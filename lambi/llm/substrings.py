@@ -28,7 +28,7 @@ TOGETHER = 256
 #: Strings that a key covers: first all with the anchor, then those within so many places.
 WIDTHS = (LENGTH, 25, 5, 1)
 #: Bytes that one suffix sort holds (it ends between keys).
-SORT_BYTES = 2 << 20
+SORT_BYTES = 1 << 19
 _ODD = [np.uint64(0x9E3779B97F4A7C15 + 2 * i * 0x51ED270B) for i in range(6)]
 _LETTERS = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64)
 
@@ -334,9 +334,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     runs = repeated_runs(full, length, gram).groupBy("doc").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
 
     def apply(batches):
-        for batch in batches:
+        for part in (batch.slice(lo, hi - lo) for batch in batches for lo, hi, *_ in text_slices(batch.column(1))):
             out = []
-            for body, runs in zip(batch.column(1), batch.column(2)):
+            for body, runs in zip(part.column(1), part.column(2)):
                 null = not body.is_valid
                 body = b"" if null else body.as_py().encode()
                 n, removed, spans, kept = len(body), 0, 0, body
@@ -353,7 +353,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
                 out.append(row)
             columns = list(zip(*out)) or [[]] * (4 + with_text)
             kinds = [pa.int64()] * 3 + [pa.string()] * (1 + with_text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds)), *batch.columns[3:]], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds)), *part.columns[3:]], names=[f.name for f in schema])
 
     met = rows.join(runs, "doc", "left").select("key", "body", "runs", *(["carried"] if carry else []))
     schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)

@@ -11,8 +11,12 @@ import numpy as np
 # runs from a non-blank into a blank. Texts with any other white space are encoded as they are.
 _CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r]")
+#: The same for bytes of Latin-1, where a deletion is far cheaper than a search.
+_OTHER_LATIN = bytes(i for i in range(256) if _OTHER_SPACE.match(chr(i)))
 # A blank, Latin letters, then punctuation without an apostrophe: at most three pre-tokens.
 _PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([!-&(-/:-@\[-`{-~]*)")
+# Such punctuation after such a letter and before one, a blank or the end: pre-tokens of its own.
+_MARKS = re.compile(r"[!-&(-/:-@\[-`{-~](?<=[A-Za-zÀ-ÖØ-öø-ÿŒœ].)[!-&(-/:-@\[-`{-~]*+(?![^ \t\n\rA-Za-zÀ-ÖØ-öø-ÿŒœ])")
 _KEPT: dict[str, Encoder] = {}
 
 
@@ -24,17 +28,28 @@ def _byte_letters() -> dict[int, int]:
 
 
 class _Words(dict):
-    """Word -> id bytes, filled on demand."""
+    """Word -> id bytes, filled on demand; words in use come over from the table before."""
 
-    def __init__(self, owner: Encoder):
+    def __init__(self, owner: Encoder, before: dict[str, bytes]):
         super().__init__()
-        self.owner = owner
+        self.owner, self.before = owner, before
 
     def __missing__(self, word: str) -> bytes:
-        out = self[word] = self.owner.one(word)
+        out = self.before.get(word)
+        if out is None:
+            out = self.owner.one(word)
+        self[word] = out
         return out
 
 
+def _latin(text: str) -> bytes | None:
+    """The text in Latin-1, None where it has other characters."""
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, `width` bytes an id."""
 
@@ -51,13 +66,16 @@ class Encoder:
         self.code = "H" if self.width == 2 else "I"
         self.kind = np.dtype(f"<u{self.width}")
         self.entries = entries
-        self.words = _Words(self)
+        self.words = _Words(self, {})
         self.letters = _byte_letters()
         self.lower = self._ids("A") == self._ids("a")
-        self.drops = self._ids(" a") == self._ids("a")
+        blanks = [" ", "\t", "\n", "\r", "\r\n", " \n \t"]
+        #: Blanks only part words: they have no ids and change none.
+        self.drops = all(not self._ids(b) and self._ids(f"{b}a{b}b.{b}") == self._ids("a") + self._ids("b.") for b in blanks)
         self.plain = True
         probes = ["the", " The", "Éé", " éa", "\nWord,", " x-|", "ABCdef", " straße).", "œuvre", " Øre!!"]
         self.plain = all(self.one(x) == self.pack(self._ids(x)) for x in probes)
+        self.words.clear()
 
     def pack(self, ids) -> bytes:
         return array(self.code, ids).tobytes()
@@ -81,20 +99,34 @@ class Encoder:
         if marks:
             return self.words[blank + letters] + self.words[marks]
         if self.drops or not blank:
-            return self._pretoken(letters)
+            return self._pretoken(letters) if letters == word else self.words[letters]
         return self._pretoken(" " + letters) if blank == " " else self.words[blank] + self.words[letters]
 
-    def _whole(self, text: str) -> bool:
+    def _whole(self, text: str, latin: bytes | None) -> bool:
         """Whether words between blanks can't be encoded one by one."""
-        return bool(_OTHER_SPACE.search(text)) or self.rewritten or any(x in text for x in self.literals)
+        other = _OTHER_SPACE.search(text) if latin is None else len(latin.translate(None, _OTHER_LATIN)) < len(latin)
+        return bool(other) or self.rewritten or any(x in text for x in self.literals)
+
+    def _parts(self, text: str, latin: bytes | None) -> list[str]:
+        """What is encoded on its own. Where blanks only part words, these come without them, and in
+        lower case and without their punctuation where that changes no id, so that few differ."""
+        if not self.drops:
+            return _CHUNK.findall(text)
+        if self.lower and latin is not None:
+            text = text.lower()
+        return (_MARKS.sub(r" \g<0> ", text) if self.plain else text).split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        get = self.words.__getitem__
         out = []
         for x in texts:
-            if len(self.words) > self.entries:
-                self.words.clear()
-            out.append(self.pack(self._ids(x)) if self._whole(x) else b"".join(map(get, _CHUNK.findall(x))))
+            if 2 * len(self.words) > self.entries:
+                self.words.before = {}
+                self.words = _Words(self, self.words)
+            latin = _latin(x)
+            if self._whole(x, latin):
+                out.append(self.pack(self._ids(x)))
+            else:
+                out.append(b"".join(map(self.words.__getitem__, self._parts(x, latin))))
         return out
 
 
